@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -21,6 +23,7 @@ from shelfwise.session import cut_lineage
 CLUSTER_FEATURES = ("price", "rating", "reviews_count")
 MICRO_CLUSTERS = 500
 CENTRE_BLOCK = 4096
+PARALLEL_RUNS = 4
 
 
 def scaled_vectors(df: DataFrame, key: str, features: Sequence[str] = CLUSTER_FEATURES) -> DataFrame:
@@ -38,13 +41,15 @@ def _lookup(values: Sequence[int], at: Column) -> Column:
 def fit_kmeans(
     vectors: DataFrame, k: int = 5, restarts: int = 10, seed: int = 42, max_iter: int = 300
 ) -> KMeansModel:
-    """Best of several seeded runs by training cost."""
+    """Best of several seeded runs by training cost; a few runs share the cluster at a time."""
     data = cut_lineage(vectors.select("features"))
-    runs = [
-        KMeans(k=k, maxIter=max_iter, seed=seed + i, featuresCol="features", predictionCol="cluster").fit(data)
-        for i in range(restarts)
-    ]
-    return min(runs, key=lambda m: m.summary.trainingCost)
+
+    def run(i: int) -> KMeansModel:
+        return KMeans(k=k, maxIter=max_iter, seed=seed + i, featuresCol="features", predictionCol="cluster").fit(data)
+
+    with ThreadPoolExecutor(PARALLEL_RUNS) as pool:
+        models = list(pool.map(inheritable_thread_target(vectors.sparkSession)(run), range(restarts)))
+    return min(models, key=lambda m: m.summary.trainingCost)
 
 
 def assign(model: KMeansModel, vectors: DataFrame) -> DataFrame:
@@ -86,6 +91,7 @@ def hierarchical(vectors: DataFrame, k: int = 5, micro: int = MICRO_CLUSTERS, se
     With no more than ``micro`` distinct points every point is its own centre and
     the result is exact.
     """
+    vectors = cut_lineage(vectors)  # points are looked up by value, so they must not be computed twice
     points = cut_lineage(vectors.groupBy("features").agg(F.count(F.lit(1)).alias("w")))
     few = points.orderBy(vector_to_array("features")).limit(micro + 1).collect()
     if len(few) <= micro:
@@ -201,15 +207,15 @@ def cluster_quality(df: DataFrame, label: str = "cluster", features: str = "feat
         clusters=F.count_if(F.col("label") != -1),
         within=F.sum("within"),
     )
-    mean = rows.agg(vector_to_array(Summarizer.mean(F.col("features")))).scalar()
-    off_centre = total(F.zip_with("centre", mean, lambda a, b: (a - b) * (a - b)))
-    between = centres.agg(F.sum(F.col("n") * off_centre).alias("between"))
+    spread_of_all = total(vector_to_array(Summarizer.variance(F.col("features")))) * (F.count(F.lit(1)) - 1)
+    overall = rows.agg(spread_of_all.alias("total"))
+    between = F.col("total") - counts["within"]
     k = counts["labels"]
     valid = (counts["clusters"] >= 2) & (counts["n"] > counts["clusters"])
-    return between.select(
+    return overall.select(
         counts["clusters"].alias("n_clusters"),
         counts["noise"].alias("n_noise"),
-        F.when(valid, (F.col("between") / (k - 1)) / (counts["within"] / (counts["n"] - k))).alias("calinski_harabasz"),
+        F.when(valid, (between / (k - 1)) / (counts["within"] / (counts["n"] - k))).alias("calinski_harabasz"),
         F.when(valid, davies).alias("davies_bouldin"),
     )
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.ordering import running_totals
-from shelfwise.operators.prep import scalars
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -62,12 +61,11 @@ def roc_auc_one_vs_rest(df: DataFrame, label: str, probability: str, classes: li
 
 
 def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    mean = scalars(df, m=F.avg(label))["m"]
     error = F.col(label) - F.col(prediction)
-    off = F.col(label) - mean
+    around_mean = F.var_pop(label) * F.count(label)
     mse = F.avg(error * error)
     return df.agg(
         mse.alias("mse"),
         F.sqrt(mse).alias("rmse"),
-        (F.lit(1.0) - F.sum(error * error) / F.nullif(F.sum(off * off), F.lit(0.0))).alias("r2"),
+        (F.lit(1.0) - F.sum(error * error) / F.nullif(around_mean, F.lit(0.0))).alias("r2"),
     )

@@ -46,6 +46,14 @@ def _reach(alo: Column, ahi: Column, blo: Column, bhi: Column, d: int) -> Column
     return _sum(s * s for s in spans)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Even partitions in the session's shuffle width: what follows multiplies the rows.
+
+    A fixed number keeps the adaptive planner from merging small-looking partitions.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 class EpsGrid:
     """Weighted distinct points of a table and the search for neighbours within ``eps``."""
 
@@ -55,12 +63,15 @@ class EpsGrid:
             raise ValueError(f"the grid search takes 1 to {MAX_DIMENSIONS} features; project first")
         self.key, self.features, self.eps2 = key, list(features), eps * eps
         self.side = eps / math.sqrt(self.d) * (1 - 1e-9)
+        # rows are matched on their coordinates later, so both uses must see the same numbers
+        df = cut_lineage(df.select(key, *self.features))
         distinct = df.groupBy(*self.features).agg(
             F.count(F.lit(1)).cast("bigint").alias("w"), F.min(key).alias("pt")
         )
         coordinates = F.array(*[F.col(f).cast("double") for f in self.features])
         scaled = F.array(*[F.col(f).cast("double") / F.lit(self.side) for f in self.features])
-        self.points = cut_lineage(distinct.select("pt", "w", coordinates.alias("f"), scaled.alias("u")))
+        points = distinct.select("pt", "w", coordinates.alias("f"), scaled.alias("u"))
+        self.points = cut_lineage(spread(points))
         self.rows = df
 
     def node(self, level: int) -> Column:
@@ -80,8 +91,8 @@ class EpsGrid:
 
     def shifted(self, node: str, half: bool = False) -> Column:
         """The neighbouring level-0 boxes of a level-0 box."""
-        moves = F.array(*[F.array(*[F.lit(x).cast("bigint") for x in (0, *o)]) for o in self.offsets(half)])
-        return F.explode(F.transform(moves, lambda o: F.zip_with(F.col(node), o, lambda a, b: a + b)))
+        moves = ", ".join(f"array(0L, {', '.join(f'{x}L' for x in o)})" for o in self.offsets(half))
+        return F.expr(f"explode(transform(array({moves}), o -> zip_with({node}, o, (a, b) -> a + b)))")
 
     def build(self, points: DataFrame) -> tuple[DataFrame, int]:
         """Boxes of all levels with weight and bounds; leaves also carry their points."""
@@ -114,7 +125,7 @@ class EpsGrid:
 
     def weights_near(self, probes: DataFrame, tree: DataFrame, depth: int) -> DataFrame:
         """Weight within eps of each probe point, per level-0 box: (pt, cell, hits)."""
-        front = probes.withColumn("cell", self.node(0)).select("pt", "f", self.shifted("cell").alias("node"))
+        front = spread(probes.select("pt", "f", "u")).withColumn("cell", self.node(0)).select("pt", "f", self.shifted("cell").alias("node"))
         front = front.withColumn("cell", F.col("node"))
         settled = []
         for level in range(depth):
@@ -133,7 +144,7 @@ class EpsGrid:
 
     def linked_boxes(self, tree: DataFrame, depth: int) -> DataFrame:
         """Pairs of different level-0 boxes that hold points within eps of each other."""
-        roots = tree.where(F.col("node")[0] == 0).select("node")
+        roots = spread(tree.where(F.col("node")[0] == 0).select("node"))
         other = roots.select(F.col("node").alias("b0"))
         front = roots.select(F.col("node").alias("a0"), self.shifted("node", half=True).alias("b0"))
         front = front.join(other, "b0").select("a0", "b0", F.col("a0").alias("na"), F.col("b0").alias("nb"))

@@ -14,13 +14,12 @@ SEPARATOR = ","
 
 
 def pruned_baskets(items: DataFrame, min_support: float) -> DataFrame:
-    """One row per basket holding only its frequent items.
+    """One row per basket holding only its frequent items, from distinct (basket, item) rows.
 
     Frequent items number at most (average basket size / min_support), so the
     gathered array stays small even for a basket that holds most of the rows.
     Baskets left without items stay in, since supports are shares of all baskets.
     """
-    items = items.distinct()
     n = scalars(items, n=F.count_distinct("basket"))["n"]
     frequent = (
         items.groupBy("item")
@@ -36,7 +35,8 @@ def frequent_itemsets(
     items: DataFrame, min_support: float = 0.05, max_len: int = 5, partitions: int | None = None
 ) -> DataFrame:
     """Itemsets with their count and support from (basket, item) rows."""
-    baskets = cut_lineage(pruned_baskets(items, min_support))
+    pairs = cut_lineage(items.distinct())  # read three times below
+    baskets = cut_lineage(pruned_baskets(pairs, min_support))
     total = baskets.agg(F.count(F.lit(1))).scalar()
     # the library rounds the count threshold up; the exact test follows below
     miner = FPGrowth(itemsCol="items", minSupport=max(min_support - 1e-9, 0.0), minConfidence=1.0)

@@ -114,7 +114,8 @@ def popularity_trend(
     df: DataFrame, keys: Sequence[str], ts: str, reviews: str = "reviews", rating: str = "rating"
 ) -> DataFrame:
     """Review and rating direction per series from the slopes on the time index."""
-    indexed = number_rows(df, [F.col(ts)], keys, name="_i").withColumn("_i", F.col("_i").cast("double"))
+    series = df.select(*keys, ts, reviews, rating)
+    indexed = number_rows(series, [F.col(ts)], keys, name="_i").withColumn("_i", F.col("_i").cast("double"))
     agg = indexed.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         F.regr_slope(F.col(reviews).cast("double"), F.col("_i")).alias("rs"),

@@ -49,7 +49,7 @@ def json_slice_query(spark, sf):
 @query(
     "alive_entities",
     f"""WITH l AS (SELECT user_id, max(ts) AS last_seen, arg_max(event_type, (ts, event_id)) AS platform FROM events GROUP BY user_id)
-    SELECT user_id, last_seen, platform FROM l WHERE epoch_us((SELECT max(ts) FROM events)) - epoch_us(last_seen) <= {SILENCE} * 1000000 AND platform IN ('purchase', 'signup')""",
+    SELECT user_id, last_seen, platform FROM l WHERE epoch_us((SELECT max(ts) FROM events)) - epoch_us(last_seen) <= {SILENCE * 1_000_000} AND platform IN ('purchase', 'signup')""",
 )
 def alive_entities(spark, sf):
     alive = aggregate.alive_entities(events(spark, sf), "user_id", "event_type", "ts", "event_id", "purchase", "signup", SILENCE)
@@ -84,7 +84,7 @@ def entity_stats(spark, sf):
 
 @query(
     "entity_health",
-    f"""SELECT user_id, max(ts) AS last_seen, CASE WHEN epoch_us((SELECT max(ts) FROM events)) - epoch_us(max(ts)) <= {SILENCE} * 1000000 THEN 'online' ELSE 'offline' END AS state
+    f"""SELECT user_id, max(ts) AS last_seen, CASE WHEN epoch_us((SELECT max(ts) FROM events)) - epoch_us(max(ts)) <= {SILENCE * 1_000_000} THEN 'online' ELSE 'offline' END AS state
     FROM events GROUP BY user_id""",
 )
 def entity_health(spark, sf):
@@ -154,7 +154,7 @@ def tumbling_counts(spark, sf):
     return counts.select(naive("window_start"), "event_type", "n", F.round("total", 2).alias("total"))
 
 
-SESSIONS_SQL = f"""WITH o AS (SELECT user_id, ts, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) < {SESSION_GAP} * 1000000 THEN 0 ELSE 1 END AS fresh
+SESSIONS_SQL = f"""WITH o AS (SELECT user_id, ts, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) < {SESSION_GAP * 1_000_000} THEN 0 ELSE 1 END AS fresh
   FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
 s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS no FROM o),
 sessions AS (SELECT user_id, CAST(no AS BIGINT) AS session, min(ts) AS started_at, max(ts) AS ended_at, count(*) AS n FROM s GROUP BY 1, 2)

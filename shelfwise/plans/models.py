@@ -36,7 +36,19 @@ def eps_neighbors(spark, sf):
     return neighbors.eps_neighbors(scaled_points(spark, sf), "product_id", Z)
 
 
-@query("dbscan")
+@query(
+    "dbscan",
+    POINTS_SQL.replace("WITH facts", "WITH RECURSIVE facts", 1) + """, near AS (SELECT a.product_id AS a, b.product_id AS b FROM z a JOIN z b
+      ON abs(a.price_z - b.price_z) <= 0.5
+      AND (a.price_z - b.price_z) * (a.price_z - b.price_z) + (a.rating_z - b.rating_z) * (a.rating_z - b.rating_z) + (a.reviews_count_z - b.reviews_count_z) * (a.reviews_count_z - b.reviews_count_z) <= 0.25),
+    core AS (SELECT a AS id FROM near GROUP BY a HAVING count(*) >= 5),
+    links AS (SELECT a, b FROM near WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core) AND a <> b),
+    reach AS (SELECT id, id AS root FROM core UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.id WHERE r.root < l.b),
+    rooted AS (SELECT id, min(root) AS root FROM reach GROUP BY id),
+    numbered AS (SELECT id, dense_rank() OVER (ORDER BY root) - 1 AS cluster FROM rooted),
+    border AS (SELECT n.a AS id, min(c.cluster) AS cluster FROM near n JOIN numbered c ON c.id = n.b WHERE n.a NOT IN (SELECT id FROM core) GROUP BY n.a)
+    SELECT product_id, CAST(coalesce(n.cluster, b.cluster, -1) AS INTEGER) AS cluster FROM products p LEFT JOIN numbered n ON n.id = p.product_id LEFT JOIN border b ON b.id = p.product_id""",
+)
 def dbscan(spark, sf):
     return neighbors.dbscan(scaled_points(spark, sf), "product_id", Z)
 

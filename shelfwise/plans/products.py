@@ -137,10 +137,11 @@ def rating_backfill(spark, sf):
 
 @query(
     "unmatched_ids",
-    SNAPSHOTS + "SELECT product_id FROM late WHERE product_id NOT IN (SELECT product_id FROM early)",
+    GAPS + "SELECT product_id FROM products WHERE product_id NOT IN (SELECT product_id FROM gaps WHERE rating IS NOT NULL)",
 )
 def unmatched_ids(spark, sf):
-    return tables.unmatched_ids(late(spark, sf), early(spark, sf))
+    raw = with_gaps(spark, sf).where(F.col("rating").isNotNull())
+    return tables.unmatched_ids(products(spark, sf), raw)
 
 
 @query(
@@ -231,8 +232,8 @@ def parse_price_query(spark, sf):
 
 @query(
     "page_extract",
-    """SELECT page_id, replace(replace(replace(replace(replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1, 's'),
-        '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', chr(160)), '&amp;', '&') AS title,
+    """SELECT page_id, regexp_replace(replace(replace(replace(replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1, 's'),
+        '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', chr(160)), '&amp;?', '&', 'g') AS title,
       '' AS description, CAST(0 AS DOUBLE) AS price FROM pages""",
 )
 def page_extract(spark, sf):
@@ -513,8 +514,8 @@ def top_per_category(spark, sf):
     P + POPULAR + "SELECT product_id, category, row_number() OVER (PARTITION BY category ORDER BY popularity DESC, product_id) AS category_rank FROM pop",
 )
 def category_rank(spark, sf):
-    ranked = scoring.category_rank(products(spark, sf).withColumn("popularity", scoring.popularity()))
-    return ranked.select("product_id", "category", "category_rank")
+    scored = products(spark, sf).select("product_id", "category", scoring.popularity().alias("popularity"))
+    return scoring.category_rank(scored).select("product_id", "category", "category_rank")
 
 
 EMERGENCE = """round((coalesce(rating, 0) / CAST(5 AS DOUBLE)) * CAST(0.35 AS DOUBLE)
@@ -602,12 +603,12 @@ def context_lines(spark, sf):
 @query(
     "vendor_ranking",
     P + _score_sql() + f""", s AS (SELECT *, round({FULL_SCORE}, 4) AS sc FROM parts WHERE vendor IS NOT NULL)
-    SELECT vendor, country, count(*) AS products, round(avg(sc), 6) AS avg_score, round(avg(rating), 6) AS avg_rating,
+    SELECT vendor, country, count(*) AS products, sum(round(sc * 10000)) / count(sc) / 10000 AS avg_score, round(avg(rating), 9) AS avg_rating,
       arg_max(name, (sc, product_id)) AS flagship, max(sc) AS flagship_score FROM s GROUP BY vendor, country""",
 )
 def vendor_ranking(spark, sf):
     ranked = competitive.vendor_ranking(scoring.score(products(spark, sf)))
-    return ranked.withColumns({c: F.round(c, 6) for c in ("avg_score", "avg_rating")})
+    return ranked.withColumn("avg_rating", F.round("avg_rating", 9))
 
 
 # --- aggregates ----------------------------------------------------------------------
@@ -720,7 +721,7 @@ def promotions(spark, sf):
     "customer_profile",
     """WITH s AS (SELECT o_custkey, p_type, sum(round(l_extendedprice * 100)) AS spend, count(*) AS n, sum(l_quantity) AS q
       FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)
-    SELECT o_custkey, arg_max(p_type, (spend, p_type)) AS top_category, CAST(sum(n) AS BIGINT) AS lines, round(sum(spend) / 100 / sum(q), 4) AS avg_unit_price FROM s GROUP BY o_custkey""",
+    SELECT o_custkey, arg_max(p_type, (spend, p_type)) AS top_category, CAST(sum(n) AS BIGINT) AS lines, sum(spend) / 100 / sum(q) AS avg_unit_price FROM s GROUP BY o_custkey""",
 )
 def customer_profile(spark, sf):
     line = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice", "l_quantity")
@@ -739,7 +740,7 @@ def customer_profile(spark, sf):
     return spend.groupBy("o_custkey").agg(
         F.max_by("p_type", F.struct("spend", "p_type")).alias("top_category"),
         F.sum("n").alias("lines"),
-        F.round(F.sum("spend") / 100 / F.sum("q"), 4).alias("avg_unit_price"),
+        (F.sum("spend") / 100 / F.sum("q")).alias("avg_unit_price"),
     )
 
 

@@ -69,7 +69,7 @@ def association_rules_strict(spark, sf):
 @query(
     "rule_summary",
     itemsets_sql("p_type", 0.05, 5) + rules_sql(0.5, None, 5)
-    + "SELECT count(*) AS n_rules, round(avg(confidence), 6) AS mean_confidence, round(avg(lift), 6) AS mean_lift, round(max(lift), 6) AS max_lift FROM rules WHERE lift >= 1",
+    + "SELECT count(*) AS n_rules, round(coalesce(avg(confidence), 0), 6) AS mean_confidence, round(coalesce(avg(lift), 0), 6) AS mean_lift, round(max(lift), 6) AS max_lift FROM rules WHERE lift >= 1",
 )
 def rule_summary(spark, sf):
     found = rules.association_rules(rules.frequent_itemsets(basket_items(spark, sf)), 0.5, None)

@@ -47,7 +47,7 @@ def stream_collect(spark, sf):
 
 @query(
     "stream_liveness",
-    f"""SELECT CAST(user_id AS VARCHAR) AS entity, CASE WHEN epoch_ms(max(ts)) + {SILENCE} * 1000 < epoch_ms((SELECT max(ts) FROM events)) THEN 'offline' ELSE 'online' END AS state
+    f"""SELECT CAST(user_id AS VARCHAR) AS entity, CASE WHEN epoch_ms(max(ts)) + {SILENCE * 1000} < epoch_ms((SELECT max(ts) FROM events)) THEN 'offline' ELSE 'online' END AS state
     FROM events GROUP BY user_id""",
 )
 def stream_liveness(spark, sf):

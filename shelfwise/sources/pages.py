@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import after_marker, base_url, parse_price, shop_domain
@@ -103,12 +104,37 @@ def page_facts(html: str, strict: bool = False) -> tuple[str, str | None, str]:
     return page.title or "", price, description or ""
 
 
+def _plain_title(html: str) -> Column:
+    """Title text of a page that needs no parser, else NULL.
+
+    Such a page mentions no price or description anywhere and its title stands
+    before any script, style, comment or drawing and holds no markup.
+    """
+    low = F.lower(html)
+    at = F.instr(low, "<title")
+    clear = at > 0
+    for other in ("<script", "<style", "<!--", "<svg"):
+        clear = clear & ((F.instr(low, other) == 0) | (F.instr(low, other) > at))
+    clear = clear & ~low.contains("price") & ~low.contains("description")
+    head = F.substr(F.col(html), at)
+    pattern = r"(?i)^<title[^>]*>([^<]*)</title\s*>"
+    return F.when(clear & head.rlike(pattern), F.regexp_extract(head, pattern, 1))
+
+
 def extract_pages(pages: DataFrame, key: str = "page_id", html: str = "html", strict: bool = False) -> DataFrame:
-    """Title, price and description per page, over whole pages."""
+    """Title, price and description per page, over whole pages.
+
+    Pages without price or description marks are settled by column expressions
+    and send only their title to Python; the others go through the parser.
+    """
+    key_type = dict(pages.dtypes)[key]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            facts = [page_facts(h, strict) for h in pdf[html]]
+            facts = [
+                (unescape(title), None, "") if title is not None else page_facts(whole, strict)
+                for title, whole in zip(pdf["plain"], pdf["whole"])
+            ]
             yield pd.DataFrame(
                 {
                     key: pdf[key],
@@ -118,9 +144,10 @@ def extract_pages(pages: DataFrame, key: str = "page_id", html: str = "html", st
                 }
             )
 
-    key_type = dict(pages.dtypes)[key]
+    split = pages.select(key, html, _plain_title(html).alias("plain"))
+    split = split.select(key, "plain", F.when(F.col("plain").isNull(), F.col(html)).alias("whole"))
     schema = f"{key} {key_type}, title string, price_text string, description string"
-    found = pages.select(key, html).mapInPandas(run, schema)
+    found = split.mapInPandas(run, schema)
     return found.withColumn("price", parse_price("price_text")).drop("price_text")
 
 
