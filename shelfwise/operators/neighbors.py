@@ -30,19 +30,23 @@ def _sum(parts) -> Column:
     return reduce(lambda a, b: a + b, parts)
 
 
-def _squared(a: Column, b: Column, d: int) -> Column:
-    return _sum((a[i] - b[i]) * (a[i] - b[i]) for i in range(d))
+def _cols(prefix: str, d: int, suffix: str = "") -> list[Column]:
+    return [F.col(f"{prefix}{i}{suffix}") for i in range(d)]
 
 
-def _gap(alo: Column, ahi: Column, blo: Column, bhi: Column, d: int) -> Column:
+def _squared(a: Sequence[Column], b: Sequence[Column]) -> Column:
+    return _sum((x - y) * (x - y) for x, y in zip(a, b))
+
+
+def _gap(alo, ahi, blo, bhi) -> Column:
     """Smallest squared distance between two boxes."""
-    gaps = [F.greatest(blo[i] - ahi[i], alo[i] - bhi[i], F.lit(0.0)) for i in range(d)]
+    gaps = [F.greatest(bl - ah, al - bh, F.lit(0.0)) for al, ah, bl, bh in zip(alo, ahi, blo, bhi)]
     return _sum(g * g for g in gaps)
 
 
-def _reach(alo: Column, ahi: Column, blo: Column, bhi: Column, d: int) -> Column:
+def _reach(alo, ahi, blo, bhi) -> Column:
     """Largest squared distance between two boxes."""
-    spans = [F.greatest(F.abs(bhi[i] - alo[i]), F.abs(ahi[i] - blo[i])) for i in range(d)]
+    spans = [F.greatest(bh - al, ah - bl) for al, ah, bl, bh in zip(alo, ahi, blo, bhi)]
     return _sum(s * s for s in spans)
 
 
@@ -55,7 +59,11 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 class EpsGrid:
-    """Weighted distinct points of a table and the search for neighbours within ``eps``."""
+    """Weighted distinct points of a table and the search for neighbours within ``eps``.
+
+    Coordinates stay in plain columns (``f0``, ``f1``, ...), so distances compile
+    to short arithmetic.
+    """
 
     def __init__(self, df: DataFrame, key: str, features: Sequence[str], eps: float):
         self.d = len(features)
@@ -63,23 +71,24 @@ class EpsGrid:
             raise ValueError(f"the grid search takes 1 to {MAX_DIMENSIONS} features; project first")
         self.key, self.features, self.eps2 = key, list(features), eps * eps
         self.side = eps / math.sqrt(self.d) * (1 - 1e-9)
+        self.f = [f"f{i}" for i in range(self.d)]
         # rows are matched on their coordinates later, so both uses must see the same numbers
-        df = cut_lineage(df.select(key, *self.features))
-        distinct = df.groupBy(*self.features).agg(
-            F.count(F.lit(1)).cast("bigint").alias("w"), F.min(key).alias("pt")
-        )
-        coordinates = F.array(*[F.col(f).cast("double") for f in self.features])
-        scaled = F.array(*[F.col(f).cast("double") / F.lit(self.side) for f in self.features])
-        points = distinct.select("pt", "w", coordinates.alias("f"), scaled.alias("u"))
-        self.points = cut_lineage(spread(points))
-        self.rows = df
+        coordinates = [F.col(n).cast("double").alias(f) for n, f in zip(self.features, self.f)]
+        self.rows = cut_lineage(df.select(key, *coordinates))
+        distinct = self.rows.groupBy(*self.f).agg(F.count(F.lit(1)).cast("bigint").alias("w"), F.min(key).alias("pt"))
+        self.points = cut_lineage(spread(distinct.select("pt", "w", *self.f)))
 
     def node(self, level: int) -> Column:
         """Box of a point at a level: the level followed by its grid coordinates."""
+        scale = F.lit(float(2**level))
         return F.array(
-            F.lit(level).cast("bigint"), *[F.floor(F.col("u")[i] * F.lit(float(2**level))) for i in range(self.d)]
+            F.lit(level).cast("bigint"), *[F.floor(x / F.lit(self.side) * scale) for x in _cols("f", self.d)]
         )
 
+    def bounds(self) -> list[Column]:
+        low = [F.min(f).alias(f"lo{i}") for i, f in enumerate(self.f)]
+        return low + [F.max(f).alias(f"hi{i}") for i, f in enumerate(self.f)]
+
     def offsets(self, half: bool = False) -> list[tuple[int, ...]]:
         r = math.ceil(math.sqrt(self.d))
         near = [
@@ -96,14 +105,11 @@ class EpsGrid:
 
     def build(self, points: DataFrame) -> tuple[DataFrame, int]:
         """Boxes of all levels with weight and bounds; leaves also carry their points."""
-        parts, pending, level = [], points, 0
+        parts, pending, level = [], points.select("w", *self.f), 0
         while True:
             keyed = pending.withColumn("node", self.node(level))
-            bounds = [F.array(*[fn(F.col("f")[i]) for i in range(self.d)]) for fn in (F.min, F.max)]
             boxes = cut_lineage(
-                keyed.groupBy("node").agg(
-                    F.count(F.lit(1)).alias("n"), F.sum("w").alias("w"), bounds[0].alias("lo"), bounds[1].alias("hi")
-                )
+                keyed.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("w"), *self.bounds())
             )
             last = level >= MAX_LEVELS
             crowded = F.lit(False) if last else F.col("n") > LEAF
@@ -111,35 +117,45 @@ class EpsGrid:
             held = (
                 keyed.join(leaves, "node", "left_semi")
                 .groupBy("node")
-                .agg(F.collect_list(F.struct("w", "f")).alias("pts"))
+                .agg(F.collect_list(F.struct("w", *self.f)).alias("pts"))
             )
             up = F.array(
                 F.col("node")[0] - 1, *[F.floor(F.col("node")[i + 1] / F.lit(2.0)) for i in range(self.d)]
             )
-            parts.append(boxes.join(held, "node", "left").withColumn("parent", up))
+            parts.append(boxes.join(held, "node", "left").withColumn("parent", up).drop("n"))
             level += 1
             if last or boxes.where(crowded).isEmpty():
                 break
             pending = cut_lineage(keyed.join(boxes.where(crowded).select("node"), "node", "left_semi").drop("node"))
         return cut_lineage(reduce(DataFrame.unionByName, parts)), level
 
+    def boxes_near(self, probes: DataFrame, tree: DataFrame) -> DataFrame:
+        """Level-0 boxes that can hold a neighbour of some probe, per probe cell: (cell, node, ...)."""
+        cells = spread(probes.groupBy("cell").agg(*[b.alias(f"c_{i}") for i, b in enumerate(self.bounds())]))
+        around = cells.withColumn("node", self.shifted("cell"))
+        roots = tree.where(F.col("node")[0] == 0).drop("parent")
+        corners = _cols("c_", 2 * self.d)
+        gap = _gap(corners[: self.d], corners[self.d :], _cols("lo", self.d), _cols("hi", self.d))
+        return around.join(roots, "node").where(gap <= self.eps2).drop(*[f"c_{i}" for i in range(2 * self.d)])
+
     def weights_near(self, probes: DataFrame, tree: DataFrame, depth: int) -> DataFrame:
         """Weight within eps of each probe point, per level-0 box: (pt, cell, hits)."""
-        front = spread(probes.select("pt", "f", "u")).withColumn("cell", self.node(0)).select("pt", "f", self.shifted("cell").alias("node"))
-        front = front.withColumn("cell", F.col("node"))
+        probes = probes.withColumn("cell", self.node(0)).select("pt", *self.f, "cell")
+        met = probes.join(self.boxes_near(probes, tree), "cell").withColumn("cell", F.col("node"))
+        f, lo, hi = _cols("f", self.d), _cols("lo", self.d), _cols("hi", self.d)
         settled = []
         for level in range(depth):
-            met = front.join(tree.where(F.col("node")[0] == level).drop("parent", "n"), "node")
-            f, lo, hi = F.col("f"), F.col("lo"), F.col("hi")
-            met = met.where(_gap(f, f, lo, hi, self.d) <= self.eps2)
-            inside = _reach(f, f, lo, hi, self.d) <= self.eps2
-            close = F.filter("pts", lambda p: _squared(p["f"], F.col("f"), self.d) <= self.eps2)
-            counted = F.aggregate(close, F.lit(0).cast("bigint"), lambda acc, p: acc + p["w"])
+            met = met.where(_gap(f, f, lo, hi) <= self.eps2)
+            inside = _reach(f, f, lo, hi) <= self.eps2
             done = inside | F.col("pts").isNotNull()
-            settled.append(met.where(done).select("pt", "cell", F.when(inside, F.col("w")).otherwise(counted).alias("hits")))
+            # a box that lies within eps counts as one point on the spot, a leaf by its few points
+            counted = F.when(inside, F.array(F.struct("w", *self.f))).otherwise(F.col("pts"))
+            points = met.where(done).select("pt", *self.f, "cell", F.explode(counted).alias("p"))
+            near = points.where(_squared([F.col(f"p.{c}") for c in self.f], f) <= self.eps2)
+            settled.append(near.select("pt", "cell", F.col("p.w").alias("hits")))
             if level + 1 < depth:
-                opened = met.where(~done).select("pt", "f", "cell", F.col("node").alias("parent"))
-                front = opened.join(tree.select("parent", "node"), "parent").drop("parent")
+                opened = met.where(~done).select("pt", *self.f, "cell", F.col("node").alias("parent"))
+                met = cut_lineage(opened).join(tree, "parent").drop("parent")
         return reduce(DataFrame.unionByName, settled).groupBy("pt", "cell").agg(F.sum("hits").alias("hits"))
 
     def linked_boxes(self, tree: DataFrame, depth: int) -> DataFrame:
@@ -152,18 +168,21 @@ class EpsGrid:
         step = below.unionByName(tree.where(F.col("pts").isNotNull()).select(F.col("node").alias("up"), "node"))
 
         def side(s: str) -> DataFrame:
-            return tree.select(*[F.col(c).alias(f"{c}_{s}") for c in ("node", "lo", "hi", "pts")])
+            return tree.select(*[F.col(c).alias(f"{c}_{s}") for c in tree.columns if c not in ("w", "parent")])
 
+        box = [_cols(c, self.d, s) for s in ("_a", "_b") for c in ("lo", "hi")]
         found = []
         for level in range(depth):
             met = front.join(side("a"), F.col("na") == F.col("node_a")).join(side("b"), F.col("nb") == F.col("node_b"))
-            box = [F.col(c) for c in ("lo_a", "hi_a", "lo_b", "hi_b")]
-            met = met.where(_gap(*box, self.d) <= self.eps2)
+            met = met.where(_gap(*box) <= self.eps2)
             near = F.exists(
-                "pts_a", lambda p: F.exists("pts_b", lambda q: _squared(p["f"], q["f"], self.d) <= self.eps2)
+                "pts_a",
+                lambda p: F.exists(
+                    "pts_b", lambda q: _squared([p[c] for c in self.f], [q[c] for c in self.f]) <= self.eps2
+                ),
             )
             both = F.col("pts_a").isNotNull() & F.col("pts_b").isNotNull()
-            verdict = F.when(_reach(*box, self.d) <= self.eps2, True).when(both, near)
+            verdict = F.when(_reach(*box) <= self.eps2, True).when(both, near)
             met = cut_lineage(met.select("a0", "b0", "na", "nb", verdict.alias("linked")))
             linked = met.where("linked").select("a0", "b0").distinct()
             found.append(linked)
@@ -179,15 +198,8 @@ class EpsGrid:
 
     def to_rows(self, per_point: DataFrame) -> DataFrame:
         """Spread a result per distinct point back over the original rows."""
-        coordinates = self.points.select("pt", "f").join(per_point, "pt")
-        for i, name in enumerate(self.features):
-            coordinates = coordinates.withColumn(f"_f{i}", F.col("f")[i])
-        match = reduce(
-            lambda a, b: a & b, [F.col(n).cast("double") == F.col(f"_f{i}") for i, n in enumerate(self.features)]
-        )
-        return self.rows.select(self.key, *self.features).join(coordinates, match).drop(
-            "pt", "f", *[f"_f{i}" for i in range(self.d)], *self.features
-        )
+        placed = self.points.select("pt", *self.f).join(per_point, "pt").drop("pt")
+        return self.rows.join(placed, self.f).drop(*self.f)
 
 
 def eps_neighbors(
@@ -240,19 +252,15 @@ def dbscan(
     """
     grid = EpsGrid(df, key, features, eps)
     points = grid.points.withColumn("cell", grid.node(0))
-    cells = points.groupBy("cell").agg(
-        F.sum("w").alias("cell_w"),
-        *[F.min(F.col("f")[i]).alias(f"_lo{i}") for i in range(grid.d)],
-        *[F.max(F.col("f")[i]).alias(f"_hi{i}") for i in range(grid.d)],
-    )
-    diagonal = _sum((F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (F.col(f"_hi{i}") - F.col(f"_lo{i}")) for i in range(grid.d))
+    cells = points.groupBy("cell").agg(F.sum("w").alias("cell_w"), *grid.bounds())
+    diagonal = _squared(_cols("hi", grid.d), _cols("lo", grid.d))
     dense = cells.where((F.col("cell_w") >= min_samples) & (diagonal <= grid.eps2)).select("cell")
     sure = points.join(dense, "cell", "left_semi")
     unsure = points.join(dense, "cell", "left_anti")
     tree, depth = grid.build(grid.points)
     counts = grid.weights_near(unsure, tree, depth).groupBy("pt").agg(F.sum("hits").alias("hits"))
     cores = sure.unionByName(unsure.join(counts.where(F.col("hits") >= min_samples), "pt", "left_semi"), allowMissingColumns=True)
-    cores = cut_lineage(cores.select("pt", "w", "f", "u", "cell"))
+    cores = cut_lineage(cores.select("pt", "w", *grid.f, "cell"))
     if cores.isEmpty():
         return df.select(key, F.lit(-1).alias("cluster"))
 
