@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.session import cut_lineage
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -72,6 +74,15 @@ def products(spark: SparkSession, sf_dir: str, lines=None) -> DataFrame:
     )
 
 
+def held(df: DataFrame, *columns: str) -> DataFrame:
+    """The named columns written once to the checkpoint folder.
+
+    For queries that read the catalogue more than once: each pass would otherwise
+    prune its own columns, so Spark could not share the aggregate over the lines.
+    """
+    return cut_lineage(df.select(*columns) if columns else df)
+
+
 def basket_items(spark: SparkSession, sf_dir: str, item: str = "p_type") -> DataFrame:
     """Distinct (order, item) pairs."""
     line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")

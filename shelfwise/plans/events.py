@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import json_slice
 from shelfwise.operators import aggregate, scoring
-from shelfwise.plans.catalog import PRODUCTS_SQL, events, products, table
-from shelfwise.plans.products import FULL_SCORE, _score_sql
+from shelfwise.plans.catalog import PRODUCTS_SQL, events, held, products, table
+from shelfwise.plans.products import FULL_SCORE, SCORED, _score_sql
 from shelfwise.plans.registry import query
 
 DURATION_EDGES = (0.1, 0.5, 1.0, 2.0, 5.0, 10.0, 30.0, 60.0)  # fixed values
@@ -116,7 +116,7 @@ def duration_histogram(spark, sf):
     UNION ALL SELECT 'top_k_mean_score', round(avg(sc), 6) FROM t UNION ALL SELECT 'products_stored', CAST(count(*) AS DOUBLE) FROM products""",
 )
 def latest_gauges(spark, sf):
-    catalog = products(spark, sf)
+    catalog = held(products(spark, sf), *SCORED)
     gauges = aggregate.latest_gauges(events(spark, sf), "event_type", "value", "ts", "event_id").select("metric", "value")
     mean = scoring.top_k(catalog).agg(F.round(F.avg("_score"), 6).alias("value"))
     stored = catalog.agg(F.count(F.lit(1)).cast("double").alias("value"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfwise.operators import cluster, metrics, model, neighbors, prep
-from shelfwise.plans.catalog import PRODUCTS_SQL, products, table
+from shelfwise.plans.catalog import PRODUCTS_SQL, held, products, table
 from shelfwise.plans.products import QUALITY
 from shelfwise.plans.registry import query
 
@@ -15,7 +15,7 @@ DENSITY = ("price", "rating", "reviews_count")
 def scaled_points(spark, sf_dir):
     """Standardised price, rating and reviews, missing values as 0."""
     base = products(spark, sf_dir).select("product_id", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in DENSITY])
-    return prep.zscore(base, DENSITY, "_z").select("product_id", *[f"{c}_z" for c in DENSITY])
+    return prep.zscore(held(base), DENSITY, "_z").select("product_id", *[f"{c}_z" for c in DENSITY])
 
 
 Z = [f"{c}_z" for c in DENSITY]
@@ -55,27 +55,27 @@ def dbscan(spark, sf):
 
 @query("kmeans")
 def kmeans(spark, sf):
-    vectors = cluster.scaled_vectors(products(spark, sf), "product_id")
+    vectors = cluster.scaled_vectors(held(products(spark, sf), "product_id", *DENSITY), "product_id")
     fitted = cluster.fit_kmeans(vectors)
     return cluster.assign(fitted, vectors).select("product_id", "cluster")
 
 
 @query("hierarchical")
 def hierarchical(spark, sf):
-    vectors = cluster.scaled_vectors(products(spark, sf), "product_id")
+    vectors = cluster.scaled_vectors(held(products(spark, sf), "product_id", *DENSITY), "product_id")
     return cluster.hierarchical(vectors).select("product_id", "cluster")
 
 
 @query("segment_names")
 def segment_names(spark, sf):
-    catalog = products(spark, sf)
+    catalog = held(products(spark, sf), "product_id", *DENSITY)
     vectors = cluster.scaled_vectors(catalog, "product_id")
     return cluster.name_segments(cluster.assign(cluster.fit_kmeans(vectors, restarts=3), vectors))
 
 
 @query("pca")
 def pca(spark, sf):
-    coordinates, _ = cluster.pca(cluster.scaled_vectors(products(spark, sf), "product_id"))
+    coordinates, _ = cluster.pca(cluster.scaled_vectors(held(products(spark, sf), "product_id", *DENSITY), "product_id"))
     return coordinates.select("product_id", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 
 
@@ -134,7 +134,8 @@ LABELLED = PRODUCTS_SQL + f", q AS (SELECT *, {QUALITY} AS s FROM products), lab
 
 
 def labelled(spark, sf_dir):
-    return prep.flag_top_quartile(prep.quality_score(products(spark, sf_dir)))
+    catalog = held(products(spark, sf_dir), "product_id", *prep.FEATURES)
+    return held(prep.flag_top_quartile(prep.quality_score(catalog)))
 
 
 @query(
@@ -163,12 +164,12 @@ def logistic(spark, sf):
 
 @query("regressor")
 def regressor(spark, sf):
-    return model.train_regressor(products(spark, sf), "price")[1]
+    return model.train_regressor(held(products(spark, sf), "product_id", *prep.FEATURES), "price")[1]
 
 
 @query("trending_products")
 def trending_products(spark, sf):
-    return model.trending_products(products(spark, sf))
+    return model.trending_products(held(products(spark, sf), "product_id", "name", "category", *DENSITY))
 
 
 @query(
@@ -176,7 +177,7 @@ def trending_products(spark, sf):
     PRODUCTS_SQL + "SELECT product_id, CAST(coalesce(rating > 4.0 AND reviews_count > (SELECT quantile_cont(reviews_count, 0.5) FROM products), false) AS INTEGER) AS trending FROM products",
 )
 def trending_label(spark, sf):
-    return model.trending_label(products(spark, sf)).select("product_id", "trending")
+    return model.trending_label(held(products(spark, sf), "product_id", "rating", "reviews_count")).select("product_id", "trending")
 
 
 @query(
@@ -184,7 +185,7 @@ def trending_label(spark, sf):
     PRODUCTS_SQL + "SELECT product_id, CAST(price > (SELECT quantile_cont(price, 0.5) FROM products) AS INTEGER) AS dear FROM products",
 )
 def above_median_price(spark, sf):
-    return model.above_median_price(products(spark, sf)).select("product_id", "dear")
+    return model.above_median_price(held(products(spark, sf), "product_id", "price")).select("product_id", "dear")
 
 
 def graded(spark, sf_dir):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions.columns import clean_title, parse_price
 
 from shelfwise.operators import aggregate, competitive, prep, scoring, tables
-from shelfwise.plans.catalog import PRODUCTS_SQL, products, table
+from shelfwise.plans.catalog import PRODUCTS_SQL, held, products, table
 from shelfwise.plans.registry import query
 from shelfwise.sources import pages, store
 
@@ -42,10 +42,13 @@ def _snapshot_sql(name: str, condition: str) -> str:
 SNAPSHOTS = "WITH " + _snapshot_sql("early", "<") + ", " + _snapshot_sql("late", ">=")
 
 
-def with_gaps(spark, sf_dir):
-    """The catalogue with cells blanked by rules on the row, as raw feeds have them."""
+GAPPY = ("price", "rating", "reviews_count", "vendor", "availability")
+
+
+def gaps_in(df):
+    """Cells blanked by rules on the row, as raw feeds have them."""
     q = F.col("quantity")
-    return products(spark, sf_dir).withColumns(
+    return df.withColumns(
         {
             "rating": F.when(q % 4 != 0, F.col("rating")).otherwise(F.when(q % 8 == 0, 0.0)),
             "reviews_count": F.when(q % 5 != 0, F.col("reviews_count")),
@@ -56,6 +59,11 @@ def with_gaps(spark, sf_dir):
     )
 
 
+def with_gaps(spark, sf_dir):
+    """The whole catalogue with such gaps."""
+    return gaps_in(products(spark, sf_dir))
+
+
 GAPS = P + """, gaps AS (
   SELECT * REPLACE (
     CASE WHEN quantity % 4 <> 0 THEN rating WHEN quantity % 8 = 0 THEN 0.0 END AS rating,
@@ -131,7 +139,8 @@ def catalog_upsert_reduced(spark, sf):
     FROM gaps g LEFT JOIN products p ON p.product_id = g.product_id""",
 )
 def rating_backfill(spark, sf):
-    filled = tables.rating_backfill(with_gaps(spark, sf), products(spark, sf))
+    raw = held(products(spark, sf), "product_id", "quantity", *GAPPY)
+    filled = tables.rating_backfill(gaps_in(raw), raw.select("product_id", "rating", "reviews_count"))
     return filled.select("product_id", "rating", "reviews_count", "backfilled")
 
 
@@ -140,8 +149,8 @@ def rating_backfill(spark, sf):
     GAPS + "SELECT product_id FROM products WHERE product_id NOT IN (SELECT product_id FROM gaps WHERE rating IS NOT NULL)",
 )
 def unmatched_ids(spark, sf):
-    raw = with_gaps(spark, sf).where(F.col("rating").isNotNull())
-    return tables.unmatched_ids(products(spark, sf), raw)
+    raw = held(products(spark, sf), "product_id", "quantity", *GAPPY)
+    return tables.unmatched_ids(raw, gaps_in(raw).where(F.col("rating").isNotNull()))
 
 
 @query(
@@ -330,7 +339,7 @@ def null_profile(spark, sf):
       coalesce(reviews_count, 0) AS reviews_count, coalesce(quantity, 0) AS quantity, coalesce(availability, false) AS availability FROM gaps""",
 )
 def fill_missing(spark, sf):
-    filled = prep.fill_missing(with_gaps(spark, sf))
+    filled = prep.fill_missing(held(with_gaps(spark, sf), "product_id", "price", "rating", "reviews_count", "quantity", "availability"))
     return filled.select("product_id", F.round("price", 6).alias("price"), "rating", "reviews_count", "quantity", "availability")
 
 
@@ -344,7 +353,7 @@ ZCOLS = ("price", "rating", "reviews_count", "quantity")
     + " FROM products",
 )
 def zscore(spark, sf):
-    scaled = prep.zscore(products(spark, sf), ZCOLS)
+    scaled = prep.zscore(held(products(spark, sf), "product_id", *ZCOLS), ZCOLS)
     return scaled.select("product_id", *[F.round(f"{c}_norm", 6).alias(f"{c}_norm") for c in ZCOLS])
 
 
@@ -354,7 +363,7 @@ def zscore(spark, sf):
       dense_rank() OVER (ORDER BY coalesce(vendor, 'None')) - 1 AS vendor_encoded FROM gaps""",
 )
 def label_encode(spark, sf):
-    return prep.label_encode(with_gaps(spark, sf)).select("product_id", "category_encoded", "vendor_encoded")
+    return prep.label_encode(held(with_gaps(spark, sf), "product_id", "category", "vendor")).select("product_id", "category_encoded", "vendor_encoded")
 
 
 @query(
@@ -375,7 +384,8 @@ QUALITY = """(CAST(0.6 AS DOUBLE) * (coalesce(rating, 0) / CAST(5 AS DOUBLE))
     P + f"SELECT product_id, rating AS rating_original, reviews_count AS reviews_count_original, round({QUALITY}, 6) AS quality_score FROM products",
 )
 def quality_score(spark, sf):
-    scored = prep.quality_score(prep.keep_originals(products(spark, sf), ("rating", "reviews_count")))
+    catalog = held(products(spark, sf), "product_id", "rating", "reviews_count")
+    scored = prep.quality_score(prep.keep_originals(catalog, ("rating", "reviews_count")))
     return scored.select("product_id", "rating_original", "reviews_count_original", F.round("quality_score", 6).alias("quality_score"))
 
 
@@ -385,7 +395,8 @@ def quality_score(spark, sf):
     SELECT product_id, CAST(s >= (SELECT quantile_cont(s, 0.75) FROM q) AS INTEGER) AS is_top FROM q""",
 )
 def is_top(spark, sf):
-    return prep.flag_top_quartile(prep.quality_score(products(spark, sf))).select("product_id", "is_top")
+    catalog = held(products(spark, sf), "product_id", "rating", "reviews_count")
+    return prep.flag_top_quartile(prep.quality_score(catalog)).select("product_id", "is_top")
 
 
 @query(
@@ -414,7 +425,7 @@ def missing_ratings(spark, sf):
     FROM products JOIN b USING (category)""",
 )
 def price_outliers(spark, sf):
-    found = prep.price_outliers(products(spark, sf), fence=0.5, z=1.5)
+    found = prep.price_outliers(held(products(spark, sf), "product_id", "category", "price"), fence=0.5, z=1.5)
     return found.select("product_id", "category", F.round("q1", 6).alias("q1"), F.round("q3", 6).alias("q3"), "iqr_outlier", "z_outlier")
 
 
@@ -424,7 +435,7 @@ def price_outliers(spark, sf):
     SELECT product_id, round((price - lo) / (hi - lo), 6) AS price_minmax, round((price - q2) / (q3 - q1), 6) AS price_robust FROM products, s""",
 )
 def minmax_robust(spark, sf):
-    scaled = prep.robust_scale(prep.minmax_scale(products(spark, sf), ["price"]), "price")
+    scaled = prep.robust_scale(prep.minmax_scale(held(products(spark, sf), "product_id", "price"), ["price"]), "price")
     return scaled.select("product_id", F.round("price_minmax", 6).alias("price_minmax"), F.round("price_robust", 6).alias("price_robust"))
 
 
@@ -448,13 +459,14 @@ def _score_sql(source: str = "products", max_price: str = "max(price) FILTER (WH
 
 BASE_SCORE = "CAST(0.3 AS DOUBLE) * rs + CAST(0.25 AS DOUBLE) * vs + CAST(0.2 AS DOUBLE) * ps"
 FULL_SCORE = BASE_SCORE + " + CAST(0.15 AS DOUBLE) * av"
+SCORED = ("product_id", "name", "category", "price", "rating", "reviews_count", "availability")
 SHOWN = ("product_id", "name", "category", "price", "_score")
 SHOWN_SQL = "product_id, name, category, price"
 
 
 @query("top_k", P + _score_sql() + f"SELECT {SHOWN_SQL}, round({FULL_SCORE}, 4) AS _score FROM parts ORDER BY _score DESC, product_id LIMIT 10")
 def top_k(spark, sf):
-    return scoring.top_k(products(spark, sf)).select(*SHOWN)
+    return scoring.top_k(held(products(spark, sf), *SCORED)).select(*SHOWN)
 
 
 @query(
@@ -462,7 +474,7 @@ def top_k(spark, sf):
     P + _score_sql() + f", s AS (SELECT *, {BASE_SCORE} AS u FROM parts) SELECT {SHOWN_SQL}, round(u, 6) AS _score FROM s ORDER BY u DESC, product_id LIMIT 10",
 )
 def top_k_clipped(spark, sf):
-    top = scoring.top_k(products(spark, sf), preset=scoring.CLIPPED)
+    top = scoring.top_k(held(products(spark, sf), *SCORED), preset=scoring.CLIPPED)
     return top.withColumn("_score", F.round("_score", 6)).select(*SHOWN)
 
 
@@ -476,18 +488,18 @@ def filter_price_category(spark, sf):
 
 @query("top_k_filtered", P + FILTERED + _score_sql("f") + f"SELECT {SHOWN_SQL}, round({FULL_SCORE}, 4) AS _score FROM parts ORDER BY _score DESC, product_id LIMIT 10")
 def top_k_filtered(spark, sf):
-    kept = scoring.filter_products(products(spark, sf), 100, "PROMO")
+    kept = held(scoring.filter_products(products(spark, sf), 100, "PROMO"), *SCORED)
     return scoring.top_k(kept, preset=scoring.INTERACTIVE).select(*SHOWN)
 
 
 @query("top_k_view", P + _score_sql() + f"SELECT product_id, round({FULL_SCORE}, 6) AS score FROM parts")
 def top_k_view(spark, sf):
-    return scoring.score(products(spark, sf), scoring.VIEW).select("product_id", F.round("_score", 6).alias("score"))
+    return scoring.score(held(products(spark, sf), *SCORED), scoring.VIEW).select("product_id", F.round("_score", 6).alias("score"))
 
 
 @query("top_5", P + _score_sql() + f"SELECT {SHOWN_SQL}, round({FULL_SCORE}, 4) AS _score FROM parts ORDER BY _score DESC, product_id LIMIT 5")
 def top_5(spark, sf):
-    return scoring.top_k(products(spark, sf), 5, scoring.INTERACTIVE).select(*SHOWN)
+    return scoring.top_k(held(products(spark, sf), *SCORED), 5, scoring.INTERACTIVE).select(*SHOWN)
 
 
 @query(
@@ -497,7 +509,7 @@ def top_5(spark, sf):
     FROM parts, d ORDER BY _score DESC, product_id LIMIT 10""",
 )
 def top_k_recency(spark, sf):
-    return scoring.top_k(products(spark, sf), preset=scoring.RECENCY).select(*SHOWN)
+    return scoring.top_k(held(products(spark, sf), *SCORED, "updated_at"), preset=scoring.RECENCY).select(*SHOWN)
 
 
 POPULAR = ", pop AS (SELECT *, coalesce(rating, 0) * coalesce(reviews_count, 0) AS popularity FROM products)"
@@ -542,7 +554,7 @@ def emerging_products(spark, sf):
     UNION ALL SELECT 'lowest', product_id, rating FROM (SELECT * FROM products WHERE rating IS NOT NULL ORDER BY rating, product_id LIMIT 10)""",
 )
 def rating_extremes(spark, sf):
-    return scoring.rating_extremes(products(spark, sf)).select("side", "product_id", "rating")
+    return scoring.rating_extremes(held(products(spark, sf), "product_id", "rating")).select("side", "product_id", "rating")
 
 
 # --- comparisons -------------------------------------------------------------------
@@ -566,7 +578,7 @@ def segments(spark, sf):
     FROM leaders GROUP BY category HAVING category_size >= 2""",
 )
 def compare_products(spark, sf):
-    return competitive.compare_products(products(spark, sf))
+    return competitive.compare_products(held(products(spark, sf), "product_id", "name", "category", "price", "rating", "reviews_count"))
 
 
 @query(
@@ -607,7 +619,7 @@ def context_lines(spark, sf):
       arg_max(name, (sc, product_id)) AS flagship, max(sc) AS flagship_score FROM s GROUP BY vendor, country""",
 )
 def vendor_ranking(spark, sf):
-    ranked = competitive.vendor_ranking(scoring.score(products(spark, sf)))
+    ranked = competitive.vendor_ranking(scoring.score(held(products(spark, sf), *SCORED, "vendor", "country")))
     return ranked.withColumn("avg_rating", F.round("avg_rating", 9))
 
 
@@ -657,6 +669,7 @@ def category_stats(spark, sf):
 )
 def category_movers(spark, sf):
     branded = products(spark, sf).withColumn("category", F.col("sub_category"))
+    branded = held(branded, "category", "price", "rating", "reviews_count")
     return aggregate.category_movers(branded, rising_share=1.05, declining_share=0.95)
 
 

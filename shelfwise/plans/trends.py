@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfwise.operators import trend
-from shelfwise.plans.catalog import HISTORY_SQL, PRODUCTS_SQL, price_history, products, table
+from shelfwise.plans.catalog import HISTORY_SQL, PRODUCTS_SQL, held, price_history, products, table
 from shelfwise.plans.registry import query
 
 TAIL = """, tail AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY month DESC) AS back FROM series) WHERE back <= 100),
@@ -100,4 +100,4 @@ def price_change(spark, sf):
     UNION ALL SELECT 'category_trend', category, 'declining' FROM (SELECT category FROM st WHERE n < (SELECT avg(n) FROM st) * 0.6 AND r < 3.5 ORDER BY category LIMIT 6)""",
 )
 def trend_insights(spark, sf):
-    return trend.insight_rows(trend.trend_insights(products(spark, sf), price_history(spark, sf)))
+    return trend.insight_rows(trend.trend_insights(held(products(spark, sf), "category", "price", "rating", "reviews_count"), held(price_history(spark, sf))))
