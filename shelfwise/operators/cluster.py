@@ -9,6 +9,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 from pyspark import inheritable_thread_target
+from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -17,6 +18,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.operators.model import scaled_pipeline
 from shelfwise.operators.prep import scalars, zscore
 from shelfwise.session import cut_lineage
 
@@ -52,6 +54,15 @@ def fit_kmeans(
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
+def fit_cluster_model(
+    df: DataFrame, features: Sequence[str] = CLUSTER_FEATURES, k: int = 5, seed: int = 42
+) -> PipelineModel:
+    """Scaling and K-means as one model that can be stored and applied to new rows."""
+    filled = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features])
+    estimator = KMeans(k=k, maxIter=300, seed=seed, featuresCol="features", predictionCol="cluster")
+    return scaled_pipeline(cut_lineage(filled), features, estimator)
+
+
 def assign(model: KMeansModel, vectors: DataFrame) -> DataFrame:
     """Cluster per row with labels in the order of the sorted centroids."""
     centres = [tuple(c) for c in model.clusterCenters()]
@@ -174,8 +185,8 @@ def _worst_overlap(profile: DataFrame) -> DataFrame:
 def cluster_quality(df: DataFrame, label: str = "cluster", features: str = "features") -> DataFrame:
     """Cluster and noise counts, Calinski-Harabasz and Davies-Bouldin scores, one row.
 
-    Group moments come from one aggregate; only the mean distance to the own
-    centre needs a second pass.  Scores are NULL with fewer than two clusters.
+    Two passes over the rows: group moments, then the mean distance to the own
+    centre.  Scores are NULL with fewer than two clusters.
     """
     rows = df.select(F.col(label).cast("bigint").alias("label"), F.col(features).alias("features"))
     moments = rows.groupBy("label").agg(
@@ -207,9 +218,11 @@ def cluster_quality(df: DataFrame, label: str = "cluster", features: str = "feat
         clusters=F.count_if(F.col("label") != -1),
         within=F.sum("within"),
     )
-    spread_of_all = total(vector_to_array(Summarizer.variance(F.col("features")))) * (F.count(F.lit(1)) - 1)
-    overall = rows.agg(spread_of_all.alias("total"))
-    between = F.col("total") - counts["within"]
+    # sum of n_c * (c - mean)^2: the summarizer divides it by W - W2/W for weights n_c
+    scatter = total(vector_to_array(Summarizer.variance(array_to_vector(F.col("centre")), F.col("n").cast("double"))))
+    weight = F.sum("n") - F.sum(F.col("n") * F.col("n")) / F.sum("n")
+    overall = centres.agg((scatter * weight).alias("between"))
+    between = F.col("between")
     k = counts["labels"]
     valid = (counts["clusters"] >= 2) & (counts["n"] > counts["clusters"])
     return overall.select(

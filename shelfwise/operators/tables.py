@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.session import cut_lineage
+
 # fixed values: the columns an update may overwrite, in the full and the reduced form
 FULL_UPDATE = (
     "name",
@@ -108,6 +110,7 @@ def best_candidate(tasks: DataFrame, agents: DataFrame) -> DataFrame:
     """
     ratio = F.col("current_load") / F.greatest(F.col("max_load"), F.lit(1))
     offers = agents.groupBy("platform").agg(F.min(F.struct(ratio.alias("load"), F.col("agent_id"))).alias("offer"))
+    offers = cut_lineage(offers)  # one row per platform, read twice
     generic = offers.where(F.col("platform") == "generic").select("offer").scalar()
     own = offers.where(F.col("platform") != "generic")
     return (

@@ -214,7 +214,7 @@ def confusion_matrix(spark, sf):
       round(sum(support * CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END) / sum(support), 6) AS f1, round((SELECT auc FROM auc), 6) AS roc_auc FROM m""",
 )
 def classification_metrics(spark, sf):
-    rows = graded(spark, sf)
+    rows = held(graded(spark, sf))
     scores = metrics.classification_metrics(rows)
     area = metrics.roc_auc(rows, F.col("label") == 1, "score").scalar()
     return scores.withColumn("roc_auc", area).select(
