@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
-from shelfwise.operators.tables import FULL_UPDATE
 from shelfwise.sources.store import ProductStore
 
 FLUSH_ROWS = 50
@@ -47,7 +46,6 @@ def collect_products(
     stream: DataFrame,
     store: ProductStore,
     checkpoint: str,
-    update=FULL_UPDATE,
     order_by=(),
     now: Column | None = None,
     available_now: bool = False,
@@ -58,7 +56,7 @@ def collect_products(
     """
 
     def flush(batch: DataFrame, _: int) -> None:
-        store.upsert(batch, update, order_by, now)
+        store.upsert(batch, order_by, now)
 
     writer = stream.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": f"{FLUSH_SECONDS} seconds"}

@@ -96,13 +96,33 @@ def test_store_round_trip(spark, stored, incoming, tmp_path):
     assert {r.product_id: r.name for r in shop.read().collect()} == {"1": "A2", "2": "B"}
 
 
-def test_unfinished_snapshot_is_ignored(spark, stored, tmp_path):
+def test_unfinished_write_is_ignored(spark, stored, tmp_path):
     shop = store.ProductStore(spark, str(tmp_path / "shop"))
-    shop.write(stored)
-    (tmp_path / "shop" / "version=2").mkdir()
+    shop.replace(stored)
+    (tmp_path / "shop" / "base=7").mkdir()
+    (tmp_path / "shop" / "delta=8").mkdir()
     assert shop.read().count() == 1
 
 
+@pytest.mark.parametrize("update", [tables.FULL_UPDATE, tables.REDUCED_UPDATE])
+def test_store_equals_repeated_upserts(spark, stored, tmp_path, monkeypatch, update):
+    monkeypatch.setattr(store.ProductStore, "MAX_DELTAS", 3)
+    shop = store.ProductStore(spark, str(tmp_path / "shop"), update)
+    big = [product(product_id=f"x{i}", name=f"x{i}", created_at=OLD, updated_at=OLD, currency="USD") for i in range(3000)]
+    want = stored.unionAll(spark.createDataFrame(big, PRODUCT_SCHEMA))
+    shop.replace(want)
+    for n in range(8):
+        now = F.lit(datetime(2024, 7, 1 + n))
+        rows = [product(product_id=str(i), name=f"{i}-{n}", quantity=n, vendor=f"v{n}", price=float(i)) for i in range(n, n + 4)]
+        batch = spark.createDataFrame(rows, PRODUCT_SCHEMA)
+        shop.upsert(batch, now=now)
+        want = spark.createDataFrame(tables.upsert(want, batch, update, now=now).collect(), PRODUCT_SCHEMA)
+        assert sorted(map(str, shop.read().collect())) == sorted(map(str, want.collect()))
+        assert len(shop._folders()[1]) <= 3
+    shop.compact()
+    assert sorted(map(str, shop.read().collect())) == sorted(map(str, want.collect()))
+
+
 def test_fallback_chain(spark, stored, tmp_path):
     assert store.load_products(spark, str(tmp_path / "none"), str(tmp_path / "none.json")).count() == 3
     path = str(tmp_path / "p")
