@@ -25,6 +25,7 @@ from shelfwise.session import cut_lineage
 CLUSTER_FEATURES = ("price", "rating", "reviews_count")
 MICRO_CLUSTERS = 500
 CENTRE_BLOCK = 4096
+EUCLIDEAN_ROWS = 20_000
 PARALLEL_RUNS = 4
 
 
@@ -237,8 +238,8 @@ def silhouette(df: DataFrame, label: str = "cluster", features: str = "features"
     """Mean silhouette.
 
     ``squared`` (squared Euclidean distance) needs one pass and the cluster
-    moments.  ``euclidean`` is exact for plain distances; its work grows with the
-    square of the rows, so it is meant for tables of moderate size.
+    moments.  ``euclidean`` gives the value for plain distances; its work grows
+    with the square of the rows, so it takes tables of a checked size only.
     """
     rows = df.select(F.col(label).cast("int").alias("label"), F.col(features).alias("features"))
     if rows.select("label").distinct().count() < 2:
@@ -249,45 +250,32 @@ def silhouette(df: DataFrame, label: str = "cluster", features: str = "features"
     return _euclidean_silhouette(rows)
 
 
-def _euclidean_silhouette(rows: DataFrame, block_rows: int = 4096) -> float:
-    """Distance sums per point and cluster, one driver-held block of points at a time."""
-    rows = cut_lineage(
-        rows.withColumn("id", F.monotonically_increasing_id()).withColumn("features", vector_to_array("features"))
-    )
+def _euclidean_silhouette(rows: DataFrame) -> float:
+    """Mean distances of every row to each cluster, against one copy of the points per task."""
+    rows = cut_lineage(rows.select("label", vector_to_array("features").alias("features")))
     n = rows.count()
-    blocks = max(1, -(-n // block_rows))
-    rows = cut_lineage(rows.withColumn("_block", F.pmod(F.xxhash64("id"), F.lit(blocks))))
-    parts = []
-    for block in range(blocks):
-        pdf = rows.where(F.col("_block") == block).select("label", "features").toPandas()
-        points, labels = np.array(pdf.features.tolist()), pdf.label.to_numpy()
-
-        def sums(batches: Iterator[pd.DataFrame], points=points, labels=labels):
-            kinds = np.unique(labels)
-            for chunk in batches:
-                for row_id, own, f in zip(chunk.id, chunk.label, chunk.features):
-                    far = np.sqrt(((points - np.asarray(f)) ** 2).sum(-1))
-                    yield pd.DataFrame(
-                        {
-                            "id": row_id,
-                            "label": own,
-                            "other": kinds,
-                            "total": [float(far[labels == c].sum()) for c in kinds],
-                        }
-                    )
-
-        if len(pdf):
-            parts.append(rows.select("id", "label", "features").mapInPandas(sums, "id bigint, label int, other int, total double"))
-    totals = reduce(DataFrame.unionByName, parts).groupBy("id", "label", "other").agg(F.sum("total").alias("total"))
-    sizes = rows.groupBy(F.col("label").alias("other")).agg(F.count(F.lit(1)).alias("n"))
-    joined = totals.join(sizes, "other")
-    own = F.col("label") == F.col("other")
-    per_point = joined.groupBy("id").agg(
-        F.max(F.when(own & (F.col("n") > 1), F.col("total") / (F.col("n") - 1))).alias("a"),
-        F.min(F.when(~own, F.col("total") / F.col("n"))).alias("b"),
-    )
-    value = F.when(F.col("a").isNull(), 0.0).otherwise((F.col("b") - F.col("a")) / F.greatest("a", "b"))
-    return per_point.agg(F.avg(value)).first()[0]
+    if n > EUCLIDEAN_ROWS:
+        raise ValueError(f"{n} rows: plain distances take up to {EUCLIDEAN_ROWS}, use metric='squared'")
+    held = rows.toPandas()
+    points, labels = np.array(held.features.tolist()), held.label.to_numpy()
+    kinds, sizes = np.unique(labels, return_counts=True)
+
+    def widths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for own, f in zip(pdf.label, pdf.features):
+                far = np.sqrt(((points - np.asarray(f)) ** 2).sum(-1))
+                totals = np.array([far[labels == c].sum() for c in kinds])
+                mine = kinds == own
+                if sizes[mine][0] == 1:
+                    out.append(0.0)
+                    continue
+                a = totals[mine][0] / (sizes[mine][0] - 1)
+                b = (totals[~mine] / sizes[~mine]).min()
+                out.append(float((b - a) / max(a, b)) if max(a, b) > 0 else 0.0)
+            yield pd.DataFrame({"width": out})
+
+    return rows.mapInPandas(widths, "width double").agg(F.avg("width")).first()[0]
 
 
 def name_segments(df: DataFrame, label: str = "cluster") -> DataFrame:

@@ -73,10 +73,30 @@ def segment_names(spark, sf):
     return cluster.name_segments(cluster.assign(cluster.fit_kmeans(vectors, restarts=3), vectors))
 
 
-@query("pca")
+def _pca_sql() -> str:
+    """Eigenvectors of the 3x3 correlation matrix in closed form."""
+    parts = []
+    for n, value in ((1, "1 + 2 * p * cos(acos(r) / 3)"), (2, "1 - 2 * p * cos(acos(r) / 3) - 2 * p * cos(acos(r) / 3 + 2 * pi() / 3)")):
+        parts.append(
+            f"e{n} AS (SELECT {value} AS l, a, b, c FROM m), "
+            f"v{n} AS (SELECT a * c - b * (1 - l) AS x, b * a - (1 - l) * c AS y, (1 - l) * (1 - l) - a * a AS z FROM e{n}), "
+            f"u{n} AS (SELECT x / s AS x, y / s AS y, z / s AS z FROM (SELECT x, y, z, sqrt(x * x + y * y + z * z) * "
+            f"CASE WHEN CASE WHEN abs(x) >= abs(y) AND abs(x) >= abs(z) THEN x WHEN abs(y) >= abs(z) THEN y ELSE z END >= 0 THEN 1 ELSE -1 END AS s FROM v{n}))"
+        )
+    dot = "{u}.x * price_z + {u}.y * rating_z + {u}.z * reviews_count_z"
+    return (
+        POINTS_SQL
+        + ", cor AS (SELECT covar_pop(price_z, rating_z) AS a, covar_pop(price_z, reviews_count_z) AS b, covar_pop(rating_z, reviews_count_z) AS c FROM z), "
+        + "m AS (SELECT a, b, c, sqrt((a * a + b * b + c * c) / 3) AS p, a * b * c / pow(sqrt((a * a + b * b + c * c) / 3), 3) AS r FROM cor), "
+        + ", ".join(parts)
+        + f" SELECT product_id, round({dot.format(u='u1')}, 4) AS x, round({dot.format(u='u2')}, 4) AS y FROM z, u1, u2"
+    )
+
+
+@query("pca", _pca_sql())
 def pca(spark, sf):
     coordinates, _ = cluster.pca(cluster.scaled_vectors(held(products(spark, sf), "product_id", *DENSITY), "product_id"))
-    return coordinates.select("product_id", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+    return coordinates.select("product_id", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
 
 
 COLS = ("price", "rating", "reviews_count", "quantity")
