@@ -66,6 +66,12 @@ def json_slice(text: Column | str) -> Column:
     return F.nullif(F.regexp_extract(as_column(text), r"(?s)\{.*\}", 0), F.lit(""))
 
 
+def json_or_raw(text: Column | str) -> Column:
+    """The JSON object inside a text, or the text itself under the key ``raw``."""
+    found = json_slice(text)
+    return F.when(F.try_parse_json(found).isNotNull(), found).otherwise(F.to_json(F.struct(as_column(text).alias("raw"))))
+
+
 def base_url(url: Column | str) -> Column:
     parts = F.split(as_column(url), "/")
     return F.when(F.size(parts) >= 3, F.concat(F.get(parts, F.lit(0)), F.lit("//"), F.get(parts, F.lit(2))))

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from shelfwise.functions.ordering import quantiles
 from shelfwise.operators.prep import scalars
 
+# fixed values: upper edges of scrape and training times in seconds
+DURATION_EDGES = (0.1, 0.5, 1.0, 2.0, 5.0, 10.0, 30.0, 60.0)
+TRAINING_EDGES = (1.0, 5.0, 10.0, 30.0, 60.0, 120.0, 300.0)
+
 
 def overview_kpis(df: DataFrame) -> DataFrame:
     return df.agg(

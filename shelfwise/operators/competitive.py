@@ -133,10 +133,8 @@ MIN_PRODUCTS = {"comparison": 2, "emerging": 1, "recommendations": 1}
 
 
 def competitive_analysis(df: DataFrame, analysis_type: str = "full") -> dict[str, DataFrame]:
-    """The chosen analysis, or all of them, plus a status row for each."""
-    if analysis_type != "full" and analysis_type not in ANALYSES:
-        raise ValueError(f"unknown analysis type: {analysis_type}")
-    chosen = ANALYSES if analysis_type == "full" else {analysis_type: ANALYSES[analysis_type]}
+    """The chosen analysis plus a status row for each; any other type means all of them."""
+    chosen = {analysis_type: ANALYSES[analysis_type]} if analysis_type in ANALYSES else ANALYSES
     out = {name: run(df) for name, run in chosen.items()}
     out["status"] = analysis_status(df).where(F.col("analysis").isin(*chosen))
     return out

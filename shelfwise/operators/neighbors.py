@@ -138,8 +138,10 @@ class EpsGrid:
         gap = _gap(corners[: self.d], corners[self.d :], _cols("lo", self.d), _cols("hi", self.d))
         return around.join(roots, "node").where(gap <= self.eps2).drop(*[f"c_{i}" for i in range(2 * self.d)])
 
-    def weights_near(self, probes: DataFrame, tree: DataFrame, depth: int) -> DataFrame:
-        """Weight within eps of each probe point, per level-0 box: (pt, cell, hits)."""
+    def weights_near(
+        self, probes: DataFrame, tree: DataFrame, depth: int, per: Sequence[str] = ("pt",)
+    ) -> DataFrame:
+        """Weight within eps of each probe point, in all or per level-0 box (``per`` with ``cell``)."""
         probes = probes.withColumn("cell", self.node(0)).select("pt", *self.f, "cell")
         met = probes.join(self.boxes_near(probes, tree), "cell").withColumn("cell", F.col("node"))
         f, lo, hi = _cols("f", self.d), _cols("lo", self.d), _cols("hi", self.d)
@@ -152,11 +154,11 @@ class EpsGrid:
             counted = F.when(inside, F.array(F.struct("w", *self.f))).otherwise(F.col("pts"))
             points = met.where(done).select("pt", *self.f, "cell", F.explode(counted).alias("p"))
             near = points.where(_squared([F.col(f"p.{c}") for c in self.f], f) <= self.eps2)
-            settled.append(near.select("pt", "cell", F.col("p.w").alias("hits")))
+            settled.append(near.select(*per, F.col("p.w").alias("hits")))
             if level + 1 < depth:
                 opened = met.where(~done).select("pt", *self.f, "cell", F.col("node").alias("parent"))
                 met = cut_lineage(opened).join(tree, "parent").drop("parent")
-        return reduce(DataFrame.unionByName, settled).groupBy("pt", "cell").agg(F.sum("hits").alias("hits"))
+        return reduce(DataFrame.unionByName, settled).groupBy(*per).agg(F.sum("hits").alias("hits"))
 
     def linked_boxes(self, tree: DataFrame, depth: int) -> DataFrame:
         """Pairs of different level-0 boxes that hold points within eps of each other."""
@@ -208,7 +210,7 @@ def eps_neighbors(
     """Number of rows within ``eps`` of each row (itself included) and whether that makes it a core."""
     grid = EpsGrid(df, key, features, eps)
     tree, depth = grid.build(grid.points)
-    counts = grid.weights_near(grid.points, tree, depth).groupBy("pt").agg(F.sum("hits").alias("n_neighbors"))
+    counts = grid.weights_near(grid.points, tree, depth).withColumnRenamed("hits", "n_neighbors")
     return grid.to_rows(counts.withColumn("is_core", F.col("n_neighbors") >= min_samples))
 
 
@@ -258,7 +260,7 @@ def dbscan(
     sure = points.join(dense, "cell", "left_semi")
     unsure = points.join(dense, "cell", "left_anti")
     tree, depth = grid.build(grid.points)
-    counts = grid.weights_near(unsure, tree, depth).groupBy("pt").agg(F.sum("hits").alias("hits"))
+    counts = grid.weights_near(unsure, tree, depth)
     cores = sure.unionByName(unsure.join(counts.where(F.col("hits") >= min_samples), "pt", "left_semi"), allowMissingColumns=True)
     cores = cut_lineage(cores.select("pt", "w", *grid.f, "cell"))
     if cores.isEmpty():
@@ -281,7 +283,7 @@ def dbscan(
 
     core_labels = cores.join(cell_cluster, "cell").select("pt", "cluster")
     border = (
-        grid.weights_near(unsure.join(cores, "pt", "left_anti"), core_tree, core_depth)
+        grid.weights_near(unsure.join(cores, "pt", "left_anti"), core_tree, core_depth, ("pt", "cell"))
         .where(F.col("hits") > 0)
         .join(cell_cluster, "cell")
         .groupBy("pt")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.ordering import number_rows
 from shelfwise.operators.aggregate import category_movers
+from shelfwise.operators.model import trending_products
 from shelfwise.operators.scoring import top_per_key
 
 MIN_POINTS = 5
@@ -150,9 +151,12 @@ def value_change(df: DataFrame, keys: Sequence[str], ts: str, values: Sequence[s
     return df.withColumns({f"{v}_change": F.col(v) - F.lag(v).over(w) for v in values})
 
 
-def trend_insights(products: DataFrame, history: DataFrame, key: str = "category", ts: str = "month") -> dict[str, DataFrame]:
-    """The trend report as one DataFrame per section."""
-    return {
+def trend_insights(
+    products: DataFrame, history: DataFrame, key: str = "category", ts: str = "month", trending: bool = False
+) -> dict[str, DataFrame]:
+    """The trend report as one DataFrame per section; ``trending`` also fits the trending model."""
+    sections = {} if not trending else {"trending_products": trending_products(products)}
+    return sections | {
         "price_trend": price_trend(history, [key], ts),
         "price_forecast": price_forecast(history, [key], ts),
         "popularity_trend": popularity_trend(history, [key], ts),

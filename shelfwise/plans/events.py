@@ -6,12 +6,11 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import json_slice
 from shelfwise.operators import aggregate, scoring
+from shelfwise.operators.aggregate import DURATION_EDGES, TRAINING_EDGES
 from shelfwise.plans.catalog import PRODUCTS_SQL, events, held, products, table
 from shelfwise.plans.products import FULL_SCORE, SCORED, _score_sql
 from shelfwise.plans.registry import query
 
-DURATION_EDGES = (0.1, 0.5, 1.0, 2.0, 5.0, 10.0, 30.0, 60.0)  # fixed values
-TRAINING_EDGES = (1.0, 5.0, 10.0, 30.0, 60.0, 120.0, 300.0)  # fixed values
 SILENCE = 21600
 SESSION_GAP = 21600
 
@@ -98,17 +97,29 @@ def event_counters(spark, sf):
     return aggregate.tally(events(spark, sf).withColumn("day", F.to_date("ts")), ["event_type", "day"])
 
 
-@query(
-    "duration_histogram",
-    "WITH e AS (SELECT unnest([" + ", ".join(f"'{e}'" for e in DURATION_EDGES) + ", '+Inf']) AS le), h AS (SELECT event_type, le, "
-    "count(*) FILTER (WHERE value <= CASE WHEN le = '+Inf' THEN CAST('inf' AS DOUBLE) ELSE CAST(le AS DOUBLE) END) AS n, count(*) AS total_count, sum(value) AS s "
-    "FROM events, e WHERE value IS NOT NULL GROUP BY 1, 2) SELECT event_type, le, n, total_count, round(s, 2) AS total_sum FROM h",
-)
-def duration_histogram(spark, sf):
-    histogram = aggregate.duration_histogram(events(spark, sf), "value", DURATION_EDGES, ["event_type"])
+def _histogram_sql(edges) -> str:
+    listed = ", ".join(f"'{e}'" for e in edges)
+    return f"""WITH e AS (SELECT unnest([{listed}, '+Inf']) AS le),
+    h AS (SELECT event_type, le, count(*) FILTER (WHERE value <= CASE WHEN le = '+Inf' THEN CAST('inf' AS DOUBLE) ELSE CAST(le AS DOUBLE) END) AS n,
+      count(*) AS total_count, sum(value) AS s FROM events, e WHERE value IS NOT NULL GROUP BY 1, 2)
+    SELECT event_type, le, n, total_count, round(s, 2) AS total_sum FROM h"""
+
+
+def _histogram(spark, sf, edges):
+    histogram = aggregate.duration_histogram(events(spark, sf), "value", edges, ["event_type"])
     return histogram.withColumn("total_sum", F.round("total_sum", 2))
 
 
+@query("duration_histogram", _histogram_sql(DURATION_EDGES))
+def duration_histogram(spark, sf):
+    return _histogram(spark, sf, DURATION_EDGES)
+
+
+@query("training_histogram", _histogram_sql(TRAINING_EDGES))
+def training_histogram(spark, sf):
+    return _histogram(spark, sf, TRAINING_EDGES)
+
+
 @query(
     "latest_gauges",
     PRODUCTS_SQL + _score_sql() + f""", t AS (SELECT product_id, round({FULL_SCORE}, 4) AS sc FROM parts ORDER BY sc DESC, product_id LIMIT 10)

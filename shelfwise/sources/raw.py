@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -130,6 +129,13 @@ def add_lineage(df: DataFrame, agent: Column, platform: Column, url: Column, at:
     )
 
 
+def tag_scraper(df: DataFrame, agent: str, platform: str, scraper: str | None = None) -> DataFrame:
+    """Which agent and tool produced the rows."""
+    return df.withColumns(
+        {"_scraped_by": F.lit(agent), "_platform": F.lit(platform), "_scraper": F.lit(scraper).cast("string")}
+    )
+
+
 def read_api_pages(spark: SparkSession, path: str, max_pages: int = 50) -> DataFrame:
     """Product records of landed result pages ``page-<n>.json`` (one JSON list per file).
 
@@ -188,9 +194,3 @@ def tasks_from_targets(targets: DataFrame) -> DataFrame:
     """A pending task per target; the id follows from platform and address."""
     task_id = F.concat(F.lit("task_"), F.substring(F.md5(F.concat_ws("|", "platform", "url")), 1, 12))
     return targets.select(task_id.alias("task_id"), "*", F.lit("pending").alias("status"))
-
-
-PRODUCT_COLUMNS: Sequence[str] = (
-    "product_id", "name", "description", "category", "price", "currency", "availability",
-    "quantity", "vendor", "rating", "reviews_count", "images", "tags",
-)

@@ -11,7 +11,6 @@ from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from shelfwise.sources.store import ProductStore
 
-FLUSH_ROWS = 50
 FLUSH_SECONDS = 30
 MESSAGE_TTL = "60 seconds"
 SILENCE_SECONDS = 90

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.functions.columns import parse_flag, parse_price, price_band
+from shelfwise.functions.columns import json_or_raw, parse_flag, parse_price, price_band
 from shelfwise.operators import aggregate, competitive, prep, scoring
 from shelfwise.sources.store import sample_products
 
@@ -73,8 +73,7 @@ def test_analysis_types_and_status(spark, sample):
     assert set(full) == {"comparison", "emerging", "recommendations", "status"}
     assert {r.status for r in full["status"].collect()} == {"completed"}
     assert set(competitive.competitive_analysis(sample, "emerging")) == {"emerging", "status"}
-    with pytest.raises(ValueError):
-        competitive.competitive_analysis(sample, "other")
+    assert set(competitive.competitive_analysis(sample, "other")) == set(full)
     one = {r.analysis: r.status for r in competitive.analysis_status(sample.limit(1)).collect()}
     assert one == {"comparison": "insufficient_data", "emerging": "completed", "recommendations": "completed"}
     none = {r.status for r in competitive.analysis_status(sample.limit(0)).collect()}
@@ -121,6 +120,13 @@ def test_price_bands_and_flags(spark):
     assert [r[0] for r in flags.select(parse_flag("f")).collect()] == [True, True, True, False, False]
 
 
+def test_json_in_text(spark):
+    texts = ['Sure: {"a": {"b": 1}} done', "no object", "{broken", "{not json}", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(json_or_raw("t")).collect()]
+    assert got == ['{"a": {"b": 1}}', '{"raw":"no object"}', '{"raw":"{broken"}', '{"raw":"{not json}"}', "{}"]
+
+
 def test_discount(spark):
     df = spark.createDataFrame([(15.0, 20.0), (15.0, None), (15.0, 0.0)], "price double, compare_at_price double")
     assert [r[0] for r in df.select(prep.discount_pct()).collect()] == [25.0, None, None]

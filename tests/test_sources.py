@@ -74,6 +74,11 @@ def test_lineage(spark):
     assert (r._source_agent, r._source_platform, r._source_url) == ("agent", "woo", "u") and r._collected_at is not None
 
 
+def test_scraper_tags(spark):
+    r = raw.tag_scraper(spark.range(1), "a1", "woocommerce").first()
+    assert (r._scraped_by, r._platform, r._scraper) == ("a1", "woocommerce", None)
+
+
 def test_landed_pages(spark, tmp_path):
     for n, records in ((1, [{"id": 1}, {"id": 2}]), (2, [{"id": 3}]), (3, []), (4, [{"id": 9}])):
         (tmp_path / f"page-{n}.json").write_text(json.dumps(records))
