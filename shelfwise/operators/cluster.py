@@ -45,13 +45,17 @@ def fit_kmeans(
     vectors: DataFrame, k: int = 5, restarts: int = 10, seed: int = 42, max_iter: int = 300
 ) -> KMeansModel:
     """Best of several seeded runs by training cost; a few runs share the cluster at a time."""
-    data = cut_lineage(vectors.select("features"))
+    # one shared copy: an unpersisted input would be held once per concurrent run
+    data = cut_lineage(vectors.select("features")).persist()
 
     def run(i: int) -> KMeansModel:
         return KMeans(k=k, maxIter=max_iter, seed=seed + i, featuresCol="features", predictionCol="cluster").fit(data)
 
-    with ThreadPoolExecutor(PARALLEL_RUNS) as pool:
-        models = list(pool.map(inheritable_thread_target(vectors.sparkSession)(run), range(restarts)))
+    try:
+        with ThreadPoolExecutor(PARALLEL_RUNS) as pool:
+            models = list(pool.map(inheritable_thread_target(vectors.sparkSession)(run), range(restarts)))
+    finally:
+        data.unpersist()
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
