@@ -37,6 +37,9 @@ def frame(columns, rows):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, db, name):
     df = QUERIES[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for costly in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert costly not in plan
     got = frame(df.columns, df.collect())
     cur = db.execute(ORACLES[name])
     want = frame([d[0] for d in cur.description], cur.fetchall())
