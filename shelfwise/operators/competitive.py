@@ -84,6 +84,7 @@ def market_context(df: DataFrame) -> DataFrame:
 
 def product_lines(df: DataFrame) -> DataFrame:
     """One text line per ranked product."""
+    # fixed values: the labels and their order
     line = F.concat(
         F.col("rank").cast("string"),
         F.lit(". "),
@@ -121,6 +122,7 @@ def context_lines(df: DataFrame, n: int = 50) -> DataFrame:
 
 def summary_prompt(text: str = "text") -> Column:
     """Text-to-summarise wrapper around a text column."""
+    # fixed value: the wording of the request
     return F.concat(F.lit("Summarize the following text in 3-4 concise sentences:\n\n"), F.col(text))
 
 
