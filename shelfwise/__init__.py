@@ -1 +1,8 @@
 """shelfwise: product-catalogue analytics as PySpark DataFrame operators."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# functions that run in Python workers travel with the job: executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
