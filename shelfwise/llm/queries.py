@@ -6,8 +6,21 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from shelfwise.llm import packing, simhash, tokencount, urlfilter
+from pyspark.sql import functions as F
+
+from shelfwise.llm import (
+    decontam,
+    langid,
+    packing,
+    secrets,
+    simhash,
+    substring,
+    tokencount,
+    tokenfile,
+    urlfilter,
+    vectors,
+)
+from shelfwise.session import checkpoint_root, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,3 +93,66 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose fingerprints over 3-word shingles are linked at 2 or fewer bits."""
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=3, radius=2)
+
+
+@query("op2_embedding_pstable")
+def embedding_pstable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of cosine 0.95 or more between all vectors, whatever their labels."""
+    return vectors.link_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+@query("op3_secret_scan")
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate of every document with the forest's verdict."""
+    return secrets.scan_secrets(table(spark, sf_dir, "documents"))
+
+
+@query("op6_language_spans")
+def language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the four fifths that are not held out."""
+    found = langid.label_languages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op8_benchmark_leaks")
+def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a window 0.8 similar to a benchmark item, with their best window."""
+    return decontam.benchmark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op9_token_files")
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as id files in ascending doc_id order and read back through their index."""
+    checkpoint_root(spark)
+    path = scratch_path(spark, "token-files")
+    tokenfile.write_token_files(
+        table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_TOKENIZER), end_id=2
+    )
+    found = tokenfile.read_token_files(spark, path)
+    return found.select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
+WINDOWS_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+starts AS (
+  SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS s FROM w WHERE len(words) >= 20),
+repeated AS (
+  SELECT doc_id, s, row_number() OVER (PARTITION BY array_to_string(words[s:s + 19], ' ') ORDER BY doc_id, s) AS nth
+  FROM starts),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM repeated WHERE nth > 1),
+gone_lists AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id),
+kept AS (
+  SELECT w.doc_id, len(words) AS n_words, coalesce(len(ps), 0) AS n_removed,
+         list_filter(list_zip(words, range(1, len(words) + 1)), lambda x: ps IS NULL OR NOT list_contains(ps, x[2])) AS k
+  FROM w LEFT JOIN gone_lists USING (doc_id))
+SELECT doc_id, n_words, n_removed, sha256(array_to_string(list_transform(k, lambda x: x[1]), ' ')) AS kept_sha256 FROM kept
+"""
+
+
+@query("op10_repeated_windows", WINDOWS_SQL)
+def repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 20-word windows that also start earlier."""
+    found = substring.drop_repeated_windows(table(spark, sf_dir, "documents"), window=20)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
