@@ -14,7 +14,7 @@ from shelfwise.streaming import events as streaming
 
 def event_stream(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
-    stream = streaming.read_stream(spark, sf_dir, schema, pattern="events.parquet")
+    stream = streaming.read_table_stream(spark, f"{sf_dir}/events.parquet", schema)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -36,7 +36,7 @@ def stream_deliver_once(spark, sf):
 @query("stream_collect", "SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS name, p_retailprice AS price FROM part")
 def stream_collect(spark, sf):
     schema = table(spark, sf, "part").schema
-    parts = streaming.read_stream(spark, sf, schema, pattern="part.parquet").select(
+    parts = streaming.read_table_stream(spark, f"{sf}/part.parquet", schema).select(
         F.col("p_partkey").cast("string").alias("product_id"), F.col("p_name").alias("name"), F.col("p_retailprice").alias("price")
     )
     path = scratch_path(spark, "collect")
@@ -47,11 +47,16 @@ def stream_collect(spark, sf):
 
 @query(
     "stream_liveness",
-    f"""SELECT CAST(user_id AS VARCHAR) AS entity, CASE WHEN epoch_ms(max(ts)) + {SILENCE * 1000} < epoch_ms((SELECT max(ts) FROM events)) THEN 'offline' ELSE 'online' END AS state
-    FROM events GROUP BY user_id""",
+    f"""WITH beats AS (
+      SELECT CAST(user_id AS VARCHAR) AS entity, epoch_ms(ts) AS ms,
+             lag(epoch_ms(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM events),
+    ends AS (SELECT entity, max(ms) + {SILENCE * 1000} AS at_ms FROM beats GROUP BY entity)
+    SELECT entity, ms AS at_ms, 'online' AS state FROM beats WHERE before IS NULL OR ms - before > {SILENCE * 1000}
+    UNION ALL SELECT entity, before + {SILENCE * 1000}, 'offline' FROM beats WHERE ms - before > {SILENCE * 1000}
+    UNION ALL SELECT entity, at_ms, 'offline' FROM ends WHERE at_ms <= epoch_ms((SELECT max(ts) FROM events))""",
 )
 def stream_liveness(spark, sf):
     changes = streaming.with_state_provider(
         spark, lambda s: streaming.liveness(event_stream(s, sf), "user_id", silence_seconds=SILENCE), scratch_path(spark, "alive")
     )
-    return changes.groupBy("entity").agg(F.max_by("state", "at_ms").alias("state"))
+    return changes.select("entity", "at_ms", "state")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,16 @@ def read_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", fi
     return reader.load(path)
 
 
+def read_table_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_batch: int | None = None) -> DataFrame:
+    """Stream a table stored as a folder of files, or as one file (by its folder and name)."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    status = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(where)
+    if status.isDirectory():
+        return read_stream(spark, path, schema, fmt, files_per_batch)
+    return read_stream(spark, where.getParent().toString(), schema, fmt, files_per_batch, where.getName())
+
+
 def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataFrame:
     """Process everything that is there now into a table folder and read it back."""
     query = (
@@ -90,7 +101,11 @@ def activity_sessions(stream: DataFrame, entity: str = "user_id", ts: str = "ts"
 
 
 class Liveness(StatefulProcessor):
-    """Announces an entity as online on its first sign of life and offline after a silence."""
+    """Announces an entity as online on its first sign of life and offline after a silence.
+
+    The beats of a call are walked in time order from the last one known, so every silence between them is told
+    however the stream is cut into batches.
+    """
 
     def __init__(self, silence_seconds: int = SILENCE_SECONDS):
         self.silence_ms = silence_seconds * 1000
@@ -100,15 +115,25 @@ class Liveness(StatefulProcessor):
         self.seen = handle.getValueState("seen", "last_ms bigint, online boolean")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        newest = max(int(pdf["ts_ms"].max()) for pdf in rows)
-        before = self.seen.get() if self.seen.exists() else None
-        last = max(newest, before[0]) if before else newest
+        beats = pd.concat([pdf["ts_ms"] for pdf in rows]).sort_values().to_numpy()
+        last, online = self.seen.get() if self.seen.exists() else (None, False)
+        steps = np.diff(beats, prepend=beats[0] if last is None else last)
+        after = np.maximum(beats, beats[0] if last is None else last)
+        wakes = steps > self.silence_ms
+        wakes[0] |= not online
+        slept = (steps > self.silence_ms) & (np.arange(len(beats)) > 0)
+        slept[0] = online and steps[0] > self.silence_ms
+        asleep = (beats - steps + self.silence_ms)[slept]
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
+        last = int(after[-1])
         self.handle.registerTimer(last + self.silence_ms)
         self.seen.update((last, True))
-        if before is None or not before[1]:
-            yield pd.DataFrame({"entity": [key[0]], "at_ms": [newest], "state": ["online"]})
+        at = np.concatenate([asleep, beats[wakes]])
+        state = np.array(["offline"] * len(asleep) + ["online"] * int(wakes.sum()))
+        order = np.argsort(at, kind="stable")
+        if len(at):
+            yield pd.DataFrame({"entity": key[0], "at_ms": at[order], "state": state[order]})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         last = self.seen.get()[0]

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from shelfwise.operators import tables
 from shelfwise.schema import PRODUCT_SCHEMA
+from shelfwise.plans import all_queries
 from shelfwise.sources.store import ProductStore
 from shelfwise.streaming import events as streaming
 
 START = datetime(2024, 1, 1)
+QUERIES = all_queries()[0]
 SCHEMA = "event_id long, ts timestamp, user_id long, event_type string, value double"
 
 
@@ -109,3 +111,27 @@ def test_liveness(spark, tmp_path):
     changes = streaming.with_state_provider(spark, lambda s: streaming.liveness(stream(s, path), "user_id", silence_seconds=90), str(tmp_path / "out"))
     last = {r.entity: r.state for r in changes.groupBy("entity").agg(F.max_by("state", "at_ms").alias("state")).collect()}
     assert last == {"1": "offline", "2": "online", "3": "online"}
+
+
+@pytest.mark.parametrize("cuts", [[5], [1, 1, 1, 1, 1], [2, 3], [1, 4]])
+def test_every_silence_is_told_however_batches_are_cut(spark, tmp_path, cuts):
+    path, beats, at = str(tmp_path / "log"), [0, 30, 3600, 3700, 18000], 0
+    for n, size in enumerate(cuts):
+        land(spark, path, [(at + i, START + timedelta(seconds=beats[at + i]), 1, "beat", 1.0) for i in range(size)])
+        at += size
+        for f in glob.glob(f"{path}/part-*"):
+            if os.path.getmtime(f) > 1_700_001_000:
+                os.utime(f, (1_700_000_000 + n, 1_700_000_000 + n))
+    changes = streaming.with_state_provider(spark, lambda s: streaming.liveness(stream(s, path), "user_id", silence_seconds=90), str(tmp_path / "out"))
+    first = int(START.timestamp() * 1000)
+    got = sorted(((r.at_ms - first) // 1000, r.state) for r in changes.collect())
+    assert got == [(0, "online"), (120, "offline"), (3600, "online"), (3690, "offline"), (3700, "online"), (3790, "offline"), (18000, "online")]
+
+
+def test_queries_read_folder_tables(spark, tmp_path):
+    source = "/root/testdata/sf0.001"
+    for name in ("events", "part"):
+        spark.read.parquet(f"{source}/{name}.parquet").repartition(5).write.parquet(str(tmp_path / f"{name}.parquet"))
+    for name in ("stream_activity_counts", "stream_deliver_once", "stream_collect", "stream_liveness"):
+        run = QUERIES[name]
+        assert sorted(map(str, run(spark, str(tmp_path)).collect())) == sorted(map(str, run(spark, source).collect())), name
