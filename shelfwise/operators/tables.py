@@ -33,6 +33,12 @@ def dedupe_latest(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame
     return df.groupBy(key).agg(newest.alias("_r")).select(key, *[F.col(f"_r.{c}").alias(c) for c in df.columns if c != key])
 
 
+def one_per_key(df: DataFrame, key: str, order_by: Sequence[str] = ()) -> DataFrame:
+    """The last row per key by ``order_by`` and, among equals, by all other columns."""
+    rest = [c for c in df.columns if c not in (key, *order_by)]
+    return dedupe_latest(df, key, [*order_by, *rest]) if rest or order_by else df.distinct()
+
+
 def upsert(
     stored: DataFrame,
     incoming: DataFrame,
@@ -44,11 +50,11 @@ def upsert(
 ) -> DataFrame:
     """Insert new keys, overwrite only the ``update`` columns of known ones.
 
-    ``order_by`` ranks several incoming rows of one key; the last one wins.
+    ``order_by`` ranks several incoming rows of one key; the last one wins.  Without it the greatest row by all its
+    columns wins, so that a key never ends in two rows.
     """
     now = F.current_timestamp() if now is None else now
-    if order_by:
-        incoming = dedupe_latest(incoming, key, order_by)
+    incoming = one_per_key(incoming, key, order_by)
     columns = stored.columns
     fresh = incoming.select(*[F.col(c).alias(f"_in_{c}") if c in incoming.columns else F.lit(None).alias(f"_in_{c}") for c in columns])
     both = stored.join(fresh, F.col(key) == F.col(f"_in_{key}"), "full_outer")

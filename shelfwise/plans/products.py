@@ -113,8 +113,11 @@ def _upsert_sql(overwrite_stock: bool) -> str:
 
 
 def _upsert(spark, sf, update):
-    incoming = late(spark, sf).withColumn("price", F.col("price") * F.lit(1.1))
-    merged = tables.upsert(early(spark, sf), incoming, update, now=F.lit(NOW).cast("timestamp_ntz"))
+    # every key comes twice, the valid row second
+    seen = late(spark, sf)
+    first = seen.withColumns({"price": F.col("price") * F.lit(9), "quantity": F.lit(-1), "seq": F.lit(1)})
+    incoming = first.unionByName(seen.withColumns({"price": F.col("price") * F.lit(1.1), "seq": F.lit(2)}))
+    merged = tables.upsert(early(spark, sf), incoming, update, order_by=["seq"], now=F.lit(NOW).cast("timestamp_ntz"))
     return merged.select(
         "product_id", "price", "quantity", "availability", "rating", "reviews_count", "vendor", "created_at", "updated_at"
     )

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.operators.scoring import VIEW, score
-from shelfwise.operators.tables import FULL_UPDATE, dedupe_latest
+from shelfwise.operators.tables import FULL_UPDATE, one_per_key
+from shelfwise.operators.tables import upsert as upsert_rows
 from shelfwise.schema import PRODUCT_SCHEMA, RESULT_TABLES
+from shelfwise.session import cut_lineage
 
 # fixed values: the built-in sample
 SAMPLE_PRODUCTS = [
@@ -70,113 +72,56 @@ def products_by_price(df: DataFrame) -> DataFrame:
 
 
 class ProductStore:
-    """Product table as one full snapshot (``base=<n>``) and the batches since (``delta=<n>``).
+    """Product table in partitions by a hash of the key.
 
-    An upsert writes only its own rows; reading merges them by key.  Batches are
-    folded into one when there are many, and into a new base when they have grown
-    to half its size, so the rewriting per stored row stays constant.  A folder
-    counts once its write has finished.
+    An upsert merges its rows into the partitions their keys fall in and rewrites just those, by dynamic partition
+    overwrite; the same batch again leaves the same rows.  ``buckets`` is fixed for a table when it is created.
     """
 
-    MAX_DELTAS = 64
-
-    def __init__(self, spark: SparkSession, root: str, update: Sequence[str] = FULL_UPDATE):
-        self.spark, self.root, self.update = spark, root.rstrip("/"), tuple(update)
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-        self._path = hadoop.Path
-        self._fs = hadoop.Path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _folders(self) -> tuple[int | None, list[int]]:
-        """Newest base and the batches that follow it."""
-        if not self._fs.exists(self._path(self.root)):
-            return None, []
-        found: dict[str, list[int]] = {"base": [], "delta": []}
-        for status in self._fs.listStatus(self._path(self.root)):
-            kind, _, number = status.getPath().getName().partition("=")
-            if kind in found and self._fs.exists(self._path(f"{self.root}/{kind}={number}/_SUCCESS")):
-                found[kind].append(int(number))
-        base = max(found["base"], default=None)
-        return base, sorted(d for d in found["delta"] if base is None or d > base)
-
-    def _size(self, folder: str) -> int:
-        return self._fs.getContentSummary(self._path(f"{self.root}/{folder}")).getLength()
-
-    def _merged(self, folders: list[str]) -> DataFrame:
-        """Last update per key; columns outside ``update`` keep their first value."""
-        parts = [
-            self.spark.read.schema(PRODUCT_SCHEMA).parquet(f"{self.root}/{f}").withColumn("_n", F.lit(i))
-            for i, f in enumerate(folders)
-        ]
-        if len(parts) == 1:
-            return parts[0].drop("_n")
-        rows = reduce(DataFrame.unionAll, parts)
-        newest = [c for c in rows.columns if c in (*self.update, "updated_at")]
-        oldest = [c for c in rows.columns if c not in (*newest, "product_id", "_n")]
-        merged = rows.groupBy("product_id").agg(
-            F.max_by(F.struct(*newest), "_n").alias("_new"), F.min_by(F.struct(*oldest), "_n").alias("_old")
-        )
-        return merged.select(
-            *["product_id" if f.name == "product_id" else F.col(f"_new.{f.name}" if f.name in newest else f"_old.{f.name}") for f in PRODUCT_SCHEMA]
-        )
+    def __init__(self, spark: SparkSession, root: str, update: Sequence[str] = FULL_UPDATE, buckets: int = 64):
+        self.spark, self.root, self.update, self.buckets = spark, root.rstrip("/"), tuple(update), buckets
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64("product_id"), F.lit(self.buckets)).cast("int")
+
+    def _stored(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(T.StructType([*PRODUCT_SCHEMA, T.StructField("bucket", T.IntegerType())])).parquet(self.root)
+        except AnalysisException:
+            return None
 
     def read(self) -> DataFrame:
-        base, deltas = self._folders()
-        if base is None and not deltas:
+        stored = self._stored()
+        if stored is None:
             raise FileNotFoundError(self.root)
-        return self._merged(([f"base={base}"] if base is not None else []) + [f"delta={d}" for d in deltas])
+        return stored.drop("bucket")
 
     @staticmethod
     def read_at(spark: SparkSession, root: str) -> DataFrame:
         return ProductStore(spark, root).read()
 
-    def _next(self) -> int:
-        base, deltas = self._folders()
-        return max([base or 0, *deltas]) + 1
+    def _write(self, df: DataFrame, mode: str) -> None:
+        rows = df.withColumn("bucket", self._bucket()).repartition("bucket")
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("bucket")
+        writer.parquet(self.root)
 
     def replace(self, df: DataFrame) -> None:
-        """Make ``df`` the whole table; folders older than the base before it are dropped."""
-        before, _ = self._folders()
-        _conform(df).write.mode("overwrite").parquet(f"{self.root}/base={self._next()}")
-        for status in self._fs.listStatus(self._path(self.root)):
-            kind, _, number = status.getPath().getName().partition("=")
-            if before is not None and kind in ("base", "delta") and int(number) < before:
-                self._fs.delete(status.getPath(), True)
+        """Make ``df`` the whole table."""
+        self._write(cut_lineage(_conform(df)), "static")
 
     def upsert(self, incoming: DataFrame, order_by: Sequence[str] = (), now: Column | None = None, source_url: str | None = None) -> None:
-        """Insert new keys, overwrite the ``update`` columns of known ones; the last row of a key wins."""
-        now = F.current_timestamp() if now is None else now
-        if order_by:
-            incoming = dedupe_latest(incoming, "product_id", order_by)
-        fresh = _conform(incoming).withColumns(
-            {
-                "currency": F.coalesce("currency", F.lit("USD")),
-                "source_url": F.coalesce("source_url", F.lit(source_url)),
-                "created_at": now.cast("timestamp"),
-                "updated_at": now.cast("timestamp"),
-            }
-        )
-        fresh.write.mode("overwrite").parquet(f"{self.root}/delta={self._next()}")
-        self._tidy()
-
-    def _tidy(self) -> None:
-        base, deltas = self._folders()
-        folders = [f"delta={d}" for d in deltas]
-        if base is not None and 2 * sum(map(self._size, folders)) >= self._size(f"base={base}"):
-            self.compact()
-        elif base is None and len(deltas) >= self.MAX_DELTAS:
-            self.compact()
-        elif len(deltas) >= self.MAX_DELTAS:
-            self._fold(deltas)
-
-    def _fold(self, deltas: list[int]) -> None:
-        """One batch in place of many: written beside them first, then the parts are dropped."""
-        target = f"{self.root}/delta={deltas[-1] + 1}"
-        self._merged([f"delta={d}" for d in deltas]).write.mode("overwrite").parquet(target)
-        for d in deltas:
-            self._fs.delete(self._path(f"{self.root}/delta={d}"), True)
-
-    def compact(self) -> None:
-        self.replace(self.read())
+        """Insert new keys, overwrite the ``update`` columns of known ones; one row of a key wins, see ``tables.upsert``."""
+        now = (F.current_timestamp() if now is None else now).cast("timestamp")
+        one = _conform(one_per_key(incoming, "product_id", order_by))
+        fresh = cut_lineage(one)
+        stored = self._stored()
+        if stored is None:
+            stored = self.spark.createDataFrame([], PRODUCT_SCHEMA)
+        else:
+            touched = fresh.select(self._bucket().alias("bucket")).distinct()
+            stored = stored.join(touched, "bucket", "left_semi").drop("bucket")
+        merged = upsert_rows(stored, fresh, self.update, now=now, source_url=source_url)
+        self._write(cut_lineage(_conform(merged)), "dynamic")
 
 
 def _conform(df: DataFrame) -> DataFrame:
