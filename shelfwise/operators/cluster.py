@@ -25,7 +25,6 @@ from shelfwise.session import cut_lineage
 CLUSTER_FEATURES = ("price", "rating", "reviews_count")
 MICRO_CLUSTERS = 500
 CENTRE_BLOCK = 4096
-EUCLIDEAN_ROWS = 20_000
 PARALLEL_RUNS = 4
 
 
@@ -238,48 +237,13 @@ def cluster_quality(df: DataFrame, label: str = "cluster", features: str = "feat
     )
 
 
-def silhouette(df: DataFrame, label: str = "cluster", features: str = "features", metric: str = "squared") -> float | None:
-    """Mean silhouette.
-
-    ``squared`` (squared Euclidean distance) needs one pass and the cluster
-    moments.  ``euclidean`` gives the value for plain distances; its work grows
-    with the square of the rows, so it takes tables of a checked size only.
-    """
+def silhouette(df: DataFrame, label: str = "cluster", features: str = "features") -> float | None:
+    """Mean silhouette over squared Euclidean distances: one pass and the cluster moments."""
     rows = df.select(F.col(label).cast("int").alias("label"), F.col(features).alias("features"))
     if rows.select("label").distinct().count() < 2:
         return None
-    if metric == "squared":
-        relabelled = rows.withColumn("label", F.col("label").cast("double"))
-        return ClusteringEvaluator(predictionCol="label", distanceMeasure="squaredEuclidean").evaluate(relabelled)
-    return _euclidean_silhouette(rows)
-
-
-def _euclidean_silhouette(rows: DataFrame) -> float:
-    """Mean distances of every row to each cluster, against one copy of the points per task."""
-    rows = cut_lineage(rows.select("label", vector_to_array("features").alias("features")))
-    n = rows.count()
-    if n > EUCLIDEAN_ROWS:
-        raise ValueError(f"{n} rows: plain distances take up to {EUCLIDEAN_ROWS}, use metric='squared'")
-    held = rows.toPandas()
-    points, labels = np.array(held.features.tolist()), held.label.to_numpy()
-    kinds, sizes = np.unique(labels, return_counts=True)
-
-    def widths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for own, f in zip(pdf.label, pdf.features):
-                far = np.sqrt(((points - np.asarray(f)) ** 2).sum(-1))
-                totals = np.array([far[labels == c].sum() for c in kinds])
-                mine = kinds == own
-                if sizes[mine][0] == 1:
-                    out.append(0.0)
-                    continue
-                a = totals[mine][0] / (sizes[mine][0] - 1)
-                b = (totals[~mine] / sizes[~mine]).min()
-                out.append(float((b - a) / max(a, b)) if max(a, b) > 0 else 0.0)
-            yield pd.DataFrame({"width": out})
-
-    return rows.mapInPandas(widths, "width double").agg(F.avg("width")).first()[0]
+    relabelled = rows.withColumn("label", F.col("label").cast("double"))
+    return ClusteringEvaluator(predictionCol="label", distanceMeasure="squaredEuclidean").evaluate(relabelled)
 
 
 def name_segments(df: DataFrame, label: str = "cluster") -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,13 +49,20 @@ def roc_auc(df: DataFrame, positive, score: str) -> DataFrame:
     return cum.agg((won / F.nullif(pairs, F.lit(0.0))).alias("roc_auc"))
 
 
-def roc_auc_one_vs_rest(df: DataFrame, label: str, probability: str, classes: list[int]) -> DataFrame:
-    """Unweighted mean of the one-against-rest areas; ``probability`` is an array column."""
-    parts = [
-        roc_auc(df.select(F.col(label).alias("label"), F.col(probability)[c].alias("p")), F.col("label") == c, "p")
-        for c in classes
-    ]
-    return reduce(DataFrame.unionByName, parts).agg(F.avg("roc_auc").alias("roc_auc"))
+def roc_auc_one_vs_rest(df: DataFrame, label: str, probability: str) -> DataFrame:
+    """Unweighted mean of the one-against-rest areas; entry c of the array ``probability`` is the score of class c.
+
+    All classes in one keyed aggregate; a class without positives or without negatives has no area.
+    """
+    scores = df.select(F.col(label).alias("_y"), F.posexplode(probability).alias("c", "s"))
+    counted = scores.groupBy("c", "s").agg(
+        F.count_if(F.col("_y") == F.col("c")).alias("pos"), F.count_if(F.col("_y") != F.col("c")).alias("neg")
+    )
+    cum = running_totals(counted, [F.col("s")], ["neg"], ["c"])
+    won = F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / F.lit(2.0)))
+    pairs = F.sum("pos").cast("double") * F.sum("neg")
+    areas = cum.groupBy("c").agg((won / F.nullif(pairs, F.lit(0.0))).alias("area"))
+    return areas.agg(F.avg("area").alias("roc_auc"))
 
 
 def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

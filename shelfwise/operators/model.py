@@ -88,10 +88,14 @@ def train_classifier(
     key: str = "product_id",
     seed: int = 42,
     min_rows: int = 0,
+    stratify_below: int = 50,
 ) -> tuple[PipelineModel | None, DataFrame]:
-    """Fit on 80 %, report accuracy, weighted precision/recall/F1 and ROC-AUC on 20 %."""
-    classes = [r[0] for r in df.select(F.col(label).cast("int")).where(F.col(label).isNotNull()).distinct().limit(51).collect()]
-    train, test = _prepare(df, key, features, label, len(classes) < 50, seed)
+    """Fit on 80 %, report accuracy, weighted precision/recall/F1 and ROC-AUC on 20 %.
+
+    The split keeps the classes' shares if there are fewer than ``stratify_below`` of them.
+    """
+    classes = [r[0] for r in df.select(F.col(label).cast("int")).where(F.col(label).isNotNull()).distinct().collect()]
+    train, test = _prepare(df, key, features, label, len(classes) < stratify_below, seed)
     sizes = (train.count(), test.count())
     if sum(sizes) < min_rows or len(classes) < 2:
         return None, df.sparkSession.range(1).select(F.lit("insufficient_data").alias("status"))
@@ -105,7 +109,7 @@ def train_classifier(
             flat = predicted.select("label", F.col("p")[top].alias("s"))
             area = roc_auc(flat, F.col("label") == top, "s")
         else:
-            area = roc_auc_one_vs_rest(predicted, "label", "p", sorted(classes))
+            area = roc_auc_one_vs_rest(predicted, "label", "p")
         scores = scores.withColumn("roc_auc", area.scalar())
     else:
         scores = scores.withColumn("roc_auc", F.lit(None).cast("double"))

@@ -136,18 +136,22 @@ def tag_scraper(df: DataFrame, agent: str, platform: str, scraper: str | None =
     )
 
 
-def read_api_pages(spark: SparkSession, path: str, max_pages: int = 50) -> DataFrame:
+def read_api_pages(spark: SparkSession, path: str, max_pages: int | None = None) -> DataFrame:
     """Product records of landed result pages ``page-<n>.json`` (one JSON list per file).
 
-    Pages after the first empty one and beyond ``max_pages`` are not part of the result.
+    Pages after the first empty one are not part of the result, nor those beyond ``max_pages`` if it is given.  A page
+    that is no JSON list is one row with status ``unreadable`` and no payload.
     """
     pages = spark.read.text(path, wholetext=True).select(
         F.regexp_extract(F.input_file_name(), r"page-(\d+)", 1).cast("int").alias("page"),
         F.from_json("value", "array<string>").alias("records"),
     )
     empty = pages.where(F.size("records") <= 0).agg(F.min("page")).scalar()
-    valid = (F.col("page") <= max_pages) & (F.col("page") < F.coalesce(empty, F.lit(max_pages + 1)))
-    return pages.where(valid).select("page", F.explode("records").alias("payload"))
+    valid = empty.isNull() | (F.col("page") < empty)
+    if max_pages is not None:
+        valid = valid & (F.col("page") <= max_pages)
+    status = F.when(F.col("records").isNull(), "unreadable").otherwise("ok")
+    return pages.where(valid).select("page", status.alias("status"), F.explode_outer("records").alias("payload"))
 
 
 def collect_outputs(outputs: dict[str, DataFrame | None]) -> DataFrame:

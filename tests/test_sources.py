@@ -87,6 +87,14 @@ def test_landed_pages(spark, tmp_path):
     assert raw.read_api_pages(spark, str(tmp_path), max_pages=1).count() == 2
 
 
+def test_many_pages_and_unreadable_ones(spark, tmp_path):
+    for n in range(1, 71):
+        (tmp_path / f"page-{n}.json").write_text("<html>busy</html>" if n == 7 else json.dumps([{"id": n}]))
+    got = raw.read_api_pages(spark, str(tmp_path)).collect()
+    assert {r.page for r in got} == set(range(1, 71))
+    assert [(r.page, r.payload) for r in got if r.status != "ok"] == [(7, None)]
+
+
 def test_outputs_with_status(spark):
     ok = spark.createDataFrame([("1",)], "product_id string")
     got = raw.collect_outputs({"a": ok, "b": None, "c": ok})
