@@ -10,8 +10,6 @@ from shelfwise.functions.ordering import number_rows
 from shelfwise.operators.prep import scalars
 from shelfwise.session import cut_lineage
 
-SEPARATOR = ","
-
 
 def pruned_baskets(items: DataFrame, min_support: float) -> DataFrame:
     """One row per basket holding only its frequent items, from distinct (basket, item) rows.
@@ -54,7 +52,8 @@ def association_rules(
 ) -> DataFrame:
     """Every split of each itemset into antecedent and consequent, with the usual measures.
 
-    A split is a bit mask over at most ``max_len`` items; both supports are equi-joins.
+    A split is a bit mask over at most ``max_len`` items; both supports are equi-joins.  Sides are sorted item lists;
+    the rules come with the highest lift first.
     """
     splits = itemsets.where(F.size("items").between(2, max_len)).withColumn(
         "_mask", F.explode(F.sequence(F.lit(1), (F.pow(F.lit(2), F.size("items")) - 2).cast("int")))
@@ -81,14 +80,14 @@ def association_rules(
         rules = rules.where(F.col("lift") >= min_lift)
     conviction = F.when(F.col("confidence") < 1, (1 - F.col("s_c")) / (1 - F.col("confidence")))
     return rules.select(
-        F.array_join("antecedents", SEPARATOR).alias("antecedents"),
-        F.array_join("consequents", SEPARATOR).alias("consequents"),
+        "antecedents",
+        "consequents",
         "support",
         "confidence",
         "lift",
         (F.col("support") - F.col("s_a") * F.col("s_c")).alias("leverage"),
         conviction.alias("conviction"),
-    )
+    ).orderBy(F.desc("lift"), "antecedents", "consequents")
 
 
 def rule_summary(rules: DataFrame, min_lift: float = 1.0) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -166,12 +167,24 @@ def trend_insights(
 
 
 def insight_rows(sections: dict[str, DataFrame], key: str = "category") -> DataFrame:
-    """The report flattened to (section, item, value) rows."""
-    return (
-        sections["totals"]
-        .select(F.lit("total_products").alias("section"), F.lit("all").alias("item"), F.col("total_products").cast("string").alias("value"))
-        .unionByName(sections["price_trend"].select(F.lit("price_trend").alias("section"), F.col(key).alias("item"), F.col("trend").alias("value")))
-        .unionByName(sections["popularity_trend"].select(F.lit("review_trend").alias("section"), F.col(key).alias("item"), F.col("review_trend").alias("value")))
-        .unionByName(sections["popularity_trend"].select(F.lit("rating_trend").alias("section"), F.col(key).alias("item"), F.col("rating_trend").alias("value")))
-        .unionByName(sections["category_movers"].select(F.lit("category_trend").alias("section"), F.col("category").alias("item"), F.col("direction").alias("value")))
-    )
+    """The report flattened to (section, item, value) rows; a forecast's item is its series and step."""
+
+    def rows(section: str, df: DataFrame, item: Column, value: Column) -> DataFrame:
+        return df.select(F.lit(section).alias("section"), item.cast("string").alias("item"), value.cast("string").alias("value"))
+
+    def money(c: str) -> Column:
+        return F.round(c, 2).cast("decimal(18,2)").cast("string")
+
+    series, popular = F.col(key), sections["popularity_trend"]
+    band = F.concat_ws(" ", money("forecast"), money("lower"), money("upper"))
+    parts = [
+        rows("total_products", sections["totals"], F.lit("all"), F.col("total_products")),
+        rows("price_trend", sections["price_trend"], series, F.col("trend")),
+        rows("price_forecast", sections["price_forecast"], F.concat_ws("/", series, F.col("step").cast("string")), band),
+        rows("review_trend", popular, series, F.col("review_trend")),
+        rows("rating_trend", popular, series, F.col("rating_trend")),
+        rows("category_trend", sections["category_movers"], F.col("category"), F.col("direction")),
+    ]
+    if "trending_products" in sections:
+        parts.append(rows("trending_products", sections["trending_products"], F.col("product_id"), F.col("score")))
+    return reduce(DataFrame.unionByName, parts)

@@ -46,7 +46,8 @@ ROUNDED_SQL = "antecedents, consequents, " + ", ".join(f"round({c}, 6) AS {c}" f
 
 
 def _shown(df):
-    return df.select("antecedents", "consequents", *[F.round(c, 6).alias(c) for c in ROUNDED])
+    sides = [F.array_join(c, ",").alias(c) for c in ("antecedents", "consequents")]
+    return df.select(*sides, *[F.round(c, 6).alias(c) for c in ROUNDED])
 
 
 @query("frequent_itemsets", itemsets_sql("p_type", 0.05, 5) + "SELECT items, CAST(size AS INTEGER) AS size, n, round(support, 6) AS support FROM itemsets")

@@ -48,12 +48,12 @@ def stream_collect(spark, sf):
 @query(
     "stream_liveness",
     f"""WITH beats AS (
-      SELECT CAST(user_id AS VARCHAR) AS entity, epoch_ms(ts) AS ms,
-             lag(epoch_ms(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM events),
+      SELECT CAST(user_id AS VARCHAR) AS entity, epoch_us(ts) // 1000 AS ms,
+             lag(epoch_us(ts) // 1000) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM events),
     ends AS (SELECT entity, max(ms) + {SILENCE * 1000} AS at_ms FROM beats GROUP BY entity)
     SELECT entity, ms AS at_ms, 'online' AS state FROM beats WHERE before IS NULL OR ms - before > {SILENCE * 1000}
     UNION ALL SELECT entity, before + {SILENCE * 1000}, 'offline' FROM beats WHERE ms - before > {SILENCE * 1000}
-    UNION ALL SELECT entity, at_ms, 'offline' FROM ends WHERE at_ms <= epoch_ms((SELECT max(ts) FROM events))""",
+    UNION ALL SELECT entity, at_ms, 'offline' FROM ends WHERE at_ms <= epoch_us((SELECT max(ts) FROM events)) // 1000""",
 )
 def stream_liveness(spark, sf):
     changes = streaming.with_state_provider(

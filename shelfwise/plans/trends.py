@@ -51,11 +51,15 @@ def category_price_trend(spark, sf):
     return _rounded(trend.price_trend(price_history(spark, sf), ["category"], "month"))
 
 
-@query(
-    "price_forecast",
-    HISTORY_SQL + BY_CATEGORY + TAIL + """, f AS (SELECT fit.*, CAST(step AS INTEGER) AS step, mean + slope * (n - 1) / CAST(2 AS DOUBLE) + greatest(slope, -(mean * CAST(0.1 AS DOUBLE)) / 30) * step AS point,
+FORECAST = """, f AS (SELECT fit.*, CAST(step AS INTEGER) AS step, mean + slope * (n - 1) / CAST(2 AS DOUBLE) + greatest(slope, -(mean * CAST(0.1 AS DOUBLE)) / 30) * step AS point,
       CAST(1.96 AS DOUBLE) * sqrt(greatest(syy - slope * sxy, 0) / (n - 2)) * sqrt(1 + CAST(1 AS DOUBLE) / n + ((n - 1) / CAST(2 AS DOUBLE) + step) * ((n - 1) / CAST(2 AS DOUBLE) + step) / sxx) AS spread
       FROM fit, range(1, 31) r(step) WHERE n >= 5)
+"""
+
+
+@query(
+    "price_forecast",
+    HISTORY_SQL + BY_CATEGORY + TAIL + FORECAST + """
     SELECT category, step, round(least(greatest(point, low), 2 * mean), 4) AS forecast, round(least(greatest(point - spread, low), 2 * mean), 4) AS lower,
       round(least(greatest(point + spread, low), 2 * mean), 4) AS upper FROM f""",
 )
@@ -90,10 +94,12 @@ def price_change(spark, sf):
 
 @query(
     "trend_insights",
-    HISTORY_SQL + BY_CATEGORY + TAIL + POPULARITY + PRODUCTS_SQL.strip().replace("WITH facts AS", ", facts AS") + f""",
+    HISTORY_SQL + BY_CATEGORY + TAIL + FORECAST + POPULARITY + PRODUCTS_SQL.strip().replace("WITH facts AS", ", facts AS") + f""",
     st AS (SELECT category, count(price) AS n, avg(rating) AS r FROM products WHERE category IS NOT NULL GROUP BY 1)
     SELECT 'total_products' AS section, 'all' AS item, CAST(count(*) AS VARCHAR) AS value FROM products
     UNION ALL SELECT 'price_trend', category, {TREND_SQL} FROM fit
+    UNION ALL SELECT 'price_forecast', category || '/' || step, concat_ws(' ', CAST(CAST(round(least(greatest(point, low), 2 * mean), 2) AS DECIMAL(18, 2)) AS VARCHAR),
+      CAST(CAST(round(least(greatest(point - spread, low), 2 * mean), 2) AS DECIMAL(18, 2)) AS VARCHAR), CAST(CAST(round(least(greatest(point + spread, low), 2 * mean), 2) AS DECIMAL(18, 2)) AS VARCHAR)) FROM f
     UNION ALL SELECT 'review_trend', category, review_trend FROM popular
     UNION ALL SELECT 'rating_trend', category, rating_trend FROM popular
     UNION ALL SELECT 'category_trend', category, 'rising' FROM (SELECT category FROM st WHERE n > (SELECT avg(n) FROM st) * 1.3 OR r > 4.2 ORDER BY category LIMIT 6)

@@ -15,6 +15,13 @@ def test_catalogue_reads_only_what_is_asked(spark):
     assert "EqualTo(p_type,PROMO)" in plan
 
 
+def test_part_columns_need_no_lines(spark):
+    plan = plan_of(products(spark, SF).select("product_id", "name", "category", "price"))
+    assert "l_partkey" not in plan and "s_suppkey" not in plan
+    for name in ("products_by_price", "category_distribution", "filter_price_category"):
+        assert "l_partkey" not in plan_of(queries()[name](spark, SF)), name
+
+
 def test_limits_before_sorting_and_windows(spark):
     assert "TakeOrderedAndProject" in plan_of(queries()["top_k"](spark, SF))
     assert "TakeOrderedAndProject" in plan_of(queries()["fetch_latest"](spark, SF))

@@ -22,8 +22,8 @@ def test_worked_example(spark):
     assert support[("bread", "diapers", "milk")] == 0.25
     found = rules.association_rules(itemsets, 0.5, None).collect()
     assert len(found) == 9
-    pairs = [r for r in found if "," not in r.antecedents]
-    triples = [r for r in found if "," in r.antecedents]
+    pairs = [r for r in found if len(r.antecedents) == 1]
+    triples = [r for r in found if len(r.antecedents) == 2]
     assert len(pairs) == 6 and len(triples) == 3
     for r in pairs:
         assert (r.confidence, r.lift, r.leverage, r.conviction) == pytest.approx((2 / 3, 0.8889, -0.0625, 0.75), abs=1e-4)
@@ -40,6 +40,13 @@ def test_repeated_items_and_sure_rule(spark):
     assert {(r.confidence, r.conviction) for r in sure} == {(1.0, None)}
 
 
+def test_an_item_may_hold_a_comma_and_lift_sorts(spark):
+    baskets = [("a,b", "c"), ("a,b", "c"), ("a", "d"), ("a", "d"), ("a", "c"), ("e", "f"), ("e", "f")]
+    found = rules.association_rules(rules.frequent_itemsets(items_of(spark, baskets), 0.2)).collect()
+    assert (["a,b"], ["c"]) in [(r.antecedents, r.consequents) for r in found]
+    assert [r.lift for r in found] == sorted((r.lift for r in found), reverse=True) and len({r.lift for r in found}) > 1
+
+
 def test_against_brute_force_with_a_hot_basket(spark):
     rng = random.Random(3)
     baskets = [{f"i{rng.randrange(12)}" for _ in range(rng.randrange(1, 7))} for _ in range(200)]
