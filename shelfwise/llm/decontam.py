@@ -18,7 +18,7 @@ from shelfwise.llm.common import keyed
 from shelfwise.session import cut_lineage
 
 BITS = 64
-BROADCAST_ROWS = 200_000  # a benchmark side of more rows is joined by shuffle instead
+BROADCAST_WORDS = 200_000  # a benchmark of more words, or of more than a hundredth as many items, is joined by shuffle
 
 
 def word_array(text: Column) -> Column:
@@ -140,7 +140,8 @@ def benchmark_leaks(
     items = cut_lineage(items.where(F.size("iw") > 0).withColumn("n", F.size("iw")))
     length = F.least(F.col("n"), F.lit(shingle))
     sizes = items.groupBy(length.alias("size")).agg(F.min("n"), F.collect_set(F.col("n")).alias("ns")).collect()
-    small = items.count() <= BROADCAST_ROWS // 100
+    total = items.agg(F.count(F.lit(1)).alias("items"), F.coalesce(F.sum("n"), F.lit(0)).alias("words")).first()
+    small = total["words"] <= BROADCAST_WORDS and total["items"] <= BROADCAST_WORDS // 100
     proposals, indexed = [], []
     for row in sizes:  # at most ``shingle`` different lengths
         size = row["size"]
