@@ -5,7 +5,7 @@ from __future__ import annotations
 
 def all_queries() -> tuple[dict, dict]:
     """Every registered query and SQL text."""
-    from shelfwise.plans import events, models, products, rules, streams, trends  # noqa: F401
+    from shelfwise.plans import events, landed, models, products, rules, streams, trends  # noqa: F401
     from shelfwise.plans.registry import ORACLES, QUERIES
 
     return QUERIES, ORACLES

@@ -172,7 +172,7 @@ def successful(df: DataFrame) -> DataFrame:
     return df.where(F.col("status") == "ok").drop("status")
 
 
-def _target_defaults(df: DataFrame) -> DataFrame:
+def target_defaults(df: DataFrame) -> DataFrame:
     return df.select(
         F.coalesce("platform", F.lit("generic")).alias("platform"),
         F.coalesce("url", F.lit("")).alias("url"),
@@ -185,13 +185,13 @@ def _target_defaults(df: DataFrame) -> DataFrame:
 def read_targets(spark: SparkSession, path: str | None = None, inline: str | None = None) -> DataFrame:
     """Collection targets from a JSON file, or from JSON text when no file is given."""
     if path is not None:
-        return _target_defaults(spark.read.schema(TARGET_SCHEMA).option("multiLine", True).json(path))
+        return target_defaults(spark.read.schema(TARGET_SCHEMA).option("multiLine", True).json(path))
     if inline is not None:
         listed = spark.createDataFrame([(inline,)], "j string").select(
             F.inline(F.from_json("j", f"array<{TARGET_SCHEMA.simpleString()}>"))
         )
-        return _target_defaults(listed)
-    return _target_defaults(spark.createDataFrame([], TARGET_SCHEMA))
+        return target_defaults(listed)
+    return target_defaults(spark.createDataFrame([], TARGET_SCHEMA))
 
 
 def tasks_from_targets(targets: DataFrame) -> DataFrame:
