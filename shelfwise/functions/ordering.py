@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.session import cut_lineage
+from shelfwise.session import broadcast_if_small, cut_lineage
 
 _ROW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row index in its low 33 bits
 
@@ -38,7 +38,7 @@ def _attach(rows: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> DataFra
     match = F.col("_pid") == F.col("_opid")
     for k in keys:
         match = match & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
-    return rows.join(renamed, match).drop("_opid", *[f"_o_{k}" for k in keys])
+    return rows.join(broadcast_if_small(renamed), match).drop("_opid", *[f"_o_{k}" for k in keys])
 
 
 def number_rows(

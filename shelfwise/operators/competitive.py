@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from shelfwise.operators.scoring import best, rank_limited, top_per_category
 
 # fixed values: names given to a missing category and vendor
-NO_CATEGORY = "Non classé"
 UNKNOWN = "Unknown"
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import or_zero, parse_flag, price_band, seeded_draw
 from shelfwise.functions.ordering import number_rows, quantiles
+from shelfwise.session import broadcast_if_small
 
 FEATURES = ("price", "rating", "reviews_count", "quantity")
 NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
@@ -124,7 +125,7 @@ def label_codes(df: DataFrame, column: str) -> DataFrame:
 
 def label_encode(df: DataFrame, columns: Sequence[str] = ("category", "vendor")) -> DataFrame:
     for c in columns:
-        codes = label_codes(df, c).withColumnRenamed(c, "_label")
+        codes = broadcast_if_small(label_codes(df, c).withColumnRenamed(c, "_label"))
         df = df.join(codes, F.coalesce(F.col(c), F.lit("None")) == F.col("_label"), "left").drop("_label")
     return df
 
@@ -236,7 +237,7 @@ def price_outliers(df: DataFrame, keys: Sequence[str] = ("category",), fence: fl
     """
     q = quantiles(df, "price", {"q1": 0.25, "q3": 0.75}, keys)
     m = df.groupBy(*keys).agg(F.avg("price").alias("m"), F.stddev_pop("price").alias("s"))
-    bounds = q.join(m, list(keys))
+    bounds = broadcast_if_small(q.join(m, list(keys)))  # one row per key: the rows of a hot key stay where they are
     iqr = F.col("q3") - F.col("q1")
     return (
         df.join(bounds, list(keys))

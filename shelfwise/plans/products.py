@@ -252,6 +252,22 @@ def page_extract(spark, sf):
     return pages.extract_pages(table(spark, sf, "pages"))
 
 
+@query(
+    "page_marks",
+    """SELECT p_partkey AS page_id, p_name AS title, round(p_retailprice, 2) AS price, p_name || ' by ' || p_brand || ' in ' || p_type AS description FROM part""",
+)
+def page_marks(spark, sf):
+    """Pages with price and description marks, made from the parts."""
+    text = F.concat("p_name", F.lit(" by <b>"), "p_brand", F.lit("</b> in "), "p_type")
+    price = F.expr("CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS STRING)")
+    html = F.concat(
+        F.lit("<html><head><title>"), "p_name", F.lit('</title></head><body><nav>x</nav><div class="the-price">$ '), price,
+        F.lit('</div><p class="long description">'), text, F.lit("</p></body></html>"),
+    )
+    made = table(spark, sf, "part").select(F.col("p_partkey").alias("page_id"), html.alias("html"))
+    return pages.extract_pages(made).withColumn("price", F.round("price", 2))
+
+
 URLS = """
   SELECT url FROM pages
   UNION ALL SELECT concat('https://shop', CAST(p_size AS {text}), '.myshopify.com/products/', replace(p_name, ' ', '-'), '?ref=', p_brand) FROM part

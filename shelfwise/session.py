@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql.functions import broadcast
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -45,6 +46,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+SMALL_ROWS = 100_000
+
+
+def broadcast_if_small(df, limit: int = SMALL_ROWS):
+    """``df`` written once, and marked for broadcast if it has at most ``limit`` rows; joined by shuffle otherwise."""
+    df = cut_lineage(df)
+    return broadcast(df) if df.count() <= limit else df
+
+
 def cut_lineage(df):
     """Materialise ``df`` reliably; the copy survives the loss of executors."""
     checkpoint_root(df.sparkSession)

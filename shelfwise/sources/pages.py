@@ -131,18 +131,14 @@ def extract_pages(pages: DataFrame, key: str = "page_id", html: str = "html", st
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            facts = [
-                (unescape(title), None, "") if title is not None else page_facts(whole, strict)
-                for title, whole in zip(pdf["plain"], pdf["whole"])
-            ]
-            yield pd.DataFrame(
-                {
-                    key: pdf[key],
-                    "title": [f[0] for f in facts],
-                    "price_text": [f[1] for f in facts],
-                    "description": [f[2] for f in facts],
-                }
-            )
+            out = pd.DataFrame({key: pdf[key], "title": pdf["plain"], "price_text": None, "description": ""})
+            coded = out["title"].str.contains("&", regex=False, na=False).to_numpy(dtype=bool)
+            out.loc[coded, "title"] = out.loc[coded, "title"].map(unescape)
+            parsed = pdf["whole"].notna().to_numpy()
+            if parsed.any():
+                facts = [page_facts(whole, strict) for whole in pdf.loc[parsed, "whole"]]
+                out.loc[parsed, ["title", "price_text", "description"]] = pd.DataFrame(facts, dtype=object).to_numpy()
+            yield out
 
     split = pages.select(key, html, _plain_title(html).alias("plain"))
     split = split.select(key, "plain", F.when(F.col("plain").isNull(), F.col(html)).alias("whole"))
