@@ -22,7 +22,7 @@ from shelfwise.functions.ordering import number_rows
 from shelfwise.session import cut_lineage
 
 LEAF = 32
-MAX_DIMENSIONS = 4
+GRID_DIMENSIONS = 4  # of more features the level-0 grid takes the first four; boxes and distances take all
 MAX_LEVELS = 48
 
 
@@ -62,15 +62,15 @@ class EpsGrid:
     """Weighted distinct points of a table and the search for neighbours within ``eps``.
 
     Coordinates stay in plain columns (``f0``, ``f1``, ...), so distances compile
-    to short arithmetic.
+    to short arithmetic.  The level-0 grid has at most four dimensions, as a box
+    has 3 to 5 neighbours along each; deeper levels halve a box along all of them.
     """
 
     def __init__(self, df: DataFrame, key: str, features: Sequence[str], eps: float):
         self.d = len(features)
-        if not 1 <= self.d <= MAX_DIMENSIONS:
-            raise ValueError(f"the grid search takes 1 to {MAX_DIMENSIONS} features; project first")
+        self.g = min(self.d, GRID_DIMENSIONS)
         self.key, self.features, self.eps2 = key, list(features), eps * eps
-        self.side = eps / math.sqrt(self.d) * (1 - 1e-9)
+        self.side = eps / math.sqrt(self.g) * (1 - 1e-9)
         self.f = [f"f{i}" for i in range(self.d)]
         # rows are matched on their coordinates later, so both uses must see the same numbers
         coordinates = [F.col(n).cast("double").alias(f) for n, f in zip(self.features, self.f)]
@@ -81,20 +81,21 @@ class EpsGrid:
     def node(self, level: int) -> Column:
         """Box of a point at a level: the level followed by its grid coordinates."""
         scale = F.lit(float(2**level))
-        return F.array(
-            F.lit(level).cast("bigint"), *[F.floor(x / F.lit(self.side) * scale) for x in _cols("f", self.d)]
-        )
+        places = [F.floor(x / F.lit(self.side) * scale) for x in _cols("f", self.d)]
+        if level == 0:
+            places[self.g :] = [F.lit(0).cast("bigint")] * (self.d - self.g)
+        return F.array(F.lit(level).cast("bigint"), *places)
 
     def bounds(self) -> list[Column]:
         low = [F.min(f).alias(f"lo{i}") for i, f in enumerate(self.f)]
         return low + [F.max(f).alias(f"hi{i}") for i, f in enumerate(self.f)]
 
     def offsets(self, half: bool = False) -> list[tuple[int, ...]]:
-        r = math.ceil(math.sqrt(self.d))
+        r = math.ceil(math.sqrt(self.g))
         near = [
-            o
-            for o in itertools.product(range(-r, r + 1), repeat=self.d)
-            if sum(max(abs(x) - 1, 0) ** 2 for x in o) <= self.d
+            o + (0,) * (self.d - self.g)
+            for o in itertools.product(range(-r, r + 1), repeat=self.g)
+            if sum(max(abs(x) - 1, 0) ** 2 for x in o) <= self.g
         ]
         return [o for o in near if o > (0,) * self.d] if half else near
 
@@ -119,9 +120,10 @@ class EpsGrid:
                 .groupBy("node")
                 .agg(F.collect_list(F.struct("w", *self.f)).alias("pts"))
             )
-            up = F.array(
-                F.col("node")[0] - 1, *[F.floor(F.col("node")[i + 1] / F.lit(2.0)) for i in range(self.d)]
-            )
+            half = [F.floor(F.col("node")[i + 1] / F.lit(2.0)) for i in range(self.d)]
+            if level == 1:
+                half[self.g :] = [F.lit(0).cast("bigint")] * (self.d - self.g)
+            up = F.array(F.col("node")[0] - 1, *half)
             parts.append(boxes.join(held, "node", "left").withColumn("parent", up).drop("n"))
             level += 1
             if last or boxes.where(crowded).isEmpty():
@@ -250,8 +252,11 @@ def dbscan(
 ) -> DataFrame:
     """Cluster per row, numbered by smallest core id; -1 is noise.
 
-    A border row joins the lowest-numbered cluster it touches.
+    A border row joins the lowest-numbered cluster it touches.  Takes up to four
+    features: rows of one level-0 cell must be neighbours.
     """
+    if len(features) > GRID_DIMENSIONS:
+        raise ValueError(f"density clustering takes up to {GRID_DIMENSIONS} features; project first")
     grid = EpsGrid(df, key, features, eps)
     points = grid.points.withColumn("cell", grid.node(0))
     cells = points.groupBy("cell").agg(F.sum("w").alias("cell_w"), *grid.bounds())

@@ -36,6 +36,35 @@ def eps_neighbors(spark, sf):
     return neighbors.eps_neighbors(scaled_points(spark, sf), "product_id", Z)
 
 
+WIDE = 6
+
+
+@query(
+    "eps_neighbors_wide",
+    "SELECT a.vec_id, count(*) AS n_neighbors, count(*) >= 5 AS is_core FROM embeddings a JOIN embeddings b ON "
+    + " + ".join(f"(a.embedding[{i}]::DOUBLE - b.embedding[{i}]) * (a.embedding[{i}]::DOUBLE - b.embedding[{i}])" for i in range(1, WIDE + 1))
+    + " <= 0.015625 GROUP BY a.vec_id",
+)
+def eps_neighbors_wide(spark, sf):
+    """Six features: more than the grid has dimensions."""
+    names = [f"e{i}" for i in range(WIDE)]
+    points = table(spark, sf, "embeddings").select("vec_id", *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)])
+    return neighbors.eps_neighbors(points, "vec_id", names, eps=0.125)
+
+
+@query(
+    "multiclass_auc",
+    """WITH s AS (SELECT label, c, embedding[c + 1] AS s FROM embeddings, range(0, 10) r(c)),
+    k AS (SELECT c, label = c AS pos, rank() OVER (PARTITION BY c ORDER BY s) + (count(*) OVER (PARTITION BY c, s) - 1) / CAST(2 AS DOUBLE) AS r FROM s),
+    n AS (SELECT c, sum(r) FILTER (WHERE pos) AS ranks, CAST(count(*) FILTER (WHERE pos) AS DOUBLE) AS p, count(*) FILTER (WHERE NOT pos) AS q FROM k GROUP BY c)
+    SELECT round(avg((ranks - p * (p + 1) / 2) / nullif(p * q, 0)), 6) AS roc_auc FROM n""",
+)
+def multiclass_auc(spark, sf):
+    """Vector components as the scores of the ten labels, one against the rest."""
+    rows = table(spark, sf, "embeddings").select("label", F.slice("embedding", 1, 10).alias("p"))
+    return metrics.roc_auc_one_vs_rest(rows, "label", "p").select(F.round("roc_auc", 6).alias("roc_auc"))
+
+
 @query(
     "dbscan",
     POINTS_SQL.replace("WITH facts", "WITH RECURSIVE facts", 1) + """, near AS (SELECT a.product_id AS a, b.product_id AS b FROM z a JOIN z b

@@ -97,3 +97,15 @@ def test_metrics(spark):
     assert m.precision == pytest.approx((2 * 0.5 + 2 * 2 / 3 + 0) / 5)
     assert m.recall == pytest.approx((2 * 0.5 + 2 * 1.0 + 0) / 5)
     assert m.f1 == pytest.approx((2 * 0.5 + 2 * 0.8) / 5)
+
+
+def test_area_over_sixty_classes(spark):
+    rng = random.Random(6)
+    rows = [(rng.randrange(60), [round(rng.random(), 2) for _ in range(60)]) for _ in range(400)]
+    areas = []
+    for c in range(60):
+        pos, neg = [p[c] for y, p in rows if y == c], [p[c] for y, p in rows if y != c]
+        if pos:
+            areas.append(sum((a > b) + 0.5 * (a == b) for a in pos for b in neg) / (len(pos) * len(neg)))
+    got = roc_auc_one_vs_rest(spark.createDataFrame(rows, "label int, p array<double>"), "label", "p").first().roc_auc
+    assert got == pytest.approx(sum(areas) / len(areas))
