@@ -22,6 +22,7 @@ from shelfwise.llm.common import keyed, pieces
 
 SLOTS = 1 << 15  # trigram slots per language: the model's size does not grow with the corpus
 CACHE = 200_000  # words held per task
+PENALTY = 20.0  # nats that a change of language costs
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 
@@ -52,8 +53,10 @@ def trigram_slots(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return slots[inside[:-2]], np.concatenate([[0], np.cumsum(sizes)])[:-1]
 
 
-def word_script(word: str) -> int:
-    return int(SCRIPT_AT[np.searchsorted(EDGES, ord(word[0]), side="right") - 1])
+def word_scripts(words: list[str]) -> np.ndarray:
+    """Script of every word, by its first letter."""
+    first = np.fromiter((ord(w[0]) for w in words), np.int64, len(words))
+    return SCRIPT_AT[np.searchsorted(EDGES, first, side="right") - 1]
 
 
 def held_out(id_col: Column) -> Column:
@@ -72,8 +75,7 @@ class Model:
         """Log-probability of every word in every language; languages that do not use its script are out."""
         slots, starts = trigram_slots(words)
         out = np.add.reduceat(self.scores[slots], starts, axis=0)
-        script = np.array([word_script(w) for w in words])
-        usable = self.allowed[script]
+        usable = self.allowed[word_scripts(words)]
         usable[~usable.any(axis=1)] = True  # a script that no language was learned with narrows nothing
         return np.where(usable, out, out.min(axis=1, keepdims=True) - 50.0)
 
@@ -94,7 +96,7 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Mo
             own += np.bincount(
                 slots, np.repeat(times, [len(w) for w in words]), minlength=SLOTS + len(SCRIPTS)
             ).astype(np.int64)
-            np.add.at(own, SLOTS + np.array([word_script(w) for w in words]), times)
+            np.add.at(own, SLOTS + word_scripts(words), times)
 
         seen: dict[str, Counter] = {}
         for part in pieces(batches):
@@ -128,43 +130,46 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Mo
 def viterbi(scores: np.ndarray, penalty: float) -> np.ndarray:
     """Best language of every word, where each change of language costs ``penalty``.
 
-    If no run of words favours any other language over the best overall by half the penalty, no path with a change
-    can win, and the whole text is one span; otherwise the path is found word by word.
+    Whole texts in one language are told without walking them.  Take the best language overall, and what others gain
+    over it in runs of words.  If no run anywhere gains the penalty, and the best run at the start and the best at the
+    end do not gain it together, every path with a change pays more for its changes than its runs can gain.
     """
     n, k = scores.shape
     best = int(scores.sum(axis=0).argmax())
-    run = np.cumsum(scores - scores[:, [best]], axis=0)
+    run = np.cumsum(scores - scores[:, [best]], axis=0, dtype=np.float64)
     before = np.minimum.accumulate(np.vstack([np.zeros(k), run[:-1]]), axis=0)
-    if ((run - before).max(axis=0) < penalty / 2).all():
+    ends = max(0.0, run.max()) + max(0.0, (run[-1] - run).max())
+    if (run - before).max() < penalty and ends < penalty:
         return np.full(n, best)
-    came = np.empty((n, k), dtype=np.int16)
-    stay, now = np.arange(k), scores[0].astype(np.float64)
-    for i in range(1, n):
-        top = int(now.argmax())
-        switch = now < now[top] - penalty
-        came[i] = np.where(switch, top, stay)
-        now = np.where(switch, now[top] - penalty, now) + scores[i]
-    path = np.empty(n, dtype=np.int64)
-    path[-1] = int(now.argmax())
-    for i in range(n - 1, 0, -1):
-        path[i - 1] = came[i, path[i]]
-    return path
+    rows = scores.astype(np.float64).tolist()
+    now, seen = rows[0], []
+    for row in rows[1:]:
+        floor = max(now) - penalty
+        seen.append(now)
+        now = [(a if a >= floor else floor) + b for a, b in zip(now, row)]
+    path = [now.index(max(now))]
+    for now in reversed(seen):
+        top = max(now)
+        path.append(path[-1] if now[path[-1]] >= top - penalty else now.index(top))
+    return np.array(path[::-1])
 
 
 def label_spans(text: str | None, model: Model, score_of, penalty: float) -> tuple[str, float, list[dict]]:
-    words = list(WORD.finditer(text or ""))
+    words = WORD.findall(text or "")
     if not words or not model.languages:
         return UNKNOWN, 0.0, []
-    scores = score_of([w.group().lower() for w in words])
-    path = viterbi(scores, penalty)
-    letters = np.array([w.end() - w.start() for w in words])
+    path = viterbi(score_of(" ".join(words).lower().split(" ")), penalty)
+    letters = np.fromiter(map(len, words), np.int64, len(words))
     share = np.bincount(path, letters, minlength=len(model.languages))
     lang = int(share.argmax())
-    edges = np.concatenate([[0], np.flatnonzero(np.diff(path)) + 1, [len(words)]])
-    spans = [
-        {"start": words[a].start(), "end": words[b - 1].end(), "lang": model.languages[path[a]]}
-        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())
-    ]
+    edges = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist(), len(words)]
+    if len(edges) == 2:
+        first, last = WORD.search(text).start(), text.rindex(words[-1]) + len(words[-1])
+        places = [(first, last)]
+    else:
+        at = [m.span() for m in WORD.finditer(text)]
+        places = [(at[a][0], at[b - 1][1]) for a, b in zip(edges, edges[1:])]
+    spans = [{"start": p, "end": q, "lang": model.languages[path[a]]} for (p, q), a in zip(places, edges)]
     return model.languages[lang], float(share[lang] / share.sum()), spans
 
 
@@ -192,7 +197,7 @@ def _scorer(model: Model):
 
 
 def label_documents(
-    docs: DataFrame, model: Model, penalty: float = 12.0, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, model: Model, penalty: float = PENALTY, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Per input row: the id, ``lang_pred``, ``score`` (share of letters in its spans) and ``spans``.
 
@@ -224,7 +229,7 @@ def label_documents(
     return rows.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
 
 
-def keep_identified(docs: DataFrame, model: Model, penalty: float = 12.0, text_col: str = "text") -> DataFrame:
+def keep_identified(docs: DataFrame, model: Model, penalty: float = PENALTY, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns as they are, whose text has a recognised language."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text_col)
@@ -239,7 +244,7 @@ def keep_identified(docs: DataFrame, model: Model, penalty: float = 12.0, text_c
     return docs.mapInArrow(run, docs.schema)
 
 
-def label_languages(docs: DataFrame, penalty: float = 12.0, id_col: str = "doc_id") -> DataFrame:
+def label_languages(docs: DataFrame, penalty: float = PENALTY, id_col: str = "doc_id") -> DataFrame:
     """Learn from the labelled documents whose ``crc32(id as text) mod 5`` is not 0, then label all documents.
 
     Adds ``held_out`` (that remainder is 0; a null id counts as not held out and is not learned from).
