@@ -5,9 +5,11 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from shelfwise.llm.common import pieces
 from shelfwise.llm.packing import Plan, best_fit, pack_documents, plan_packing, reduce_dominated
 from shelfwise.llm.tokencount import token_counts
 from shelfwise.llm.tokenfile import build_index, find_slots, lookup, read_token_files, write_token_files
@@ -147,3 +149,14 @@ def test_files_of_odd_rows(spark, odd, nothing, documents, tmp_path):
     texts = {r.doc_id: r.text for r in documents.where("doc_id in (5, 17)").collect()}
     assert {r.key: bytes(r.ids) for r in found} == {k: encoder().ids(t) + b"\2\0\0\0" for k, t in texts.items()}
     assert len(found) == len(texts)
+
+
+def test_batches_are_bounded_by_rows_and_bytes():
+    texts = ["a" * 5, None, "", "b" * 30, "c" * 3, "d" * 3, "e" * 3]
+    whole = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(texts)], names=["i", "t"])
+    for rows, size, want in ((3, 10, [3, 1, 3]), (2, 100, [2, 2, 2, 1]), (100, 1, [3, 1, 1, 1, 1])):
+        parts = list(pieces(iter([whole]), rows, size))
+        assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([whole]))
+        if size != 1:
+            assert [p.num_rows for p in parts] == want
+    assert list(pieces(iter([whole.slice(0, 0)]))) == []
