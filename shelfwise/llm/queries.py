@@ -95,7 +95,23 @@ def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
-@query("op2_embedding_pstable")
+VECTORS_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (
+  SELECT vec_id AS id, vec_id AS root FROM embeddings
+  UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.id WHERE r.root < l.b),
+heads AS (SELECT id, min(root) AS component_id FROM reach GROUP BY id),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN heads ON id = vec_id LEFT JOIN counts ON a = vec_id
+"""
+
+
+@query("op2_embedding_pstable", VECTORS_SQL)
 def embedding_pstable(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of cosine 0.95 or more between all vectors, whatever their labels."""
     return vectors.link_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
