@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     checkpoint_root(spark)
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -42,11 +43,19 @@ def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x
 
 
-def pieces(batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.RecordBatch]:
-    """The same rows in smaller batches, so that Python holds few texts at a time."""
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 2000, size: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows`` rows and, beyond one row, ``size`` bytes of text."""
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+        width = np.zeros(batch.num_rows, dtype=np.int64)
+        for column in batch.columns:
+            if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+                width += pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+        ends, start = np.cumsum(width), 0
+        while start < batch.num_rows:
+            full = int(np.searchsorted(ends, (ends[start - 1] if start else 0) + size, side="right"))
+            stop = min(batch.num_rows, start + rows, max(start + 1, full))
+            yield batch.slice(start, stop - start)
+            start = stop
 
 
 def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:

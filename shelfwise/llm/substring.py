@@ -159,13 +159,10 @@ def drop_repeated_windows(
     rows, repeated = _with_keys(docs, id_col, text_col)
     texts = rows.select("key", "_text")
     once = texts.dropDuplicates(["key"]) if repeated else texts
-    again = (
-        once.mapInArrow(_occurrences(window, seed, True), "seed long")
-        .groupBy("seed")
-        .agg(F.count(F.lit(1)).alias("times"))
-        .where("times > 1")
-        .select("seed")
-    )
+    # what a join needs of an aggregate is written first: then both of its sides are plain shuffles, and the planner
+    # can split the partition of a hot seed
+    seeds = once.mapInArrow(_occurrences(window, seed, True), "seed long").groupBy("seed")
+    again = written(seeds.agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("seed"), "again")
     fields = "seed long, stretch long, key long, start int, n int"
     alive = written(
         once.mapInArrow(_occurrences(window, seed, False), fields).join(again, "seed", "left_semi"), "seeds"
@@ -182,7 +179,8 @@ def drop_repeated_windows(
         .where((F.col("key") != F.col("first.key")) | (F.col("start") != F.col("first.start")))
         .select("key", "start", "n")
     )
-    shared = firsts.groupBy("seed").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("seed")
+    kinds = firsts.groupBy("seed").agg(F.count(F.lit(1)).alias("kinds"))
+    shared = written(kinds.where("kinds > 1").select("seed"), "shared")
     unlike = (
         firsts.join(shared, "seed", "left_semi")
         .select(F.col("first.key").alias("key"), F.struct("seed", F.col("first.start").alias("start"), "n").alias("s"))
