@@ -137,8 +137,8 @@ def write_token_files(
             return pa.RecordBatch.from_pylist([_shard(part, seq, keys, found, width)], schema=arrow)
 
         for some in pieces(batches, 500):
-            for k, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
-                ids = encoder.ids(text) + end
+            for k, ids in zip(some.column(0).to_pylist(), encoder.batch(some.column(1).to_pylist())):
+                ids += end
                 keys.append(k)
                 found.append(ids)
                 held += len(ids)
