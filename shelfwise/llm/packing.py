@@ -171,8 +171,8 @@ def cut_pieces(
         encoder = WordEncoder(tokenizer)
         for part in pieces(batches, 500):
             row, piece, start, length, crc = [], [], [], [], []
-            for i, text in enumerate(part.column(1).to_pylist()):
-                ids = encoder.ids(text) + end
+            for i, ids in enumerate(encoder.batch(part.column(1).to_pylist())):
+                ids += end
                 for k, at in enumerate(range(0, len(ids) // 4, capacity)):
                     own = ids[4 * at : 4 * (at + capacity)]
                     row.append(i)
