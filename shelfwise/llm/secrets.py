@@ -1,6 +1,9 @@
 """Secret scan in DataFrame functions alone: candidates by pattern, false positives removed by a random forest.
 
-Candidates are long runs of key characters with a digit, or values assigned to a telling name.  Each is described by
+Candidates are long runs of key characters with a digit, or values of at least 6 characters assigned to a telling name,
+also with blanks around the sign.  Not found: shorter values, values on the line after their name, what follows a
+blank, quote, comma, semicolon, equals sign or colon inside a value, names grown onto other letters (``mypassword=``)
+or not listed, and letter-only keys without a name.  Each candidate is described by
 its length, its character transitions, how much of it dictionary words cover, its path and its neighbouring words; the
 dictionary is counted over the whole corpus.  A random forest learned from labelled findings gives the verdict.
 """
@@ -19,9 +22,15 @@ from shelfwise.session import cut_lineage
 # fixed values: what a candidate looks like, and names that announce a secret
 RUN = r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{12,}"
 NAMES = r"(?i)(?:password|passwd|pwd|secret|token|api_?key|access_?key|auth)"
-ASSIGNED = r"(?<![A-Za-z])" + NAMES + r"[\"']?[=:][\"']?[^\s\"'=:,;]{6,}"
+VALUE = r"[^\s\"'=:,;]{6,}"
+ASSIGN = r"(?<![A-Za-z])" + NAMES + r"[\"']?[\x20\t]*(?::=|=>|[=:])[\x20\t]*[\"']?"
+MARK = "\ufdd0"  # no character of any text; stands before assigned values while they are looked up
 KEYS = r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,})(?![A-Za-z0-9])"
-CANDIDATE = f"{KEYS}|{RUN}|{ASSIGNED}"
+CANDIDATE = f"{KEYS}|{RUN}|{MARK}{VALUE}"  # in marked texts
+PLACEHOLDER = (
+    r"(?i)^(?:<.*>|\$?[{(\[].*[})\]]|\$[{(].*|%\(?\w*\)?s?|(.)\1*|your[-_].*|example(?:[-_].*)?|changeme|placeholder|redacted|undefined)[.)]?$"
+)
+WORDS = r"^\p{L}+(?:[-_./]\p{L}+)*[.!?)\]}]?$"
 MASK = "[SECRET]"
 PATH_HINT = r"(?i)(?:test|example|sample|fixture|mock|doc)"
 
@@ -32,7 +41,7 @@ DICTIONARY_TIMES = 20  # a dictionary word stands at least so often in the corpu
 FEATURES = (
     "length", "digits", "uppers", "lowers", "others", "transitions", "distinct", "hex_only", "digits_only",
     "dictionary", "path_hint", "path_depth", "inside_path", "named", "named_before", "assigned_before", "word_before",
-    "word_after",
+    "word_after", "assigned",
 )
 
 
@@ -43,10 +52,16 @@ def dictionary(docs: DataFrame, text_col: str = "text", times: int = DICTIONARY_
     return every.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= times).select("word")
 
 
+def marked(text: Column) -> Column:
+    """The text with ``MARK`` before every value that a telling name announces; its words keep their places."""
+    return F.regexp_replace(F.replace(text, F.lit(MARK), F.lit("\ufdd1")), f"({ASSIGN})(?={VALUE})", f"$1{MARK}")
+
+
 def candidates(docs: DataFrame, id_col: str, text_col: str, path_col: str | None) -> DataFrame:
-    """(_id, _path, word_index, candidate, word, before, before2, after), one row per candidate in reading order."""
+    """(_id, _path, word_index, candidate, assigned, word, before, before2, after), one row per candidate in reading
+    order; ``assigned`` is 1 for the value of a telling name."""
     path = F.col(f"`{path_col}`").cast("string") if path_col else F.lit(None).cast("string")
-    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_t"), path.alias("_path"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), marked(F.col(f"`{text_col}`").cast("string")).alias("_t"), path.alias("_path"))
     rows = rows.where(F.col("_t").rlike(CANDIDATE))
     found = F.element_at(
         F.transform(
@@ -67,8 +82,11 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, path_col: str | None
     placed = rows.select("_id", "_path", F.explode(found).alias("f")).select("_id", "_path", "f.*")
     hit = F.posexplode(F.regexp_extract_all("word", F.lit(CANDIDATE), F.lit(0)))
     placed = placed.select("*", hit.alias("nth", "match"))
-    value = F.regexp_replace("match", f"^{NAMES}[\"']?[=:][\"']?", "")
-    return placed.withColumn("candidate", value).drop("match")
+    plain = lambda c: F.replace(F.col(c), F.lit(MARK), F.lit("")).alias(c)
+    return placed.select(
+        "_id", "_path", "word_index", *map(plain, ("word", "before", "before2", "after")), "nth",
+        F.col("match").startswith(MARK).cast("double").alias("assigned"), plain("match").alias("candidate"),
+    )
 
 
 def _share(value: Column, kind: str) -> Column:
@@ -137,14 +155,23 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, seed: int = 11) -> RandomFore
 
 
 def weak_labels(found: DataFrame) -> DataFrame:
-    """Findings with a sure label, for a corpus that brings none: 1 for known key formats and for key-like values
-    right after a telling name, 0 for values without any letter, single-case words and parts of addresses."""
+    """Findings with a sure label, for a corpus that brings none.
+
+    1 for known key formats, for key-like values right after a telling name, and for other values assigned to one:
+    with blanks around the sign only if they hold more than letters.  0 for assigned values that are placeholders or
+    dictionary words, and, without a name, for values without any letter, mostly of dictionary words, or in addresses.
+    Assigned digits alone, and letters alone beyond blanks, can be either and stay without a label.
+    """
     value = F.col("candidate")
     key_format = value.rlike(f"^{KEYS}$")
     key_like = value.rlike("^[A-Za-z0-9+/_-]{12,}$") & value.rlike("[0-9]") & value.rlike("[A-Za-z]")
     named = (F.col("named") > 0) | ((F.col("named_before") > 0) & F.col("before").rlike("[=:]$"))
-    harmless = (F.col("digits_only") > 0) | (F.col("inside_path") > 0) | (F.col("dictionary") > 0.5) | ~key_like
-    label = F.when(key_format | (named & key_like), 1.0).when(harmless, 0.0)
+    assigned, common = F.col("assigned") > 0, F.col("dictionary") > 0.5
+    empty = value.rlike(PLACEHOLDER) | (value.rlike(WORDS) & common)
+    unsure = (F.col("digits_only") > 0) | (value.rlike(WORDS) & (F.col("named") == 0))
+    harmless = (F.col("digits_only") > 0) | (F.col("inside_path") > 0) | common | ~key_like
+    label = F.when(key_format, 1.0).when(assigned & empty, 0.0).when(named & key_like, 1.0)
+    label = label.when(assigned, F.when(~unsure, 1.0)).when(harmless, 0.0)
     return found.withColumn("label", label).where(F.col("label").isNotNull())
 
 

@@ -1,0 +1,42 @@
+"""Weak labels, dictionary and sample of the secret scan."""
+
+from pyspark.sql import functions as F
+
+from shelfwise.llm import secrets
+from tests.llm.conftest import sentence
+
+DOCS = "doc_id long, text string, source string"
+
+
+def described(spark, texts):
+    table = spark.createDataFrame([(i, t, "src/a") for i, t in enumerate(texts)], DOCS)
+    return secrets.features(secrets.candidates(table, "doc_id", "text", "source"), secrets.dictionary(table))
+
+
+def test_assigned_passwords_are_no_harmless_examples(spark):
+    values = {
+        "password=Xy7!kQ9@mZ2#w": "Xy7!kQ9@mZ2#w",
+        "pwd=hunter22": "hunter22",
+        "secret=correcthorsebattery": "correcthorsebattery",
+        "password: Tr0ub4dor&3": "Tr0ub4dor&3",
+        'password = "hunter2!!"': "hunter2!!",
+        '"db_password" : "s3cr#t99"': "s3cr#t99",
+    }
+    plain = [f"{sentence(i, 30)} password" for i in range(40)]
+    harmless = ["password: ocean-river", "token = <your-token>", "secret=xxxxxxxx"]
+    texts = [f"{sentence(900 + i, 10)} {v} {sentence(800 + i, 5)}" for i, v in enumerate([*values, *harmless])]
+    found = described(spark, texts + plain)
+    got = {r.candidate: r.label for r in secrets.weak_labels(found).collect()}
+    assert {v: got.get(v) for v in values.values()} == dict.fromkeys(values.values(), 1.0)
+    assert {got.get("ocean-river"), got.get("<your-token>"), got.get("xxxxxxxx")} == {0.0}
+    places = {r.candidate: (r._id, r.word_index) for r in found.collect()}
+    for i, (text, value) in enumerate(values.items()):
+        at = texts[i].split()
+        assert places[value][0] == i and value in at[places[value][1]]
+
+
+def test_assigned_passwords_are_masked(spark):
+    rows = [(i, f"{sentence(i, 20)} password: {'Tr0ub'}{i}&x! {sentence(i + 99, 9)}", "src/a") for i in range(60)]
+    rows += [(100 + i, f"{sentence(i, 20)} card {10**15 + i} paid", "src/a") for i in range(60)]
+    masked = {r.doc_id: r.text for r in secrets.mask_secrets(spark.createDataFrame(rows, DOCS)).collect()}
+    assert all((secrets.MASK in text) == (i < 100) for i, text in masked.items())
