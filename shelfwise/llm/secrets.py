@@ -5,11 +5,13 @@ also with blanks around the sign.  Not found: shorter values, values on the line
 blank, quote, comma, semicolon, equals sign or colon inside a value, names grown onto other letters (``mypassword=``)
 or not listed, and letter-only keys without a name.  Each candidate is described by
 its length, its character transitions, how much of it dictionary words cover, its path and its neighbouring words; the
-dictionary is counted over the whole corpus.  A random forest learned from labelled findings gives the verdict.
+dictionary is counted over the distinct texts of the whole corpus, outside candidates.  A random forest learned from labelled findings gives the verdict.
 """
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -17,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import written
-from shelfwise.session import cut_lineage
+from shelfwise.session import broadcast_if_small, cut_lineage
 
 # fixed values: what a candidate looks like, and names that announce a secret
 RUN = r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{12,}"
@@ -36,7 +38,8 @@ PATH_HINT = r"(?i)(?:test|example|sample|fixture|mock|doc)"
 
 SAMPLE = 20_000  # labelled findings that the forest is fitted on at most
 TREES, DEPTH = 20, 6
-DICTIONARY_TIMES = 20  # a dictionary word stands at least so often in the corpus
+# a dictionary word stands in so many distinct texts (of fewer than 200, in a tenth of them), and in such a share
+DICTIONARY_TIMES, DICTIONARY_SHARE = 20, 2e-4
 
 FEATURES = (
     "length", "digits", "uppers", "lowers", "others", "transitions", "distinct", "hex_only", "digits_only",
@@ -45,18 +48,33 @@ FEATURES = (
 )
 
 
-def dictionary(docs: DataFrame, text_col: str = "text", times: int = DICTIONARY_TIMES) -> DataFrame:
-    """(word): lower-case letter words of 3 letters or more that stand ``times`` times or more in all texts."""
-    words = F.split(F.lower(F.col(f"`{text_col}`").cast("string")), r"[^\p{L}]+")
-    every = docs.select(F.explode(words).alias("word")).where(F.length("word").between(3, 40))
-    return every.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= times).select("word")
-
-
 def marked(text: Column) -> Column:
     """The text with ``MARK`` before every value that a telling name announces; its words keep their places."""
     return F.regexp_replace(F.replace(text, F.lit(MARK), F.lit("\ufdd1")), f"({ASSIGN})(?={VALUE})", f"$1{MARK}")
 
 
+def dictionary(
+    docs: DataFrame, text_col: str = "text", times: int = DICTIONARY_TIMES, share: float = DICTIONARY_SHARE
+) -> DataFrame:
+    """(word): lower-case letter words of 3 letters or more that stand outside candidates in many distinct texts.
+
+    Many is ``share`` of the distinct texts, but at least ``times``, or a tenth of fewer than 10 * ``times`` texts and
+    at least 2.  Copies of a text and repetitions inside it count once.
+    """
+    texts = docs.select(F.col(f"`{text_col}`").cast("string").alias("_t")).where(F.length("_t") > 0)
+    texts = texts.withColumn("_h", F.xxhash64("_t"))
+    copies = cut_lineage(texts.groupBy("_h").agg(F.count(F.lit(1)).alias("n")))
+    distinct = copies.count()
+    least = max(ceil(share * distinct), min(times, max(2, ceil(distinct / 10))))
+    copied = broadcast_if_small(copies.where(F.col("n") > 1).select("_h"))
+    once = texts.join(copied, "_h", "left_anti").select("_t")
+    once = once.unionByName(texts.join(copied, "_h", "left_semi").dropDuplicates(["_h"]).select("_t"))
+    outside = F.lower(F.regexp_replace(marked(F.col("_t")), CANDIDATE, " "))
+    every = once.select(F.explode(F.array_distinct(F.split(outside, r"[^\p{L}]+"))).alias("word"))
+    every = every.where(F.length("word").between(3, 40))
+    return every.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("word")
+
+
 def candidates(docs: DataFrame, id_col: str, text_col: str, path_col: str | None) -> DataFrame:
     """(_id, _path, word_index, candidate, assigned, word, before, before2, after), one row per candidate in reading
     order; ``assigned`` is 1 for the value of a telling name."""

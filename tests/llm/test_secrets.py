@@ -40,3 +40,16 @@ def test_assigned_passwords_are_masked(spark):
     rows += [(100 + i, f"{sentence(i, 20)} card {10**15 + i} paid", "src/a") for i in range(60)]
     masked = {r.doc_id: r.text for r in secrets.mask_secrets(spark.createDataFrame(rows, DOCS)).collect()}
     assert all((secrets.MASK in text) == (i < 100) for i, text in masked.items())
+
+
+def test_copied_keys_make_no_dictionary_words(spark):
+    key = "qzWXvkpr7Lmnbtg3HdfsJkcwe9RtyuNbvcxzPoiu"
+    passage = f"the shared deploy notes hold {key} as it stands"
+    rows = [(i, f"{sentence(i, 40)} {passage}", "src/a") for i in range(60)]
+    rows += [(100 + i, f"copied text with a rarity {key}", "src/a") for i in range(40)]
+    table = spark.createDataFrame(rows, DOCS)
+    words = {r.word for r in secrets.dictionary(table).collect()}
+    assert {"ocean", "river", "shared", "deploy"} <= words
+    assert not {"rarity", "qzwxvkpr", "lmnbtg", "hdfsjkcwe", "rtyunbvcxzpoiu"} & words
+    found = secrets.features(secrets.candidates(table, "doc_id", "text", "source"), secrets.dictionary(table))
+    assert found.agg(F.max("dictionary")).first()[0] == 0.0
