@@ -161,15 +161,30 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
     return out.fillna(0.0, ["word_before", "word_after"]).drop("_before", "_after", "_runs", "covered")
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE, seed: int = 11) -> RandomForestClassificationModel:
-    """A forest from labelled findings (columns of ``features`` and ``label``), on ``sample`` rows by hash at most."""
-    order = F.xxhash64("candidate", "word", "before", "after")
-    bounded = labelled.orderBy(order, "word_index", "nth").limit(sample).coalesce(1)
-    ready = VectorAssembler(inputCols=list(FEATURES), outputCol="vector").transform(bounded)
+def drawn(labelled: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """At most ``sample`` labelled feature rows: (features, label, weight).
+
+    Findings with the same features and label are one row, weighted by how many they are.  Of each label at most half
+    of ``sample`` rows come, by hash, so that a rare label stands beside a frequent one.
+    """
+    columns = [F.col(c).cast("double").alias(c) for c in (*FEATURES, "label")]
+    rows = labelled.select(*columns).groupBy(*FEATURES, "label").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    rows = cut_lineage(rows)
+    out = rows.limit(0)
+    for label in (0.0, 1.0):
+        order = [F.xxhash64(*FEATURES), *FEATURES]
+        out = out.unionByName(rows.where(F.col("label") == label).orderBy(*order).limit(sample // 2))
+    return cut_lineage(out.coalesce(1))
+
+
+def fit(rows: DataFrame, seed: int = 11) -> RandomForestClassificationModel:
+    """A forest from the rows of ``drawn``."""
+    ready = VectorAssembler(inputCols=list(FEATURES), outputCol="vector").transform(rows)
     forest = RandomForestClassifier(
-        featuresCol="vector", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=seed, featureSubsetStrategy="onethird"
-    )
-    return forest.fit(cut_lineage(ready.select("vector", "label")))
+        featuresCol="vector", labelCol="label", weightCol="weight", numTrees=TREES, maxDepth=DEPTH, seed=seed,
+        featureSubsetStrategy="onethird",
+    )
+    return forest.fit(cut_lineage(ready.select("vector", "label", "weight")))
 
 
 def weak_labels(found: DataFrame) -> DataFrame:
@@ -204,17 +219,18 @@ def scan_secrets(
     """One row per candidate: id, ``word_index``, ``nth``, ``candidate``, ``probability`` and ``is_secret``.
 
     ``nth`` counts candidates inside one word.  ``labelled`` brings findings described by ``features`` with a
-    ``label``; without it the sure cases among the corpus's own findings are the labels.  With labels of one kind
+    ``label`` of 0 or 1; without it the sure cases among the corpus's own findings are the labels.  With labels of one kind
     only, that kind is the verdict on everything.  Null and empty texts hold no candidate; texts are scanned whole;
     repeated rows and rows without id give their findings each; an empty table gives an empty result; other columns
     are not read.
     """
     found = written(features(candidates(docs, id_col, text_col, path_col), dictionary(docs, text_col)), "findings")
     known = labelled if labelled is not None else weak_labels(found)
-    kinds = [r["label"] for r in known.select("label").distinct().collect()]
+    sample = drawn(known)
+    kinds = [r["label"] for r in sample.select("label").distinct().collect()]
     if len(kinds) > 1:
         scored = VectorAssembler(inputCols=list(FEATURES), outputCol="vector").transform(found)
-        scored = fit(known).transform(scored)
+        scored = fit(sample).transform(scored)
         scored = scored.withColumn("_p", F.element_at(vector_to_array("probability"), 2))
     else:
         scored = found.withColumn("_p", F.lit(float(kinds[0]) if kinds else 0.0))

@@ -53,3 +53,23 @@ def test_copied_keys_make_no_dictionary_words(spark):
     assert not {"rarity", "qzwxvkpr", "lmnbtg", "hdfsjkcwe", "rtyunbvcxzpoiu"} & words
     found = secrets.features(secrets.candidates(table, "doc_id", "text", "source"), secrets.dictionary(table))
     assert found.agg(F.max("dictionary")).first()[0] == 0.0
+
+
+def test_sample_holds_rare_and_copied_labels(spark):
+    columns = [F.lit(0.0).alias(c) for c in secrets.FEATURES if c not in ("length", "assigned")]
+    many = spark.range(3000).select(F.col("id").cast("double").alias("length"), F.lit(0.0).alias("assigned"), F.lit(0.0).alias("label"))
+    hot = spark.range(5000).select(F.lit(20.0).alias("length"), F.lit(0.0).alias("assigned"), F.lit(0.0).alias("label"))
+    rare = spark.range(2).select((20.5 + F.col("id")).alias("length"), F.lit(1.0).alias("assigned"), F.lit(1.0).alias("label"))
+    rows = many.unionByName(hot).unionByName(rare).select("*", *columns)
+    sample = secrets.drawn(rows, 100)
+    got = {r.label: (r.n, r.w) for r in sample.groupBy("label").agg(F.count("*").alias("n"), F.sum("weight").alias("w")).collect()}
+    assert got[1.0] == (2, 2.0) and got[0.0][0] == 50
+    assert sample.count() == sample.select(*secrets.FEATURES, "label").distinct().count()
+    whole = secrets.drawn(rows, 10_000)
+    assert whole.agg(F.sum("weight")).first()[0] == 8002.0
+    assert secrets.fit(sample).numClasses == 2
+
+
+def test_one_kind_of_label_is_the_verdict(spark):
+    table = spark.createDataFrame([(i, f"card {10**15 + i} paid", "a") for i in range(30)], DOCS)
+    assert {(r.probability, r.is_secret) for r in secrets.scan_secrets(table).collect()} == {(0.0, False)}
