@@ -1,8 +1,9 @@
 """Benchmark decontamination in DataFrame functions alone: SimHash of item-sized windows, then exact similarity.
 
 A window that reaches the similarity shares nearly all shingles with its item, so among any few consecutive shingles
-of it one is shared; the stride follows from the items.  Every shared shingle at that stride proposes the window that
-lines up with the item.  Proposed windows get a SimHash, and an index over Hamming blocks of the items' fingerprints
+of it one is shared; the stride follows from the items.  In documents that show a shared shingle at that stride all
+shingles are looked up, and every item-sized window with as many shared ones as the similarity asks for is proposed,
+in whatever order the item's parts stand.  Proposed windows get a SimHash, and an index over Hamming blocks of the items' fingerprints
 gives every item of that size within the radius; weighted shingle similarity then decides exactly.
 """
 
@@ -14,7 +15,7 @@ from math import floor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import keyed
+from shelfwise.llm.common import keyed, written
 from shelfwise.session import cut_lineage
 
 BITS = 64
@@ -65,9 +66,27 @@ def shingle_texts(words: Column, size: int) -> Column:
     return F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice(words, i + 1, size), " "))
 
 
+def missing_share(similarity: float) -> float:
+    """The largest share of a similar enough window's shingles that its item does not hold."""
+    return 1 - 2 * similarity / (1 + similarity)
+
+
+def full_windows(places: Column, size: Column, n: Column, shingles: Column, least: Column) -> Column:
+    """Starts of all windows of ``n`` among ``size`` words that cover ``least`` of the sorted ``places`` or more."""
+
+    def starts(k: Column) -> Column:
+        low = F.greatest(F.get(places, k + least - 1) - shingles + 1, F.lit(0))
+        high = F.least(F.get(places, k), size - n)
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    firsts = F.sequence(F.lit(0), F.size(places) - least)
+    found = F.when(F.size(places) >= least, F.array_distinct(F.flatten(F.transform(firsts, starts))))
+    return F.when(size < n, F.array(F.lit(0))).otherwise(found)
+
+
 def stride_for(shingles: int, similarity: float) -> int:
     """The widest stride at which a similar enough window of ``shingles`` shingles still shows a shared one."""
-    missing = floor(shingles * (1 - 2 * similarity / (1 + similarity)) + 1e-9)
+    missing = floor(shingles * missing_share(similarity) + 1e-9)
     return max(t for t in range(1, shingles + 1) if t == 1 or shingles // t > missing)
 
 
@@ -126,7 +145,7 @@ def benchmark_leaks(
 ) -> DataFrame:
     """One row per document and item it contains: ids, ``start_word``, ``n_words``, ``distance``, ``similarity``.
 
-    A document contains an item if a window of the item's number of words, aligned on a shared shingle, has a
+    A document contains an item if any window of the item's number of words has a
     fingerprint within ``radius`` bits of the item's and a weighted shingle similarity of at least ``similarity``;
     of several windows the most similar, then the first, is given.  Words are lower-cased runs of letters and digits;
     an item of fewer than ``shingle`` words is one shingle.  Null or wordless texts and items match nothing; a
@@ -142,30 +161,41 @@ def benchmark_leaks(
     sizes = items.groupBy(length.alias("size")).agg(F.min("n"), F.collect_set(F.col("n")).alias("ns")).collect()
     total = items.agg(F.count(F.lit(1)).alias("items"), F.coalesce(F.sum("n"), F.lit(0)).alias("words")).first()
     small = total["words"] <= BROADCAST_WORDS and total["items"] <= BROADCAST_WORDS // 100
-    proposals, indexed = [], []
+    met, lookups, indexed = [], [], []
     for row in sizes:  # at most ``shingle`` different lengths
         size = row["size"]
         own = items.where(length == size)
         stride = min(stride_for(n - size + 1, similarity) for n in row["ns"])
-        hashed = own.select("n", F.posexplode(all_hashes(F.col("iw"), size)).alias("q", "h")).distinct()
-        if small:
-            hashed = F.broadcast(hashed)
+        hashed = cut_lineage(own.select("n", F.explode(all_hashes(F.col("iw"), size)).alias("h")).distinct())
+        hashes = hashed.select("h").distinct()
         seen = rows.select("_id", F.explode(bound(word_array(F.col("_text")), _sampled(size, stride))).alias("s"))
-        seen = seen.select("_id", "s.i", "s.h", "s.size")
-        start = F.greatest(F.least(F.col("i") - F.col("q"), F.col("size") - F.col("n")), F.lit(0))
-        proposals.append(seen.join(hashed, "h").select("_id", F.struct(start.alias("start"), "n").alias("w")))
+        met.append(seen.select("_id", "s.h").join(F.broadcast(hashes) if small else hashes, "h", "left_semi").select("_id"))
+        lookups.append((size, F.broadcast(hashed) if small else hashed))
         fp = bound(all_hashes(F.col("iw"), size), simhash)
         indexed.append(own.select("item", "n", "iw", fp.alias("item_fp")))
     id_type = rows.schema["_id"].dataType.simpleString()
     result = f"`{id_col}` {id_type}, `{item_col}` {items.schema['item'].dataType.simpleString()}"
     result += ", start_word int, n_words int, distance int, similarity double"
-    if not proposals:
+    if not met:
         return spark.createDataFrame([], result)
-    met, index = proposals[0], indexed[0]
-    for p, x in zip(proposals[1:], indexed[1:]):
-        met, index = met.unionByName(p), index.unionByName(x)
-    wanted = met.groupBy("_id").agg(F.collect_set("w").alias("ws"))
-    texts = rows.join(wanted.withColumnRenamed("_id", "_w"), F.col("_id").eqNullSafe(F.col("_w")))
+    some, index = met[0], indexed[0]
+    for m, x in zip(met[1:], indexed[1:]):
+        some, index = some.unionByName(m), index.unionByName(x)
+    some = some.distinct().withColumnRenamed("_id", "_w")
+    near_texts = written(rows.join(some, F.col("_id").eqNullSafe(F.col("_w")), "left_semi"), "met")
+    proposals = None
+    for size, hashed in lookups:
+        every = near_texts.select("_id", F.explode(bound(word_array(F.col("_text")), _sampled(size, 1))).alias("s"))
+        shared = every.select("_id", "s.i", "s.h", "s.size").join(hashed, "h")
+        placed = shared.groupBy("_id", "size", "n").agg(F.sort_array(F.collect_set("i")).alias("places"))
+        shingles = F.col("n") - size + 1
+        least = shingles - F.floor(shingles * missing_share(similarity) + 1e-9).cast("int")
+        starts = bound(F.col("places"), lambda p: full_windows(p, F.col("size"), F.col("n"), F.col("m"), F.col("least")))
+        placed = placed.withColumn("m", shingles).withColumn("least", least).select("_id", "n", F.explode(starts).alias("start"))
+        placed = placed.select("_id", F.struct("start", "n").alias("w"))
+        proposals = placed if proposals is None else proposals.unionByName(placed)
+    wanted = proposals.groupBy("_id").agg(F.collect_set("w").alias("ws"))
+    texts = near_texts.join(wanted.withColumnRenamed("_id", "_w"), F.col("_id").eqNullSafe(F.col("_w")))
     windows = texts.select(
         "_id",
         F.explode(
