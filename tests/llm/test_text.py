@@ -57,7 +57,7 @@ def test_wildcards_and_many_rules(spark):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings", "benchmark"):
+    for t in ("documents", "pages", "embeddings", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want, got = con.execute(ORACLES[name]).df(), QUERIES[name](spark, SF).toPandas()
     columns = sorted(want.columns)
@@ -66,7 +66,7 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_names_of_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_languages(spark, odd, nothing):
