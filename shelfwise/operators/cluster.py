@@ -1,4 +1,4 @@
-"""K-means, Ward clustering, projection and cluster quality."""
+"""K-means, projection and cluster quality; Ward clusters come from ``ward``."""
 
 from __future__ import annotations
 
@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 
 from shelfwise.operators.model import scaled_pipeline
 from shelfwise.operators.prep import scalars, zscore
+from shelfwise.operators.ward import ward
 from shelfwise.session import cut_lineage
 
 CLUSTER_FEATURES = ("price", "rating", "reviews_count")
-MICRO_CLUSTERS = 500
 CENTRE_BLOCK = 4096
 PARALLEL_RUNS = 4
 
@@ -75,57 +75,10 @@ def assign(model: KMeansModel, vectors: DataFrame) -> DataFrame:
     return model.transform(vectors).withColumn("cluster", _lookup(relabel, F.col("cluster")))
 
 
-def ward_merge(centres: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
-    """Ward labels of a small weighted point set; clusters numbered by smallest member."""
-    centres, weights = centres.astype(float).copy(), weights.astype(float).copy()
-    members = [[i] for i in range(len(centres))]
-    alive = np.ones(len(centres), dtype=bool)
-    gap = ((centres[:, None, :] - centres[None, :, :]) ** 2).sum(-1)
-    cost = gap * (weights[:, None] * weights[None, :]) / (weights[:, None] + weights[None, :])
-    np.fill_diagonal(cost, np.inf)
-    for _ in range(len(centres) - k):
-        i, j = sorted(divmod(int(cost.argmin()), len(centres)))
-        centres[i] = (weights[i] * centres[i] + weights[j] * centres[j]) / (weights[i] + weights[j])
-        weights[i] += weights[j]
-        members[i] += members[j]
-        alive[j] = False
-        cost[j, :] = cost[:, j] = np.inf
-        fresh = ((centres - centres[i]) ** 2).sum(-1) * weights * weights[i] / (weights + weights[i])
-        fresh[~alive] = np.inf
-        fresh[i] = np.inf
-        cost[i, :] = cost[:, i] = fresh
-    labels = np.zeros(len(members), dtype=int)
-    for n, group in enumerate(sorted((members[i] for i in np.flatnonzero(alive)), key=min)):
-        labels[group] = n
-    return labels
-
-
-def hierarchical(vectors: DataFrame, k: int = 5, micro: int = MICRO_CLUSTERS, seed: int = 42) -> DataFrame:
-    """Ward clustering: K-means to at most ``micro`` weighted centres, then exact merges of those.
-
-    With no more than ``micro`` distinct points every point is its own centre and
-    the result is exact.
-    """
-    vectors = cut_lineage(vectors)  # points are looked up by value, so they must not be computed twice
-    points = cut_lineage(vectors.groupBy("features").agg(F.count(F.lit(1)).alias("w")))
-    few = points.orderBy(vector_to_array("features")).limit(micro + 1).collect()
-    if len(few) <= micro:
-        centres = np.array([r.features.toArray() for r in few])
-        labels = ward_merge(centres, np.array([r.w for r in few]), min(k, len(few)))
-        lookup = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centres])
-        position = F.array_position(lookup, vector_to_array("features"))
-        return vectors.withColumn("cluster", _lookup(labels, (position - 1).cast("int")))
-    model = KMeans(k=micro, seed=seed, weightCol="w", predictionCol="micro").fit(points)
-    centres = np.array(model.clusterCenters())
-    sizes = {r.micro: r.w for r in model.transform(points).groupBy("micro").agg(F.sum("w").alias("w")).collect()}
-    used = sorted(sizes)
-    labels = ward_merge(centres[used], np.array([sizes[i] for i in used]), k)
-    by_micro = dict(zip(used, labels))
-    return (
-        model.transform(vectors)
-        .withColumn("cluster", _lookup([by_micro.get(i, -1) for i in range(len(centres))], F.col("micro")))
-        .drop("micro")
-    )
+def hierarchical(vectors: DataFrame, k: int = 5, key: str = "product_id") -> DataFrame:
+    """``vectors`` with the exact Ward cluster of every row; see ``operators.ward``."""
+    vectors = cut_lineage(vectors)
+    return vectors.join(ward(vectors, key, k).labels, key)
 
 
 def pca(vectors: DataFrame, k: int = 2, key: str = "product_id") -> tuple[DataFrame, list[float]]:

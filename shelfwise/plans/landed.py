@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from shelfwise.operators import cluster, competitive, model, prep, tables
+from shelfwise.operators import cluster, competitive, model, prep, tables, ward
 from shelfwise.plans.catalog import PRODUCTS_SQL, held, products, table
-from shelfwise.plans.models import DENSITY, LABELLED, labelled
+from shelfwise.plans.models import DENSITY, LABELLED, POINTS_SQL, labelled
 from shelfwise.plans.registry import query
 from shelfwise.plans.streams import event_stream
 from shelfwise.session import scratch_path
@@ -239,13 +239,62 @@ def kmeans_checks(spark, sf):
     )
 
 
-@query("hierarchical_checks", PRODUCTS_SQL + "SELECT count(*) AS n, count(DISTINCT product_id) AS products, 5 AS clusters FROM products")
-def hierarchical_checks(spark, sf):
-    vectors = cluster.scaled_vectors(held(products(spark, sf), "product_id", *DENSITY), "product_id")
-    found = cluster.hierarchical(vectors)
-    return found.agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("product_id").alias("products"), F.count_distinct("cluster").cast("int").alias("clusters")
+MERGE = "x.w * y.w / (x.w + y.w) * ((x.p - y.p) * (x.p - y.p) + (x.r - y.r) * (x.r - y.r) + (x.v - y.v) * (x.v - y.v))"
+
+
+@query(
+    "hierarchical_merges",
+    PRODUCTS_SQL.replace("WITH facts", "WITH RECURSIVE facts", 1)
+    + f""", g AS (SELECT category || '/' || sub_category AS id, avg(price) / 100 AS p, avg(rating) AS r, avg(reviews_count) / 100 AS v
+      FROM products WHERE rating IS NOT NULL GROUP BY 1),
+    state AS (
+      SELECT list({{'id': id, 'w': CAST(1 AS DOUBLE), 'p': p, 'r': r, 'v': v}}) AS c, CAST(NULL AS STRUCT(cost DOUBLE, a VARCHAR, b VARCHAR)) AS done FROM g
+      UNION ALL
+      SELECT list_append(list_filter(c, lambda x: x.id <> best.a AND x.id <> best.b), list_transform(
+          [{{'x': list_filter(c, lambda x: x.id = best.a)[1], 'y': list_filter(c, lambda x: x.id = best.b)[1]}}], lambda m: {{
+            'id': m.x.id, 'w': m.x.w + m.y.w, 'p': (m.x.w * m.x.p + m.y.w * m.y.p) / (m.x.w + m.y.w),
+            'r': (m.x.w * m.x.r + m.y.w * m.y.r) / (m.x.w + m.y.w), 'v': (m.x.w * m.x.v + m.y.w * m.y.v) / (m.x.w + m.y.w)}})[1]), best
+      FROM (SELECT c, list_min(flatten(list_transform(c, lambda x: list_transform(list_filter(c, lambda y: x.id < y.id),
+              lambda y: {{'cost': {MERGE}, 'a': x.id, 'b': y.id}})))) AS best FROM state WHERE len(c) > 1))
+    SELECT done.a AS a, done.b AS b, round(done.cost, 6) AS cost FROM state WHERE done IS NOT NULL""",
+)
+def hierarchical_merges(spark, sf):
+    """Every Ward merge of the category and brand profiles with its cost."""
+    catalog = held(products(spark, sf), "category", "sub_category", *DENSITY).where("rating IS NOT NULL")
+    profile = catalog.groupBy(F.concat_ws("/", "category", "sub_category").alias("id")).agg(
+        F.array(F.avg("price") / 100, F.avg("rating"), F.avg("reviews_count") / 100).alias("f")
     )
+    found = ward.ward(profile.withColumn("features", array_to_vector("f")), "id")
+    return found.merges.select("a", "b", F.round("cost", 6).alias("cost"))
+
+
+@query(
+    "hierarchical_checks",
+    POINTS_SQL
+    + """ SELECT count(*) AS n, count(DISTINCT product_id) AS products, 5 AS clusters, count(DISTINCT (price_z, rating_z, reviews_count_z)) - 1 AS merges,
+      round(count(*) * (var_pop(price_z) + var_pop(rating_z) + var_pop(reviews_count_z)), 4) AS total_cost, true AS cut_at_dearest, true AS never_cheaper FROM z""",
+)
+def hierarchical_checks(spark, sf):
+    """Ward over all products: the costs of all merges add up to the spread of the points, those below the cut to the
+    spread inside the clusters, and no merge is cheaper than a merge inside one of its halves."""
+    vectors = held(cluster.scaled_vectors(held(products(spark, sf), "product_id", *DENSITY), "product_id"))
+    found = ward.ward(vectors, "product_id")
+    merges, labels = held(found.merges), held(found.labels)
+    f = vector_to_array("features")
+    inside = vectors.join(labels, "product_id").groupBy("cluster").agg(*[(F.var_pop(f[i]) * F.count(F.lit(1))).alias(f"v{i}") for i in range(3)])
+    within = inside.agg(F.sum(F.col("v0") + F.col("v1") + F.col("v2")).alias("within"))
+    dearest = merges.orderBy(F.desc("cost")).limit(4).agg(F.sum("cost").alias("above"))
+    # a merge's halves: the last earlier merges into its two clusters, which are the dearest ones below it
+    kept = merges.select(F.col("a").alias("half"), F.col("cost").alias("inner"))
+    cheaper = merges.join(kept, F.col("b") == F.col("half")).agg(F.count_if(F.col("inner") > F.col("cost") + 1e-9).alias("wrong"))
+    sums = merges.agg(F.count(F.lit(1)).alias("merges"), F.sum("cost").alias("total"))
+    rows = labels.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("product_id").alias("products"), F.count_distinct("cluster").cast("int").alias("clusters"))
+    one = rows.join(sums).join(within).join(dearest).join(cheaper)  # five tables of one row
+    return one.select(
+        "n", "products", "clusters", "merges", F.round("total", 4).alias("total_cost"),
+        (F.abs(F.col("total") - F.col("above") - F.col("within")) < 1e-6 * F.col("total")).alias("cut_at_dearest"),
+        (F.col("wrong") == 0).alias("never_cheaper"),
+    )
 
 
 def _report(kind: str) -> str:

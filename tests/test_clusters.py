@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from shelfwise.operators import cluster, neighbors
+from shelfwise.operators import cluster, neighbors, ward
 
 
 def frame(spark, points):
@@ -112,22 +112,61 @@ def test_kmeans(blobs):
     assert model.summary.trainingCost <= single.summary.trainingCost
 
 
-@pytest.mark.parametrize("micro", [500, 30])
-def test_ward(blobs, micro):
+def plain_ward(points, k):
+    """Smallest member of every point's cluster, and the merge costs, by trying all pairs at every step."""
+    groups = {i: [i] for i in range(len(points))}
+    costs = []
+    while len(groups) > 1:
+        if len(groups) == k:
+            labels = {i: g for g, members in groups.items() for i in members}
+
+        def cost(a, b):
+            x, y = points[groups[a]], points[groups[b]]
+            return len(x) * len(y) / (len(x) + len(y)) * ((x.mean(0) - y.mean(0)) ** 2).sum()
+
+        best, a, b = min((cost(a, b), a, b) for a in groups for b in groups if a < b)
+        costs.append(best)
+        groups[a] += groups.pop(b)
+    return [labels[i] for i in range(len(points))], costs
+
+
+def chained(points, limit, few, spark, k=4):
+    rows = [(i, [float(x) for x in p]) for i, p in enumerate(points)]
+    df = spark.createDataFrame(rows, "id int, e array<double>").withColumn("features", array_to_vector("e"))
+    found = ward.ward(df, "id", k, limit=limit, few=few)
+    labels = {r.id: r.cluster for r in found.labels.collect()}
+    first = {}
+    for i in range(len(points)):
+        first.setdefault(labels[i], i)
+    assert list(first) == list(range(len(first)))  # numbered by smallest key
+    return [first[labels[i]] for i in range(len(points))], sorted(r.cost for r in found.merges.collect())
+
+
+@pytest.mark.parametrize("limit, few", [(1000, 1000), (5, 1000), (8, 8)])
+def test_ward_is_exact_however_it_is_run(spark, limit, few):
+    rng = np.random.default_rng(limit + few)
+    points = np.concatenate([rng.normal(size=(8, 3)), rng.exponential(size=(6, 3)) * [5.0, 1.0, 0.1], np.ones((3, 3))])
+    labels, costs = plain_ward(points, 4)
+    got, merged = chained(points, limit, few, spark)
+    assert got == labels
+    assert np.allclose(merged, sorted(costs)[2:])  # equal points are one from the start
+
+
+def test_ward_of_equal_gaps(spark):
+    line = np.arange(16.0)[:, None]
+    for limit, few in ((100, 100), (5, 1000)):
+        _, merged = chained(line, limit, few, spark)
+        assert sum(merged) == pytest.approx(((line - line.mean()) ** 2).sum())
+        assert merged[:6] == pytest.approx([0.5] * 6)
+
+
+def test_ward_of_few_rows(spark, blobs):
     _, df = blobs
-    rows = cluster.hierarchical(df.drop("cluster"), 3, micro).collect()
-    groups = {}
-    for r in rows:
-        groups.setdefault(r.id // 40, set()).add(r.cluster)
-    assert sorted(len(g) for g in groups.values()) == [1, 1, 1]
-    assert len(set.union(*groups.values())) == 3
-
-
-def test_ward_is_the_cheapest_merge():
-    labels = cluster.ward_merge(np.array([[0.0], [1.0], [5.0], [5.5]]), np.ones(4), 2)
-    assert labels.tolist() == [0, 0, 1, 1]
-    # a heavy point is dear to move: the light pair merges first
-    assert cluster.ward_merge(np.array([[0.0], [1.0], [2.2]]), np.array([100.0, 1.0, 1.0]), 2).tolist() == [0, 1, 1]
+    assert ward.ward(df.limit(0), "id").labels.count() == 0
+    got = ward.ward(df.where("id in (3, 50)"), "id", 5)
+    assert sorted(map(tuple, got.labels.collect())) == [(3, 0), (50, 1)] and got.merges.count() == 1
+    rows = cluster.hierarchical(df.drop("cluster"), 3, "id").collect()
+    assert {(r.id // 40, r.cluster) for r in rows} == {(0, 0), (1, 1), (2, 2)}
 
 
 def test_quality(blobs):
