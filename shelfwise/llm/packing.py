@@ -53,7 +53,8 @@ def reduce_dominated(left: dict[int, int], capacity: int, plan: Plan) -> dict[in
     For the largest piece: it stands alone if not even the smallest other piece fits beside it; a partner that fills
     the sequence exactly dominates every other set; if no two others fit beside it, the largest that fits dominates;
     and so does a partner at least as long as any two others that fit together, if no three others do.  The rules are
-    tried for every length from the largest down, as each holds whatever the other pieces are.
+    tried for every length from the largest down, as each holds whatever the other pieces are.  Each use takes all
+    pieces of one length, so the plan gets at most three rows per length, however many pieces there are.
     """
     left = {k: v for k, v in left.items() if v}
     lengths = sorted(left)
@@ -103,7 +104,8 @@ def reduce_dominated(left: dict[int, int], capacity: int, plan: Plan) -> dict[in
         if len(low) > 1 and low[0] + low[1] <= room:
             if len(low) == 3 and sum(low) <= room or partner < longest_pair(big, room):
                 return False
-        take([big, partner], 1)
+        # without these pieces fewer others fit, so the rule holds again as long as both lengths last
+        take([big, partner], left[big] // 2 if partner == big else min(left[big], left[partner]))
         return True
 
     changed = True
@@ -171,7 +173,7 @@ def cut_pieces(
         encoder = WordEncoder(tokenizer)
         for part in pieces(batches, 500):
             row, piece, start, length, crc = [], [], [], [], []
-            for i, ids in enumerate(encoder.batch(part.column(1).to_pylist())):
+            for i, ids in enumerate(encoder.batch(part.column(1))):
                 ids += end
                 for k, at in enumerate(range(0, len(ids) // 4, capacity)):
                     own = ids[4 * at : 4 * (at + capacity)]

@@ -1,21 +1,21 @@
-"""Token ids and piece counts of whole texts, with pre-tokens cached inside a task.
+"""Token ids and piece counts of whole texts, with what they have in common looked up once inside a task.
 
-A text whose characters all lie in a plain Latin range is cut into pre-tokens here, by patterns that equal the
-library's own on that range; each distinct pre-token then goes through the library once.  Any other text (other
-scripts, combining marks, rare white space, special strings) goes through the library whole.
+What lies in a plain Latin range is cut into pre-tokens here, by patterns that equal the library's own on that range;
+each distinct pre-token then goes through the library once.  Anything else (other scripts, combining marks, rare white
+space, special strings) goes through the library whole: whole words for ids, whole texts for counts.
 """
 
 from __future__ import annotations
 
 import os
 import re
-import sys
-from array import array
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
-CACHE = 400_000  # pre-tokens held per task; when full the cache starts anew, which changes no result
+CACHE = 600_000  # words held per task; when full the table starts anew, which changes no result
 
 # fixed values: the pre-token patterns of the two tokenizer files, on the plain range (the first one in lower case);
 # letter runs stand first, as no other alternative can begin with a letter
@@ -42,7 +42,9 @@ class PreTokens:
         self.lower = self.tokenizer.normalizer is not None
         self.findall = re.compile(WORD_PATTERN if self.lower else BYTE_PATTERN).findall
         self.other = re.compile(OTHER).search
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        found = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = "|".join(re.escape(t) for t in found) or r"[^\s\S]"
+        self.holds_special = re.compile(self.special).search
         probe = "It's 12.5%, I'M  here \n\n  now: ÀÉß_x__ ça\tva? 'LL end  "
         if self.counts(cut := self.split(probe)) != [len(self.encode(t)) for t in cut] or [
             i for t in cut for i in self.encode(t)
@@ -54,7 +56,7 @@ class PreTokens:
 
     def split(self, text: str) -> list[str] | None:
         """Pre-tokens in order, or None for a text that the library has to take whole."""
-        if self.other(text) or any(s in text for s in self.special):
+        if self.other(text) or self.holds_special(text):
             return None
         return self.findall(text.lower() if self.lower else text)
 
@@ -76,29 +78,69 @@ class PreTokens:
 
 
 class WordEncoder(PreTokens):
-    """Little-endian unsigned 32-bit ids of whole texts."""
+    """Little-endian unsigned 32-bit ids of whole texts, for a tokenizer that drops white space.
+
+    No token reaches over white space, nor from a letter to a mark after it, so texts are split there and every distinct
+    word is encoded once: a plain one by its pre-tokens, any other by the library.  What texts hold is then a list of
+    places in a table of words, from which their ids are gathered.  Texts with special strings go to the library whole.
+    """
 
     def __init__(self, path: str):
-        self.cache: dict[str, bytes] = {}
         super().__init__(path)
-
-    def _learn(self, new: list[str]) -> None:
-        for t, found in zip(new, self.tokens(new)):
-            ids = found.ids if hasattr(found, "ids") else [x.id for x in found]
-            self.cache[t] = array("I", ids).tobytes() if LITTLE else np.array(ids, dtype="<u4").tobytes()
-
-    def batch(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of every text; a null is an empty text.  What the texts have in common is looked up once."""
-        cuts = [self.split(t or "") for t in texts]
-        cache, wanted = self.cache, set().union(*(c for c in cuts if c is not None))
-        new = wanted.difference(cache)
-        if len(cache) + len(new) > CACHE:
-            cache.clear()
-            new = wanted
-        self._learn(list(new))
-        get = cache.__getitem__
-        whole = lambda t: np.array(self.encode(t), dtype="<u4").tobytes()
-        return [whole(t) if c is None else b"".join(map(get, c)) for t, c in zip(texts, cuts)]
+        if not self.lower:
+            raise ValueError(f"{path} keeps white space")
+        from tokenizers import pre_tokenizers
+
+        shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        # how the model writes the bytes of the plain characters beyond ASCII
+        self.table = {c: shown(chr(c))[0][0] for c in range(0xC0, 0x250)}
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.flat, self.bounds = np.empty(0, dtype="<u4"), np.zeros(1, dtype=np.int64)
+
+    def _add(self, new: list[str]) -> None:
+        """Ids of words whose ASCII letters are in lower case."""
+        model, cut, table = self.tokenizer.model.tokenize, self.findall, self.table
+        odd = [w for w in new if self.other(w)]
+        rest = dict(zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)))
+        ids = [
+            rest[w].ids
+            if w in rest
+            else [x.id for t in cut(w if w.isascii() else w.lower()) for x in model(t if t.isascii() else t.translate(table))]
+            for w in new
+        ]
+        self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), "<u4", int(sizes.sum()))])
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
+
+    def batch(self, texts: pa.Array | list[str | None]) -> list[bytes]:
+        """Ids of every text; a null is an empty text."""
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        texts = texts.fill_null("")
+        special = pc.match_substring_regex(texts, self.special)
+        apart = pc.replace_substring_regex(pc.ascii_lower(texts), "([a-z])([,.;:!?])", r"\1 \2")
+        cut = pc.ascii_split_whitespace(pc.if_else(special, "", apart))
+        words, ends = cut.flatten().dictionary_encode(), cut.offsets.to_numpy()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = list(map(self.place.get, distinct))
+        new = [w for w, p in zip(distinct, known) if p is None]
+        if len(self.place) + len(new) > CACHE:
+            self.clear()
+            new, known = distinct, [None] * len(distinct)
+        added = iter(range(len(self.place), len(self.place) + len(new)))
+        self._add(new)
+        places = np.array([next(added) if p is None else p for p in known], dtype=np.int64)[words.indices.to_numpy()]
+        first, size = self.bounds[places], self.bounds[places + 1] - self.bounds[places]
+        stops = np.concatenate([[0], np.cumsum(size)])
+        ids = self.flat[np.repeat(first - stops[:-1], size) + np.arange(stops[-1])]
+        at = stops[ends - ends[0]].tolist()
+        out = [ids[a:b].tobytes() for a, b in zip(at, at[1:])]
+        for i in np.flatnonzero(special.to_numpy(zero_copy_only=False)).tolist():
+            out[i] = np.array(self.encode(texts[i].as_py()), dtype="<u4").tobytes()
+        return out
 
     def ids(self, text: str | None) -> bytes:
         return self.batch([text])[0]
