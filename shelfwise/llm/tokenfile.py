@@ -2,8 +2,9 @@
 
 A file set is a Parquet table with one row per shard, in ascending key order.  A shard holds raw little-endian ids of
 whole documents one after another, the documents' keys and boundaries in that order, and an index: a minimal perfect
-hash of the distinct keys (hash and displace) whose slots give the key's place among the sorted keys, with a stored 32-bit
-fingerprint that tells foreign keys apart.  Spark writes and reads the rows, so any file system it knows will do.
+hash of the distinct keys (hash and displace) whose slots give the place and number of the key's documents, with a
+stored 32-bit fingerprint that tells foreign keys apart.  A lookup hashes the key, compares one fingerprint and one key,
+and cuts the ids out of the payload.  Spark writes and reads the rows, so any file system it knows will do.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ SHARD_BYTES = 4_000_000  # a shard ends with the document that reaches this; a l
 WHOLE_NUMBERS = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
 SHARD = (
     "part int, seq int, first_key long, last_key long, n_docs int, n_ids long, width int,"
-    " keys binary, bounds binary, displace binary, slots binary, prints binary, payload binary"
+    " keys binary, bounds binary, displace binary, slots binary, prints binary, places binary, payload binary"
 )
 MARK, PRINT = np.uint64(0x51AFD7ED558CCD25), np.uint64(0xA24BAED4963EE407)
 
@@ -94,16 +95,19 @@ def _shard(part: int, seq: int, keys: list[int], docs: list[bytes], width: int)
     ids = [np.frombuffer(d, dtype="<u4") for d in docs]
     bounds = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype("<i8")
     every = np.array(keys, dtype=np.int64)
-    distinct, first = np.unique(np.sort(every), return_index=True)
+    places = np.argsort(every, kind="stable").astype("<i4")  # documents of one key side by side
+    distinct, first, times = np.unique(every[places], return_index=True, return_counts=True)
     own = distinct.view(np.uint64)
     displacement, slot = build_index(own)
-    slots, prints = np.empty(len(own), dtype="<i4"), np.empty(len(own), dtype="<u4")
-    slots[slot], prints[slot] = first, _prints(own)
+    slots, prints = np.empty((len(own), 2), dtype="<i4"), np.empty(len(own), dtype="<u4")
+    slots[slot], prints[slot] = np.stack([first, times], axis=1), _prints(own)
+    if (np.diff(places) == 1).all():
+        places = places[:0]  # the documents' own order
     return {
         "part": part, "seq": seq, "first_key": int(every.min()), "last_key": int(every.max()), "n_docs": len(docs),
         "n_ids": int(bounds[-1]), "width": width, "keys": every.astype("<i8").tobytes(), "bounds": bounds.tobytes(),
         "displace": displacement.tobytes(), "slots": slots.tobytes(), "prints": prints.tobytes(),
-        "payload": np.concatenate(ids).astype(f"<u{width}").tobytes(),
+        "places": places.tobytes(), "payload": np.concatenate(ids).astype(f"<u{width}").tobytes(),
     }
 
 
@@ -137,7 +141,7 @@ def write_token_files(
             return pa.RecordBatch.from_pylist([_shard(part, seq, keys, found, width)], schema=arrow)
 
         for some in pieces(batches, 500):
-            for k, ids in zip(some.column(0).to_pylist(), encoder.batch(some.column(1).to_pylist())):
+            for k, ids in zip(some.column(0).to_pylist(), encoder.batch(some.column(1))):
                 ids += end
                 keys.append(k)
                 found.append(ids)
@@ -152,45 +156,45 @@ def write_token_files(
     rows.mapInArrow(run, SHARD).write.option("compression", "zstd").parquet(path)
 
 
-def _open(shard: dict) -> tuple:
-    ids = np.frombuffer(shard["payload"], dtype=f"<u{shard['width']}")
-    return ids, np.frombuffer(shard["bounds"], "<i8"), np.frombuffer(shard["keys"], "<i8")
-
-
-def _entries(shard: dict, by_key: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(position in ``wanted``, place in key order) through the index; foreign keys find nothing."""
-    slots, prints = np.frombuffer(shard["slots"], "<i4"), np.frombuffer(shard["prints"], "<u4")
+def _entries(shard: dict, keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(position in ``wanted``, document) of all documents with these keys; foreign keys find nothing."""
+    slots, prints = np.frombuffer(shard["slots"], "<i4").reshape(-1, 2), np.frombuffer(shard["prints"], "<u4")
+    places = np.frombuffer(shard["places"], "<i4")
     own = wanted.astype(np.int64).view(np.uint64)
     slot = find_slots(own, np.frombuffer(shard["displace"], "<i4"), len(slots))
-    hit = prints[slot] == _prints(own)
-    hit &= by_key[slots[slot]] == wanted
-    return np.flatnonzero(hit), slots[slot][hit]
+    asked = np.flatnonzero(prints[slot] == _prints(own))
+    first, times = slots[slot[asked]].T
+    sure = keys[places[first] if len(places) else first] == wanted[asked]
+    asked, first, times = asked[sure], first[sure], times[sure]
+    at = np.repeat(first - np.concatenate([[0], np.cumsum(times)[:-1]]) if len(first) else first, times) + np.arange(times.sum())
+    return np.repeat(asked, times), places[at] if len(places) else at
 
 
 def _documents(batches: Iterator[pa.RecordBatch], wanted: np.ndarray | None, with_ids: bool):
     for some in batches:
         for i in range(some.num_rows):
             shard = some.slice(i, 1).to_pylist()[0]
-            ids, bounds, keys = _open(shard)
-            ask = np.unique(keys) if wanted is None else wanted
-            order = np.argsort(keys, kind="stable")  # documents that share a key stand side by side in it
-            by_key = keys[order]
-            place, first = _entries(shard, by_key, ask)
-            out: dict[str, list] = {n: [] for n in ("key", "part", "seq", "local_start", "n_tokens", "ids_crc32", "ids")}
-            for p, at in zip(place.tolist(), first.tolist()):
-                while at < len(keys) and by_key[at] == ask[p]:
-                    doc = order[at]
-                    own = ids[bounds[doc] : bounds[doc + 1]].astype("<u4")
-                    raw = own.tobytes()
-                    out["key"].append(int(ask[p]))
-                    out["local_start"].append(int(bounds[doc]))
-                    out["n_tokens"].append(len(own))
-                    out["ids_crc32"].append(zlib.crc32(raw))
-                    out["ids"].append(raw if with_ids else None)
-                    at += 1
-            out["part"], out["seq"] = [shard["part"]] * len(out["key"]), [shard["seq"]] * len(out["key"])
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds)], names=list(out))
+            ids, bounds = np.frombuffer(shard["payload"], dtype=f"<u{shard['width']}"), np.frombuffer(shard["bounds"], "<i8")
+            keys = np.frombuffer(shard["keys"], "<i8")
+            if wanted is None:
+                ask = np.unique(keys)
+            else:
+                ask = wanted[np.searchsorted(wanted, shard["first_key"]) : np.searchsorted(wanted, shard["last_key"], "right")]
+            position, doc = _entries(shard, keys, ask)
+            raw = [ids[a:b].astype("<u4").tobytes() for a, b in zip(bounds[doc].tolist(), bounds[doc + 1].tolist())]
+            n = len(doc)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(ask[position], pa.int64()),
+                    pa.array(np.full(n, shard["part"]), pa.int32()),
+                    pa.array(np.full(n, shard["seq"]), pa.int32()),
+                    pa.array(bounds[doc], pa.int64()),
+                    pa.array(bounds[doc + 1] - bounds[doc], pa.int64()),
+                    pa.array([zlib.crc32(r) for r in raw], pa.int64()),
+                    pa.array(raw if with_ids else [None] * n, pa.binary()),
+                ],
+                names=["key", "part", "seq", "local_start", "n_tokens", "ids_crc32", "ids"],
+            )
 
 
 ENTRY = "key long, part int, seq int, local_start long, n_tokens long, ids_crc32 long, ids binary"
@@ -210,8 +214,26 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) ->
 
 
 def lookup(spark: SparkSession, path: str, keys: list[int]) -> DataFrame:
-    """The documents of the given keys, from only those shards whose key range can hold them; ``ids`` included."""
+    """The documents of the given keys, ``ids`` included, from only those shards whose key range holds one of them.
+
+    The ranges are read without the payloads; shards ordered by a whole-number id have ranges that meet at most at
+    their ends, so a key opens one shard, or the few that its copies fill.
+    """
     wanted = np.unique(np.array(keys, dtype=np.int64))
-    low, high = (int(wanted.min()), int(wanted.max())) if len(wanted) else (1, 0)
-    shards = spark.read.parquet(path).where((F.col("last_key") >= low) & (F.col("first_key") <= high))
-    return shards.mapInArrow(lambda batches: _documents(batches, wanted, True), ENTRY)
+    shards = spark.read.parquet(path)
+
+    def holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in batches:
+            low, high = some.column("first_key").to_numpy(), some.column("last_key").to_numpy()
+            held = np.searchsorted(wanted, low) < np.searchsorted(wanted, high, side="right")
+            yield some.select(["part", "seq"]).filter(pa.array(held))
+
+    places = shards.select("part", "seq", "first_key", "last_key").mapInArrow(holding, "part int, seq int")
+    found = places.collect()  # at most a few rows per key
+    match = F.lit(False)
+    by_part: dict[int, list[int]] = {}
+    for row in found:
+        by_part.setdefault(row["part"], []).append(row["seq"])
+    for part, seqs in sorted(by_part.items()):
+        match |= (F.col("part") == part) & F.col("seq").isin(seqs)
+    return shards.where(match).mapInArrow(lambda batches: _documents(batches, wanted, True), ENTRY)

@@ -7,8 +7,10 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from shelfwise.llm import tokenfile
 from shelfwise.llm.common import pieces
 from shelfwise.llm.packing import Plan, best_fit, pack_documents, plan_packing, reduce_dominated
 from shelfwise.llm.tokencount import token_counts
@@ -97,6 +99,14 @@ def test_large_instance_is_near_the_bound():
     assert plan.sequences <= -(-sum(lengths) // 4096) + 3
 
 
+def test_plan_does_not_grow_with_equal_pieces():
+    for n in (10, 1000, 1_000_000):
+        for histogram in ({2500: n, 1500: n}, {3000: n, 1000: 2 * n, 90: n}, {1366: 3 * n, 1365: n}):
+            plan = plan_packing(histogram, 4096)
+            assert len(plan.rows) < 20
+            assert sum(r[2] for r in plan.rows) == sum(histogram.values())
+
+
 def pieces_of(text, end, capacity=4096):
     ids = np.array([*Tokenizer.from_file(WORD).encode(text or "", add_special_tokens=False).ids, end], dtype="<u4")
     return [(at, len(ids[at : at + capacity]), zlib.crc32(ids[at : at + capacity].tobytes())) for at in range(0, len(ids), capacity)]
@@ -151,6 +161,29 @@ def test_files_of_odd_rows(spark, odd, nothing, documents, tmp_path):
     assert len(found) == len(texts)
 
 
+def test_lookup_opens_only_shards_that_hold_a_key(spark, documents, tmp_path, monkeypatch):
+    monkeypatch.setattr(tokenfile, "SHARD_BYTES", 20_000)
+    path = str(tmp_path / "small")
+    twice = documents.select("doc_id", "text").unionByName(documents.where("doc_id = 7").selectExpr("doc_id", "'again' AS text"))
+    write_token_files(twice, path, WORD)
+    shards = spark.read.parquet(path).select("part", "seq", "first_key", "last_key").collect()
+    assert len(shards) > 20
+    for asked in ([7], [3, 150], [-1, 10**9], []):
+        found = lookup(spark, path, asked)
+        want = {k: sorted(r.text or "" for r in twice.where(F.col("doc_id") == k).collect()) for k in asked}
+        got = [(r.key, bytes(r.ids)) for r in found.collect()]
+        assert sorted(got) == sorted((k, encoder().ids(t) + b"\2\0\0\0") for k, ts in want.items() for t in ts)
+        opened = {(r.part, r.seq) for r in found.collect()}
+        assert opened <= {(s.part, s.seq) for s in shards if any(s.first_key <= k <= s.last_key for k in asked)}
+        assert len(opened) <= 2 * len(asked)
+
+
+def test_index_of_keys_that_do_not_stand_together():
+    shard = tokenfile._shard(0, 0, [9, 4, 9, 1], [bytes(4 * n) for n in (1, 2, 3, 4)], 2)
+    found = list(tokenfile._documents([pa.RecordBatch.from_pylist([shard])], np.array([1, 5, 9]), True))[0].to_pydict()
+    assert sorted(zip(found["key"], found["n_tokens"])) == [(1, 4), (9, 1), (9, 3)]
+
+
 def test_batches_are_bounded_by_rows_and_bytes():
     texts = ["a" * 5, None, "", "b" * 30, "c" * 3, "d" * 3, "e" * 3]
     whole = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(texts)], names=["i", "t"])
