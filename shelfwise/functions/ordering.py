@@ -1,4 +1,4 @@
-"""Positions, running totals and exact quantiles without a one-task sort.
+"""Positions, running totals, neighbours and exact quantiles without a one-task sort.
 
 A window without a partition, or one partitioned by a column with a hot value,
 sends all of those rows to one task.  The helpers here range-partition the rows
@@ -10,6 +10,7 @@ layout once, and add per-partition offsets.  The offset table has one row per
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -83,6 +84,70 @@ def running_totals(
     return out.drop("_pid", "_idx", *[f"_in_{v}" for v in values], *[f"_skip_{v}" for v in values])
 
 
+def previous_values(
+    df: DataFrame, order_by: Sequence[Column], values: Sequence[str], keys: Sequence[str] = ()
+) -> DataFrame:
+    """Add ``<value>_previous``: the value of the row before, within ``keys``; null in the first row of a key.
+
+    ``order_by`` must be total.  Every range partition hands the last row of each of its keys on to the next one that
+    has rows of the key, so a long series is spread over many tasks.
+    """
+    rows = _laid_out(df, keys, order_by)
+    whole = F.struct(*values)
+    boundary = rows.groupBy("_pid", *keys).agg(F.max_by(whole, "_idx").alias("_end"))
+    handed = F.lag("_end").over(Window.partitionBy(*keys).orderBy("_pid"))
+    boundary = boundary.withColumn("_handed", handed).drop("_end")
+    inside = F.lag(whole).over(Window.partitionBy("_pid", *keys).orderBy("_idx"))
+    out = _attach(rows.withColumn("_before", inside), boundary, keys)
+    out = out.withColumn("_before", F.coalesce("_before", "_handed"))
+    return out.withColumns({f"{v}_previous": F.col(f"_before.{v}") for v in values}).drop("_pid", "_idx", "_before", "_handed")
+
+
+BUCKETS = 2048  # per target and pass
+LISTED = 4096  # values of a target's last bucket that are listed at once
+
+
+def select_ranks(df: DataFrame, value: str, targets: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """``targets`` (keys, rank, lo, hi, n) with the ``found`` value at each 0-based rank, by narrowing histograms.
+
+    A pass counts a target's values in equal buckets between its bounds, the bounds themselves in buckets of their own,
+    and goes on with the bucket that holds the rank and that bucket's true least and greatest value, until these are
+    equal or few enough values are left to be listed.  Rows are neither sorted nor shuffled, only partial counts are.
+    """
+    open_ = targets.withColumn("before", F.lit(0).cast("long"))
+    renamed = {k: f"_k{i}" for i, k in enumerate(keys)}
+    match = [F.col(k).eqNullSafe(F.col(r)) for k, r in renamed.items()]
+    done = []
+
+    def inside(part: DataFrame) -> DataFrame:
+        part = broadcast_if_small(part.select(*[F.col(k).alias(r) for k, r in renamed.items()], "rank", "lo", "hi", "before"))
+        met = df.join(part, match or F.lit(True)).where(F.col(value).between(F.col("lo"), F.col("hi")))
+        return met.drop(*renamed.values())
+
+    while True:
+        open_ = cut_lineage(open_)
+        single, few = F.col("lo") == F.col("hi"), F.col("n") <= LISTED
+        done.append(open_.where(single).select(*keys, "rank", F.col("lo").alias("found")))
+        short = open_.where(~single & few)
+        if not short.isEmpty():
+            listed = inside(short).groupBy(*keys, "rank", "before").agg(F.sort_array(F.collect_list(value)).alias("values"))
+            at = F.get("values", (F.col("rank") - F.col("before")).cast("int"))
+            done.append(listed.select(*keys, "rank", at.alias("found")))
+        open_ = open_.where(~single & ~few)
+        if open_.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        share = F.nanvl((F.col(value) - F.col("lo")) / (F.col("hi") - F.col("lo")), F.lit(0.0))
+        middle = F.least(F.greatest(F.floor(share * (BUCKETS - 2)) + 1, F.lit(1)), F.lit(BUCKETS - 2))
+        bucket = F.when(F.col(value) == F.col("lo"), 0).when(F.col(value) == F.col("hi"), BUCKETS - 1).otherwise(middle)
+        counted = inside(open_).groupBy(*keys, "rank", "before", bucket.cast("int").alias("bucket")).agg(
+            F.count(F.lit(1)).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi")
+        )
+        earlier = Window.partitionBy(*keys, "rank").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        start = F.col("before") + F.coalesce(F.sum("n").over(earlier), F.lit(0))  # at most BUCKETS rows a window
+        counted = counted.withColumn("before", start)
+        open_ = counted.where((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("n"))).drop("bucket")
+
+
 def quantiles(
     df: DataFrame,
     value: str,
@@ -93,29 +158,24 @@ def quantiles(
 ) -> DataFrame:
     """Exact linear-interpolated quantiles per key, as one column per named probability.
 
-    Equal values collapse to one counted row before the sort.  ``approximate``
-    swaps in the mergeable sketch, which needs no sort at all.
+    Values are selected by their rank without sorting the rows.  ``approximate`` swaps in the mergeable sketch.  Nulls
+    are left out; keys without values do not appear; without keys an empty input gives nulls.
     """
     present = df.where(F.col(value).isNotNull())
     if approximate:
         return present.groupBy(*keys).agg(
             *[F.percentile_approx(value, p, accuracy).alias(n) for n, p in probabilities.items()]
         )
-    counted = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    cum = running_totals(counted, [F.col(value)], ["_n"], keys)
-
-    def at(rank: Column) -> Column:
-        hit = (F.col("_n_before") <= rank) & (rank < F.col("_n_before") + F.col("_n"))
-        return F.max(F.when(hit, F.col(value)))
-
-    picks, out = [], []
-    for name, p in probabilities.items():
-        h = (F.col("_n_total") - 1) * F.lit(float(p))
-        picks += [
-            at(F.floor(h)).alias(f"_lo_{name}"),
-            at(F.ceil(h)).alias(f"_hi_{name}"),
-            F.max(h - F.floor(h)).alias(f"_fr_{name}"),
-        ]
-        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        out.append((lo + (hi - lo) * F.col(f"_fr_{name}")).alias(name))
-    return cum.groupBy(*keys).agg(*picks).select(*keys, *out)
+    present = cut_lineage(present.select(*keys, F.col(value).cast("double").alias("_v")))
+    sizes = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+    sizes = cut_lineage(sizes)
+    places = {name: (F.col("n") - 1) * F.lit(float(p)) for name, p in probabilities.items()}
+    ranks = F.array_distinct(F.array(*[f(h).cast("long") for h in places.values() for f in (F.floor, F.ceil)]))
+    found = select_ranks(present, "_v", sizes.where("n > 0").withColumn("rank", F.explode(ranks)), keys)
+    values = found.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("rank", "found"))).alias("_values"))
+    joined = sizes.join(broadcast_if_small(values), [sizes[k].eqNullSafe(values[k]) for k in keys] or F.lit(True), "left")
+    out = []
+    for name, h in places.items():
+        low, high = (F.element_at("_values", f(h).cast("long")) for f in (F.floor, F.ceil))
+        out.append((low + (high - low) * (h - F.floor(h))).alias(name))
+    return joined.select(*[sizes[k] for k in keys], *out)

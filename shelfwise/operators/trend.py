@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.functions.ordering import number_rows
+from shelfwise.functions.ordering import number_rows, previous_values
 from shelfwise.operators.aggregate import category_movers
 from shelfwise.operators.model import trending_products
 from shelfwise.operators.scoring import top_per_key
@@ -147,9 +147,10 @@ def popularity_trend(
 
 
 def value_change(df: DataFrame, keys: Sequence[str], ts: str, values: Sequence[str]) -> DataFrame:
-    """Difference of each value to the previous observation of its series."""
-    w = Window.partitionBy(*keys).orderBy(ts)
-    return df.withColumns({f"{v}_change": F.col(v) - F.lag(v).over(w) for v in values})
+    """Difference of each value to the previous observation of its series; ``ts`` is unique within a series."""
+    placed = previous_values(df, [F.col(ts)], values, keys)
+    changes = {f"{v}_change": F.col(v) - F.col(f"{v}_previous") for v in values}
+    return placed.withColumns(changes).drop(*[f"{v}_previous" for v in values])
 
 
 def trend_insights(

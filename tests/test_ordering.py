@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.functions.ordering import number_rows, quantiles, running_totals
+from shelfwise.functions import ordering
+from shelfwise.functions.ordering import number_rows, previous_values, quantiles, running_totals
 from shelfwise.operators.metrics import classification_metrics, roc_auc, roc_auc_one_vs_rest
 from shelfwise.operators.model import stratified_split
 
@@ -58,6 +59,34 @@ def test_quantiles(skewed):
     assert list(one) == pytest.approx(np.quantile([r[2] for r in rows], list(wanted.values())).tolist())
 
 
+def test_quantiles_by_narrowing(spark, monkeypatch):
+    """Many passes: few buckets, nothing listed early, heavy tails, infinities and NaN."""
+    monkeypatch.setattr(ordering, "BUCKETS", 5)
+    monkeypatch.setattr(ordering, "LISTED", 1)
+    rng = np.random.default_rng(2)
+    values = [*np.exp(rng.normal(0, 12, 60)).tolist(), *[7.0] * 30, float("inf"), float("-inf"), float("-inf")]
+    df = spark.createDataFrame([("a", v) for v in values] + [(None, 1.0), (None, 2.0), ("n", float("nan")), ("n", 1.0), ("b", None)], "k string, v double")
+    for p in (0.0, 0.5, 0.97):
+        got = {r.k: r.q for r in quantiles(df, "v", {"q": p}, ["k"]).collect()}
+        assert set(got) == {"a", None, "n"}
+        assert got[None] == 1 + p
+        assert got["a"] == pytest.approx(float(np.quantile(np.array(values), p)), nan_ok=True)
+    plan = quantiles(df, "v", {"q": 0.5}, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+
+
+def test_previous_values(skewed):
+    rows, df = skewed
+    got = {r.id: r.v_previous for r in previous_values(df, [F.col("id")], ["v"], ["k"]).collect()}
+    last, want = {}, {}
+    for i, k, v in sorted(rows):
+        want[i] = last.get(k)
+        last[k] = v
+    assert got == want
+    got = {r.id: r.v_previous for r in previous_values(df, [F.col("id")], ["v"]).collect()}
+    assert got == {i: (rows[i - 1][2] if i else None) for i, _, _ in rows}
+
+
 def test_quantiles_of_nothing(spark):
     empty = spark.createDataFrame([], "v double")
     assert quantiles(empty, "v", {"m": 0.5}).first().m is None
