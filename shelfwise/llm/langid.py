@@ -9,13 +9,14 @@ labels the words; the text's language is the one whose spans hold most letters.
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import keyed, pieces
@@ -24,7 +25,18 @@ SLOTS = 1 << 15  # trigram slots per language: the model's size does not grow wi
 CACHE = 200_000  # words held per task
 PENALTY = 20.0  # nats that a change of language costs
 UNKNOWN = "und"
-WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
+
+
+def _numerals() -> str:
+    """Ranges of the characters that patterns take for word characters without a digit, and that are no letters."""
+    odd = [c for c in range(0x80, sys.maxunicode + 1) if (t := chr(c)).isnumeric() and not t.isalpha() and not t.isdecimal()]
+    starts = [c for i, c in enumerate(odd) if i == 0 or odd[i - 1] != c - 1]
+    ends = [c for i, c in enumerate(odd) if i + 1 == len(odd) or odd[i + 1] != c + 1]
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends))
+
+
+LETTER = rf"[^\W\d_{_numerals()}]"
+WORD = re.compile(rf"{LETTER}+(?:['’]{LETTER}+)*")
 
 # fixed values: first code points of script ranges (Unicode blocks) and the script that begins there
 SCRIPT_EDGES = (
@@ -71,6 +83,10 @@ class Model:
     scores: np.ndarray
     allowed: np.ndarray
 
+    def shared(self, spark: SparkSession):
+        """A broadcast of the plain parts: workers need no copy of this package to read it."""
+        return spark.sparkContext.broadcast((self.languages, self.scores, self.allowed))
+
     def words(self, words: list[str]) -> np.ndarray:
         """Log-probability of every word in every language; languages that do not use its script are out."""
         slots, starts = trigram_slots(words)
@@ -207,10 +223,10 @@ def label_documents(
     """
     rows = keyed(docs, id_col, text_col)
     key = rows.schema["_id"].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = model.shared(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = Model(*shared.value)
         score_of = _scorer(model)
         for part in pieces(batches, 500):
             found = [label_spans(t, model, score_of, penalty) for t in part.column(1).to_pylist()]

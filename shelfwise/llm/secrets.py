@@ -26,6 +26,7 @@ RUN = r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{12,}"
 NAMES = r"(?i)(?:password|passwd|pwd|secret|token|api_?key|access_?key|auth)"
 VALUE = r"[^\s\"'=:,;]{6,}"
 ASSIGN = r"(?<![A-Za-z])" + NAMES + r"[\"']?[\x20\t]*(?::=|=>|[=:])[\x20\t]*[\"']?"
+BLANKS = r"[\x20\x09-\x0D]+"
 MARK = "\ufdd0"  # no character of any text; stands before assigned values while they are looked up
 KEYS = r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,})(?![A-Za-z0-9])"
 CANDIDATE = f"{KEYS}|{RUN}|{MARK}{VALUE}"  # in marked texts
@@ -38,8 +39,7 @@ PATH_HINT = r"(?i)(?:test|example|sample|fixture|mock|doc)"
 
 SAMPLE = 20_000  # labelled findings that the forest is fitted on at most
 TREES, DEPTH = 20, 6
-# a dictionary word stands in so many distinct texts (of fewer than 200, in a tenth of them), and in such a share
-DICTIONARY_TIMES, DICTIONARY_SHARE = 20, 2e-4
+DICTIONARY_SHARE = 2e-4  # a dictionary word stands in such a share of the distinct texts, and in two of them
 
 FEATURES = (
     "length", "digits", "uppers", "lowers", "others", "transitions", "distinct", "hex_only", "digits_only",
@@ -53,19 +53,14 @@ def marked(text: Column) -> Column:
     return F.regexp_replace(F.replace(text, F.lit(MARK), F.lit("\ufdd1")), f"({ASSIGN})(?={VALUE})", f"$1{MARK}")
 
 
-def dictionary(
-    docs: DataFrame, text_col: str = "text", times: int = DICTIONARY_TIMES, share: float = DICTIONARY_SHARE
-) -> DataFrame:
-    """(word): lower-case letter words of 3 letters or more that stand outside candidates in many distinct texts.
-
-    Many is ``share`` of the distinct texts, but at least ``times``, or a tenth of fewer than 10 * ``times`` texts and
-    at least 2.  Copies of a text and repetitions inside it count once.
+def dictionary(docs: DataFrame, text_col: str = "text", share: float = DICTIONARY_SHARE) -> DataFrame:
+    """(word): lower-case letter words of 3 letters or more that stand outside candidates in a ``share`` of the distinct
+    texts, and in two of them at least.  Copies of a text and repetitions inside it count once.
     """
     texts = docs.select(F.col(f"`{text_col}`").cast("string").alias("_t")).where(F.length("_t") > 0)
     texts = texts.withColumn("_h", F.xxhash64("_t"))
     copies = cut_lineage(texts.groupBy("_h").agg(F.count(F.lit(1)).alias("n")))
-    distinct = copies.count()
-    least = max(ceil(share * distinct), min(times, max(2, ceil(distinct / 10))))
+    least = max(2, ceil(share * copies.count()))
     copied = broadcast_if_small(copies.where(F.col("n") > 1).select("_h"))
     once = texts.join(copied, "_h", "left_anti").select("_t")
     once = once.unionByName(texts.join(copied, "_h", "left_semi").dropDuplicates(["_h"]).select("_t"))
@@ -83,7 +78,7 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, path_col: str | None
     rows = rows.where(F.col("_t").rlike(CANDIDATE))
     found = F.element_at(
         F.transform(
-            F.array(F.split("_t", r"[\x20\x09-\x0D]+")),
+            F.array(F.split("_t", BLANKS, -1)),
             lambda w: F.transform(
                 F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.get(w, i).rlike(CANDIDATE)),
                 lambda i: F.struct(
@@ -244,17 +239,42 @@ def scan_secrets(
     )
 
 
+def masked_text(text: Column, places: Column, mask: str) -> Column:
+    """``text`` with ``mask`` at ``places``, a map of word index to the places of candidates inside that word."""
+
+    def masked_word(word: Column, which: Column) -> Column:
+        hits = F.regexp_extract_all(word, F.lit(CANDIDATE), F.lit(0))
+        shown = F.transform(hits, lambda m, n: F.when(F.array_contains(which, n), F.lit(mask)).otherwise(m))
+        return F.array_join(F.zip_with(F.split(word, CANDIDATE, -1), shown, lambda r, m: F.concat(r, F.coalesce(m, F.lit("")))), "")
+
+    whole = marked(text)
+    gaps = F.regexp_extract_all(whole, F.lit(BLANKS), F.lit(0))
+    words = F.transform(
+        F.split(whole, BLANKS, -1),
+        lambda w, i: F.when(F.map_contains_key(places, i), masked_word(w, F.element_at(places, i))).otherwise(w),
+    )
+    joined = F.array_join(F.zip_with(words, gaps, lambda w, g: F.concat(w, F.coalesce(g, F.lit("")))), "")
+    return F.replace(joined, F.lit(MARK), F.lit(""))
+
+
 def mask_secrets(
     docs: DataFrame, mask: str = MASK, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source"
 ) -> DataFrame:
-    """The same rows and columns, with every confirmed secret of a document replaced by ``mask`` in its text.
+    """The same rows and columns, with ``mask`` in place of every confirmed secret, just where it was found.
 
-    Rows that share an id share their secrets.  Longer secrets are replaced first.
+    The same characters elsewhere, as part of another word, stay.  Rows are told apart by id and text, so rows that
+    share an id keep their own secrets; columns may have any names.
     """
-    secrets = scan_secrets(docs, None, id_col, text_col, path_col).where("is_secret")
-    per_doc = secrets.groupBy(F.col(id_col).alias("_sid")).agg(F.collect_set("candidate").alias("_secrets"))
-    longest_first = F.array_sort("_secrets", lambda a, b: F.length(b) - F.length(a))
     text = F.col(f"`{text_col}`")
-    clean = F.aggregate(longest_first, text, lambda t, s: F.replace(t, s, F.lit(mask)))
-    joined = docs.join(per_doc, F.col(f"`{id_col}`").eqNullSafe(F.col("_sid")), "left")
-    return joined.withColumn(text_col, F.when(F.col("_secrets").isNotNull(), clean).otherwise(text)).select(*docs.columns)
+    base = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_all"),
+        F.struct(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("tag")).alias("_key"),
+        text.cast("string").alias("_text"),
+        (F.col(f"`{path_col}`").cast("string") if path_col else F.lit(None).cast("string")).alias("_path"),
+    )
+    secrets = scan_secrets(base, None, "_key", "_text", "_path").where("is_secret")
+    words = secrets.groupBy(F.col("_key").alias("_found"), "word_index").agg(F.collect_set("nth").alias("nths"))
+    places = words.groupBy("_found").agg(F.map_from_entries(F.collect_list(F.struct("word_index", "nths"))).alias("_places"))
+    joined = base.join(places, F.col("_key").eqNullSafe(F.col("_found")), "left")
+    clean = F.when(F.col("_places").isNotNull(), masked_text(F.col("_text"), F.col("_places"), mask)).otherwise(F.col("_text"))
+    return joined.select(*[(clean if c == text_col else F.col("_all").getField(c)).alias(c) for c in docs.columns])

@@ -1,11 +1,16 @@
 """URL rules, language spans, benchmark leaks and secrets."""
 
+import pickle
 import random
+import subprocess
+import sys
+import unicodedata
 from collections import Counter
 
 import duckdb
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from shelfwise.llm import decontam, langid, secrets
@@ -82,6 +87,30 @@ def test_languages(spark, odd, nothing):
     assert {r.lang_pred for r in langid.label_languages(odd.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_letterless_texts_have_no_language(spark):
+    model = langid.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    texts = ["½ ² Ⅷ 12", "①②③", "_ 1_2", "٣ ५", "½ the ² and"]
+    got = langid.label_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model)
+    assert [r.lang_pred != "und" for r in got.orderBy("doc_id").collect()] == [False, False, False, False, True]
+    assert langid.keep_identified(spark.createDataFrame([(t,) for t in texts], "text string"), model).count() == 1
+    assert all(bool(langid.WORD.match(chr(c))) == unicodedata.category(chr(c)).startswith("L") for c in range(0x3000))
+
+
+def test_model_travels_without_the_package(spark, tmp_path):
+    """What the stage broadcasts and what its closure holds load in a process that has no copy of the package."""
+    model = langid.Model(["a"], np.zeros((langid.SLOTS, 1), np.float32), np.ones((len(langid.SCRIPTS), 1), bool))
+    shared = model.shared(spark)
+    (tmp_path / "b.pkl").write_bytes(pickle.dumps(shared.value))
+
+    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps((langid.Model, langid._scorer, langid.label_spans)))
+    code = (
+        "import pickle; M, s, f = pickle.load(open('f.pkl', 'rb')); m = M(*pickle.load(open('b.pkl', 'rb')));"
+        "print(f('one two', m, s(m), 20.0)[0])"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=60)
+    assert done.stdout.strip() == "a", done.stderr
+
+
 def test_mixed_text_is_cut_into_spans(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = langid.train(table)
