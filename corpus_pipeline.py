@@ -12,9 +12,13 @@ from shelfwise.llm.common import written
 WORD_TOKENIZER = "word_bpe_49k.json"
 
 
-def _with_key(docs: DataFrame) -> DataFrame:
-    """``_key`` is id and text hash: rows without id, or with a shared one, are told apart by their texts."""
-    return docs.withColumn("_key", F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("tag")))
+def _with_key(docs: DataFrame) -> tuple[DataFrame, str]:
+    """A column of id and text hash under a name that is free: rows without id, or with a shared one, are told apart
+    by their texts."""
+    name = "_key"
+    while name in docs.columns:
+        name += "_"
+    return docs.withColumn(name, F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("tag"))), name
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,22 +28,22 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group: the one with the smallest id; of wholly equal rows one."""
-    keyed = _with_key(docs)
-    groups = simhash.simhash_groups(keyed, shingle=3, radius=2, id_col="_key")
-    heads = groups.where(F.col("_key") == F.col("component_id")).select("_key").distinct()
-    return keyed.join(heads, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
+    keyed, key = _with_key(docs)
+    groups = simhash.simhash_groups(keyed, shingle=3, radius=2, id_col=key)
+    heads = groups.where(F.col(key) == F.col("component_id")).select(key).distinct()
+    return keyed.join(heads, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window that is 0.8 similar to a benchmark item."""
-    keyed, benchmark = _with_key(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    leaks = decontam.benchmark_leaks(keyed, benchmark, similarity=0.8, id_col="_key")
-    return keyed.join(leaks.select("_key").distinct(), "_key", "left_anti").select(*docs.columns)
+    (keyed, key), benchmark = _with_key(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    leaks = decontam.benchmark_leaks(keyed, benchmark, similarity=0.8, id_col=key)
+    return keyed.join(leaks.select(key).distinct(), key, "left_anti").select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, confirmed secrets masked; ``n_chars`` follows the text."""
-    clean = secrets.mask_secrets(_with_key(docs), id_col="_key")
+    clean = secrets.mask_secrets(docs)
     changed = F.coalesce(F.col("text").contains(secrets.MASK), F.lit(False))
     length = F.length("text").cast(docs.schema["n_chars"].dataType)
     return clean.withColumn("n_chars", F.when(changed, length).otherwise(F.col("n_chars"))).select(*docs.columns)
