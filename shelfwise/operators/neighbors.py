@@ -22,7 +22,7 @@ from shelfwise.functions.ordering import number_rows
 from shelfwise.session import cut_lineage
 
 LEAF = 32
-GRID_DIMENSIONS = 4  # of more features the level-0 grid takes the first four; boxes and distances take all
+GRID_DIMENSIONS = 4  # of more features the first four find the boxes to compare; boxes and distances take all
 MAX_LEVELS = 48
 
 
@@ -62,15 +62,17 @@ class EpsGrid:
     """Weighted distinct points of a table and the search for neighbours within ``eps``.
 
     Coordinates stay in plain columns (``f0``, ``f1``, ...), so distances compile
-    to short arithmetic.  The level-0 grid has at most four dimensions, as a box
-    has 3 to 5 neighbours along each; deeper levels halve a box along all of them.
+    to short arithmetic.  A level-0 box is so narrow that its points are neighbours,
+    whatever the number of features.  With up to four of them its near boxes are
+    listed; with more they are met through a coarse grid of the first four, whose
+    cells are at least ``eps`` wide.  Deeper levels halve a box along all features.
     """
 
     def __init__(self, df: DataFrame, key: str, features: Sequence[str], eps: float):
         self.d = len(features)
         self.g = min(self.d, GRID_DIMENSIONS)
         self.key, self.features, self.eps2 = key, list(features), eps * eps
-        self.side = eps / math.sqrt(self.g) * (1 - 1e-9)
+        self.side = eps / math.sqrt(self.d) * (1 - 1e-9)
         self.f = [f"f{i}" for i in range(self.d)]
         # rows are matched on their coordinates later, so both uses must see the same numbers
         coordinates = [F.col(n).cast("double").alias(f) for n, f in zip(self.features, self.f)]
@@ -82,27 +84,32 @@ class EpsGrid:
         """Box of a point at a level: the level followed by its grid coordinates."""
         scale = F.lit(float(2**level))
         places = [F.floor(x / F.lit(self.side) * scale) for x in _cols("f", self.d)]
-        if level == 0:
-            places[self.g :] = [F.lit(0).cast("bigint")] * (self.d - self.g)
         return F.array(F.lit(level).cast("bigint"), *places)
 
     def bounds(self) -> list[Column]:
         low = [F.min(f).alias(f"lo{i}") for i, f in enumerate(self.f)]
         return low + [F.max(f).alias(f"hi{i}") for i, f in enumerate(self.f)]
 
-    def offsets(self, half: bool = False) -> list[tuple[int, ...]]:
-        r = math.ceil(math.sqrt(self.g))
-        near = [
-            o + (0,) * (self.d - self.g)
-            for o in itertools.product(range(-r, r + 1), repeat=self.g)
-            if sum(max(abs(x) - 1, 0) ** 2 for x in o) <= self.g
-        ]
-        return [o for o in near if o > (0,) * self.d] if half else near
-
-    def shifted(self, node: str, half: bool = False) -> Column:
-        """The neighbouring level-0 boxes of a level-0 box."""
-        moves = ", ".join(f"array(0L, {', '.join(f'{x}L' for x in o)})" for o in self.offsets(half))
-        return F.expr(f"explode(transform(array({moves}), o -> zip_with({node}, o, (a, b) -> a + b)))")
+    def offsets(self) -> list[tuple[int, ...]]:
+        r = math.ceil(math.sqrt(self.d))
+        steps = itertools.product(range(-r, r + 1), repeat=self.d)
+        return [o for o in steps if sum(max(abs(x) - 1, 0) ** 2 for x in o) <= self.d]
+
+    def met(self, cells: DataFrame, cell: str, roots: DataFrame, node: str, once: bool = False) -> DataFrame:
+        """Level-0 boxes beside the level-0 boxes that may be near them; ``once`` lists a pair of different boxes once."""
+        if self.d <= GRID_DIMENSIONS:
+            near = [o for o in self.offsets() if not once or o > (0,) * self.d]
+            moves = ", ".join(f"array(0L, {', '.join(f'{x}L' for x in o)})" for o in near)
+            shifted = F.expr(f"explode(transform(array({moves}), o -> zip_with({cell}, o, (a, b) -> a + b)))")
+            return cells.withColumn(node, shifted).join(roots, node)
+        wide = F.lit(math.ceil(math.sqrt(self.d) * (1 + 1e-6)) + 1)
+        coarse = lambda c: F.array(*[F.floor(F.col(c)[i + 1] / wide) for i in range(self.g)])
+        moves = ", ".join(f"array({', '.join(f'{x}L' for x in o)})" for o in itertools.product((-1, 0, 1), repeat=self.g))
+        around = cells.withColumn("_near", coarse(cell)).withColumn(
+            "_near", F.expr(f"explode(transform(array({moves}), o -> zip_with(_near, o, (a, b) -> a + b)))")
+        )
+        found = around.join(roots.withColumn("_near", coarse(node)), "_near").drop("_near")
+        return found.where(F.col(cell) < F.col(node)) if once else found
 
     def build(self, points: DataFrame) -> tuple[DataFrame, int]:
         """Boxes of all levels with weight and bounds; leaves also carry their points."""
@@ -121,8 +128,6 @@ class EpsGrid:
                 .agg(F.collect_list(F.struct("w", *self.f)).alias("pts"))
             )
             half = [F.floor(F.col("node")[i + 1] / F.lit(2.0)) for i in range(self.d)]
-            if level == 1:
-                half[self.g :] = [F.lit(0).cast("bigint")] * (self.d - self.g)
             up = F.array(F.col("node")[0] - 1, *half)
             parts.append(boxes.join(held, "node", "left").withColumn("parent", up).drop("n"))
             level += 1
@@ -134,18 +139,19 @@ class EpsGrid:
     def boxes_near(self, probes: DataFrame, tree: DataFrame) -> DataFrame:
         """Level-0 boxes that can hold a neighbour of some probe, per probe cell: (cell, node, ...)."""
         cells = spread(probes.groupBy("cell").agg(*[b.alias(f"c_{i}") for i, b in enumerate(self.bounds())]))
-        around = cells.withColumn("node", self.shifted("cell"))
         roots = tree.where(F.col("node")[0] == 0).drop("parent")
         corners = _cols("c_", 2 * self.d)
         gap = _gap(corners[: self.d], corners[self.d :], _cols("lo", self.d), _cols("hi", self.d))
-        return around.join(roots, "node").where(gap <= self.eps2).drop(*[f"c_{i}" for i in range(2 * self.d)])
+        return self.met(cells, "cell", roots, "node").where(gap <= self.eps2).drop(*[f"c_{i}" for i in range(2 * self.d)])
 
     def weights_near(
         self, probes: DataFrame, tree: DataFrame, depth: int, per: Sequence[str] = ("pt",)
     ) -> DataFrame:
         """Weight within eps of each probe point, in all or per level-0 box (``per`` with ``cell``)."""
         probes = probes.withColumn("cell", self.node(0)).select("pt", *self.f, "cell")
-        met = probes.join(self.boxes_near(probes, tree), "cell").withColumn("cell", F.col("node"))
+        # written first, so that both sides are plain shuffles and the probes of a crowded cell can be split
+        near = cut_lineage(self.boxes_near(probes, tree))
+        met = probes.join(near, "cell").withColumn("cell", F.col("node"))
         f, lo, hi = _cols("f", self.d), _cols("lo", self.d), _cols("hi", self.d)
         settled = []
         for level in range(depth):
@@ -166,8 +172,8 @@ class EpsGrid:
         """Pairs of different level-0 boxes that hold points within eps of each other."""
         roots = spread(tree.where(F.col("node")[0] == 0).select("node"))
         other = roots.select(F.col("node").alias("b0"))
-        front = roots.select(F.col("node").alias("a0"), self.shifted("node", half=True).alias("b0"))
-        front = front.join(other, "b0").select("a0", "b0", F.col("a0").alias("na"), F.col("b0").alias("nb"))
+        front = self.met(roots.select(F.col("node").alias("a0")), "a0", other, "b0", once=True)
+        front = front.select("a0", "b0", F.col("a0").alias("na"), F.col("b0").alias("nb"))
         below = tree.select(F.col("parent").alias("up"), "node").where(F.col("node")[0] > 0)
         step = below.unionByName(tree.where(F.col("pts").isNotNull()).select(F.col("node").alias("up"), "node"))
 
@@ -252,11 +258,9 @@ def dbscan(
 ) -> DataFrame:
     """Cluster per row, numbered by smallest core id; -1 is noise.
 
-    A border row joins the lowest-numbered cluster it touches.  Takes up to four
-    features: rows of one level-0 cell must be neighbours.
+    A border row joins the lowest-numbered cluster it touches.  Takes any number
+    of features.
     """
-    if len(features) > GRID_DIMENSIONS:
-        raise ValueError(f"density clustering takes up to {GRID_DIMENSIONS} features; project first")
     grid = EpsGrid(df, key, features, eps)
     points = grid.points.withColumn("cell", grid.node(0))
     cells = points.groupBy("cell").agg(F.sum("w").alias("cell_w"), *grid.bounds())

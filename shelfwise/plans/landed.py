@@ -10,10 +10,8 @@ from shelfwise.operators import cluster, competitive, model, prep, tables, ward
 from shelfwise.plans.catalog import PRODUCTS_SQL, held, products, table
 from shelfwise.plans.models import DENSITY, LABELLED, POINTS_SQL, labelled
 from shelfwise.plans.registry import query
-from shelfwise.plans.streams import event_stream
 from shelfwise.session import scratch_path
 from shelfwise.sources import raw, store
-from shelfwise.streaming import events as streaming
 
 MISSING = {"platform": "string", "params": "map<string,string>", "priority": "int", "max_retries": "int"}
 PRICE_TEXT = "CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS STRING)"
@@ -187,14 +185,6 @@ def analysis_status(spark, sf):
     return competitive.competitive_analysis(products(spark, sf), "full")["status"]
 
 
-@query("live_messages", "SELECT event_id FROM events")
-def live_messages(spark, sf):
-    """All events at once: none is late for the watermark of its own batch."""
-    live = streaming.drop_expired(event_stream(spark, sf)).dropDuplicates(["event_id", "ts"]).select("event_id")
-    path = scratch_path(spark, "live")
-    return streaming.run_available(live, f"{path}/rows", f"{path}/state")
-
-
 SPLIT = LABELLED + """, r AS (SELECT *, row_number() OVER (PARTITION BY is_top ORDER BY md5(product_id || ':split:42'), product_id) - 1 AS position, count(*) OVER (PARTITION BY is_top) AS total FROM lab),
   parts AS (SELECT *, position < floor(total * CAST(0.2 AS DOUBLE) + 0.5) AS is_test FROM r), train AS (SELECT * FROM parts WHERE NOT is_test)"""
 

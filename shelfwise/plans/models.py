@@ -52,6 +52,25 @@ def eps_neighbors_wide(spark, sf):
     return neighbors.eps_neighbors(points, "vec_id", names, eps=0.125)
 
 
+@query(
+    "dbscan_wide",
+    "WITH RECURSIVE z AS (SELECT vec_id AS id, embedding AS e FROM embeddings), near AS (SELECT a.id AS a, b.id AS b FROM z a JOIN z b ON "
+    + " + ".join(f"(a.e[{i}]::DOUBLE - b.e[{i}]) * (a.e[{i}]::DOUBLE - b.e[{i}])" for i in range(1, WIDE + 1))
+    + """ <= 0.015625),
+    core AS (SELECT a AS id FROM near GROUP BY a HAVING count(*) >= 5),
+    links AS (SELECT a, b FROM near WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core) AND a <> b),
+    reach AS (SELECT id, id AS root FROM core UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.id WHERE r.root < l.b),
+    numbered AS (SELECT id, dense_rank() OVER (ORDER BY min(root)) - 1 AS cluster FROM reach GROUP BY id),
+    border AS (SELECT n.a AS id, min(c.cluster) AS cluster FROM near n JOIN numbered c ON c.id = n.b WHERE n.a NOT IN (SELECT id FROM core) GROUP BY n.a)
+    SELECT vec_id, CAST(coalesce(n.cluster, b.cluster, -1) AS INTEGER) AS cluster FROM embeddings LEFT JOIN numbered n ON n.id = vec_id LEFT JOIN border b ON b.id = vec_id""",
+)
+def dbscan_wide(spark, sf):
+    """Density clusters over six features."""
+    names = [f"e{i}" for i in range(WIDE)]
+    points = table(spark, sf, "embeddings").select("vec_id", *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)])
+    return neighbors.dbscan(points, "vec_id", names, eps=0.125)
+
+
 @query(
     "multiclass_auc",
     """WITH s AS (SELECT label, c, embedding[c + 1] AS s FROM embeddings, range(0, 10) r(c)),

@@ -13,7 +13,6 @@ from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 from shelfwise.sources.store import ProductStore
 
 FLUSH_SECONDS = 30
-MESSAGE_TTL = "60 seconds"
 SILENCE_SECONDS = 90
 STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -73,11 +72,6 @@ def collect_products(
     return writer.trigger(**trigger).start()
 
 
-def drop_expired(messages: DataFrame, ts: str = "ts", ttl: str = MESSAGE_TTL) -> DataFrame:
-    """Messages older than the newest one by more than ``ttl`` are late for every later operator."""
-    return messages.withWatermark(ts, ttl)
-
-
 def deliver_once(stream: DataFrame, key: str = "event_id", ts: str = "ts", within: str = "1 day") -> DataFrame:
     return stream.withWatermark(ts, within).dropDuplicatesWithinWatermark([key])
 

@@ -78,10 +78,12 @@ def test_no_core(spark):
     assert {r.cluster for r in neighbors.dbscan(df, "id", names, 0.5, 3).collect()} == {-1}
 
 
-def test_too_many_dimensions(spark):
-    df, names = frame(spark, [(0.0,) * 5])
-    with pytest.raises(ValueError):
-        neighbors.dbscan(df, "id", names)
+@pytest.mark.parametrize("d, eps", [(5, 0.9), (6, 1.1)])
+def test_many_features(spark, d, eps):
+    rng = np.random.default_rng(d)
+    blobs = [rng.normal(c, 0.3, (50, d)) for c in (0.0, 2.0)]
+    flat = np.column_stack([np.zeros((60, 4)), rng.uniform(0, 9, (60, d - 4))])  # alike in the first four features
+    check(spark, np.vstack([*blobs, flat, rng.uniform(-2, 6, (30, d))]).tolist(), eps, 5)
 
 
 def test_components_of_chain_and_star(spark):

@@ -10,6 +10,7 @@ from shelfwise.schema import PRODUCT_SCHEMA
 from shelfwise.plans import all_queries
 from shelfwise.sources.store import ProductStore
 from shelfwise.streaming import events as streaming
+from shelfwise.streaming import keyed
 
 START = datetime(2024, 1, 1)
 QUERIES = all_queries()[0]
@@ -80,19 +81,95 @@ def test_delivered_twice_stored_once(spark, log, tmp_path):
     assert sorted(r.event_id for r in got.collect()) == list(range(60))
 
 
-def test_expired_messages_are_dropped(spark, tmp_path):
-    path = str(tmp_path / "log")
-    stamped = set()
-    # Spark applies a new watermark to late rows one batch after the rows that moved it
-    for n, seconds in enumerate([0, 600, 660, 1, 7200]):
-        land(spark, path, [(n, START + timedelta(seconds=seconds), 1, "view", 1.0)])
+def cut(spark, path, rows, sizes):
+    """Land the rows in files of these sizes, one batch each, in order."""
+    at = 0
+    for n, size in enumerate(sizes):
+        land(spark, path, rows[at : at + size])
+        at += size
         for f in glob.glob(f"{path}/part-*"):
-            if f not in stamped:
-                stamped.add(f)
+            if os.path.getmtime(f) > 1_700_001_000:
                 os.utime(f, (1_700_000_000 + n, 1_700_000_000 + n))
-    live = streaming.drop_expired(stream(spark, path)).dropDuplicates(["event_id", "ts"])
-    got = streaming.run_available(live, str(tmp_path / "rows"), str(tmp_path / "state"))
-    assert {r.event_id for r in got.collect()} == {0, 1, 2, 4}
+    assert at == len(rows)
+
+
+def seconds(*parts):
+    """Rows (id, ts, user, type, value) of (user, seconds, type) entries in time order."""
+    return [(i, START + timedelta(seconds=s), u, kind, 1.0) for i, (s, u, kind) in enumerate(sorted(parts))]
+
+
+def since_start(at_ms):
+    return at_ms / 1000 - START.timestamp()
+
+
+@pytest.mark.parametrize("cuts", [[156], [30, 100, 20, 6], [1, 154, 1]])
+def test_flush_by_count_or_time(spark, tmp_path, cuts):
+    path = str(tmp_path / "log")
+    burst = [(i / 100, u, "view") for u, n in ((1, 49), (2, 50), (3, 51)) for i in range(n)]
+    rows = seconds(*burst, (0.0, 4, "view"), (29.0, 4, "view"), (40.0, 4, "view"), (45.0, 4, "view"), (3600.0, 5, "view"), (7200.0, 5, "view"))
+    cut(spark, path, rows, cuts)
+    found = streaming.with_state_provider(spark, lambda s: keyed.buffered(stream(s, path), "user_id", "ts", "event_id"), str(tmp_path / "out"))
+    got = sorted((r.source, r.flush, r.reason, r.n) for r in found.groupBy("source", "flush", "reason").agg(F.count("*").alias("n")).collect())
+    assert got == [("1", 0, "time", 49), ("2", 0, "count", 50), ("3", 0, "count", 50), ("3", 1, "time", 1), ("4", 0, "time", 2), ("4", 1, "time", 2), ("5", 0, "time", 1)]
+    at = {(r.source, r.flush): since_start(r.at_ms) for r in found.collect()}
+    assert at["1", 0] == 30 and at["2", 0] == pytest.approx(0.49, abs=1e-3) and at["4", 1] == 70
+
+
+def test_flushes_are_told_again_after_a_failed_store(spark, tmp_path):
+    path, state = str(tmp_path / "log"), str(tmp_path / "state")
+    cut(spark, path, seconds(*[(i, 1, "view") for i in range(5)], (100, 2, "view"), (200, 2, "view")), [3, 4])
+    session = spark.newSession()
+    session.conf.set("spark.sql.streaming.stateStore.providerClass", streaming.STATE_PROVIDER)
+    stored, down = [], [True]
+
+    def store(batch, number):
+        rows = batch.collect()
+        if rows and down[0]:
+            raise RuntimeError("store is down")
+        stored.extend((r.source, r.flush, r.item) for r in rows)
+
+    def run():
+        flushes = keyed.buffered(stream(session, path), "user_id", "ts", "event_id", limit=4)
+        query = flushes.writeStream.foreachBatch(store).option("checkpointLocation", state).trigger(availableNow=True).start()
+        query.awaitTermination()
+
+    with pytest.raises(Exception, match="store is down"):
+        run()
+    down[0] = False
+    run()
+    assert sorted(stored) == [("1", 0, "0"), ("1", 0, "1"), ("1", 0, "2"), ("1", 0, "3"), ("1", 1, "4"), ("2", 0, "5")]
+
+
+@pytest.mark.parametrize("cuts", [[6], [2, 2, 2]])
+def test_expired_messages_are_kept_apart(spark, tmp_path, cuts):
+    path = str(tmp_path / "log")
+    times = [0, 100, 39, 41, 200, 139]
+    rows = [(i, START + timedelta(seconds=t), 1, "m", 1.0) for i, t in enumerate(times)]
+    cut(spark, path, rows, cuts)
+    found = streaming.with_state_provider(spark, lambda s: keyed.split_expired(stream(s, path), "user_id", "ts", "event_id", "event_id"), str(tmp_path / "out"))
+    assert {int(r.message): r.expired for r in found.collect()} == {0: False, 1: False, 2: True, 3: False, 4: False, 5: True}
+
+
+@pytest.mark.parametrize("cuts", [[14], [3, 4, 7], [13, 1]])
+def test_lifecycle_of_tasks(spark, tmp_path, cuts):
+    path = str(tmp_path / "log")
+    rows = seconds(
+        (0, 1, "started"), (10, 1, "started"), (299, 1, "completed"), (400, 1, "started"),
+        (0, 2, "started"), (20, 2, "failed"), (30, 2, "started"), (500, 2, "failed"), (600, 2, "started"),
+        (700, 2, "failed"), (800, 2, "started"), (5000, 2, "started"), (0, 3, "failed"), (9000, 4, "started"),
+    )
+    cut(spark, path, rows, cuts)
+    found = streaming.with_state_provider(spark, lambda s: keyed.lifecycle(stream(s, path), "user_id", "ts", F.col("event_type"), "event_id"), str(tmp_path / "out"))
+    got = sorted((r.task, r.attempt, since_start(r.at_ms), r.state) for r in found.collect())
+    assert got == sorted(
+        [
+            ("1", 1, 0, "running"), ("1", 1, 299, "completed"),
+            ("2", 1, 0, "running"), ("2", 1, 20, "failed"), ("2", 1, 20, "retrying"),
+            ("2", 2, 30, "running"), ("2", 2, 330, "timeout"), ("2", 2, 330, "retrying"),
+            ("2", 3, 600, "running"), ("2", 3, 700, "failed"), ("2", 3, 700, "retrying"),
+            ("2", 4, 800, "running"), ("2", 4, 1100, "timeout"), ("2", 4, 1100, "given up"), ("4", 1, 9000, "running"),
+        ]
+    )
 
 
 def test_sessions(spark, tmp_path):
@@ -132,6 +209,6 @@ def test_queries_read_folder_tables(spark, tmp_path):
     source = "/root/testdata/sf0.001"
     for name in ("events", "part"):
         spark.read.parquet(f"{source}/{name}.parquet").repartition(5).write.parquet(str(tmp_path / f"{name}.parquet"))
-    for name in ("stream_activity_counts", "stream_deliver_once", "stream_collect", "stream_liveness"):
+    for name in ("stream_activity_counts", "stream_deliver_once", "stream_collect", "stream_liveness", "stream_flushes", "stream_lifecycle"):
         run = QUERIES[name]
         assert sorted(map(str, run(spark, str(tmp_path)).collect())) == sorted(map(str, run(spark, source).collect())), name
