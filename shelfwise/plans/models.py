@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfwise.operators import cluster, metrics, model, neighbors, prep
+from shelfwise.operators import cluster, isolation, metrics, model, neighbors, prep
 from shelfwise.plans.catalog import PRODUCTS_SQL, held, products, table
 from shelfwise.plans.products import QUALITY
 from shelfwise.plans.registry import query
@@ -198,6 +198,31 @@ def silhouette(spark, sf):
     return spark.range(1).select(F.round(F.lit(value), 4).alias("silhouette"))
 
 
+@query("isolation_outliers")
+def isolation_outliers(spark, sf):
+    """Lonely products by price, rating, reviews and stock."""
+    catalog = held(products(spark, sf), "product_id", *prep.FEATURES)
+    return isolation.isolation_outliers(catalog, "product_id", prep.FEATURES)
+
+
+@query(
+    "isolation_checks",
+    PRODUCTS_SQL + "SELECT count(*) AS n, true AS in_range, true AS extremes_above_middle FROM products",
+)
+def isolation_checks(spark, sf):
+    """Rows with a score in (0, 1); those farthest from the medians score higher than those nearest on average."""
+    catalog = held(products(spark, sf), "product_id", *prep.FEATURES)
+    scores = held(isolation.isolation_outliers(catalog, "product_id", prep.FEATURES))
+    z = prep.zscore(catalog.fillna(0.0, list(prep.FEATURES)), prep.FEATURES, "_z")
+    away = z.select("product_id", sum((F.col(f"{c}_z") * F.col(f"{c}_z") for c in prep.FEATURES), F.lit(0.0)).alias("away"))
+    both = scores.join(away, "product_id")
+    return both.agg(
+        F.count(F.lit(1)).alias("n"),
+        (F.count_if((F.col("score") > 0) & (F.col("score") < 1)) == F.count(F.lit(1))).alias("in_range"),
+        (F.avg(F.when(F.col("away") > 12, F.col("score"))) > F.avg(F.when(F.col("away") < 2, F.col("score"))) + 0.05).alias("extremes_above_middle"),
+    )
+
+
 LABELLED = PRODUCTS_SQL + f", q AS (SELECT *, {QUALITY} AS s FROM products), lab AS (SELECT *, CAST(s >= (SELECT quantile_cont(s, 0.75) FROM q) AS INTEGER) AS is_top FROM q)"
 
 

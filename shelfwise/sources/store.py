@@ -71,57 +71,78 @@ def products_by_price(df: DataFrame) -> DataFrame:
     return df.orderBy(F.desc("price"), "product_id")
 
 
+MIN_BUCKETS, BUCKET_ROWS = 16, 500_000  # of a new table whose number of partitions is not given
+
+
 class ProductStore:
     """Product table in partitions by a hash of the key.
 
     An upsert merges its rows into the partitions their keys fall in and rewrites just those, by dynamic partition
-    overwrite; the same batch again leaves the same rows.  ``buckets`` is fixed for a table when it is created.
+    overwrite; the same batch again leaves the same rows.  The number of partitions is part of the table's layout
+    (``buckets=64/bucket=3``): it is chosen when the table is made, by ``buckets`` or by the number of rows, and read
+    from there ever after, whatever a later ``buckets`` says.  ``resize`` changes it.
     """
 
-    def __init__(self, spark: SparkSession, root: str, update: Sequence[str] = FULL_UPDATE, buckets: int = 64):
+    def __init__(self, spark: SparkSession, root: str, update: Sequence[str] = FULL_UPDATE, buckets: int | None = None):
         self.spark, self.root, self.update, self.buckets = spark, root.rstrip("/"), tuple(update), buckets
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64("product_id"), F.lit(self.buckets)).cast("int")
+    @staticmethod
+    def _bucket(width: int) -> Column:
+        return F.pmod(F.xxhash64("product_id"), F.lit(width)).cast("int")
 
     def _stored(self) -> DataFrame | None:
+        place = [T.StructField("buckets", T.IntegerType()), T.StructField("bucket", T.IntegerType())]
         try:
-            return self.spark.read.schema(T.StructType([*PRODUCT_SCHEMA, T.StructField("bucket", T.IntegerType())])).parquet(self.root)
+            return self.spark.read.schema(T.StructType([*PRODUCT_SCHEMA, *place])).parquet(self.root)
         except AnalysisException:
             return None
 
+    def width(self) -> int | None:
+        """Number of hash partitions of the stored table."""
+        stored = self._stored()
+        row = None if stored is None else stored.select("buckets").first()
+        return row and row[0]
+
     def read(self) -> DataFrame:
         stored = self._stored()
         if stored is None:
             raise FileNotFoundError(self.root)
-        return stored.drop("bucket")
+        return stored.drop("buckets", "bucket")
 
     @staticmethod
     def read_at(spark: SparkSession, root: str) -> DataFrame:
         return ProductStore(spark, root).read()
 
-    def _write(self, df: DataFrame, mode: str) -> None:
-        rows = df.withColumn("bucket", self._bucket()).repartition("bucket")
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("bucket")
+    def _write(self, df: DataFrame, mode: str, width: int) -> None:
+        rows = df.withColumns({"buckets": F.lit(width), "bucket": self._bucket(width)}).repartition("bucket")
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("buckets", "bucket")
         writer.parquet(self.root)
 
+    def _fitting(self, df: DataFrame) -> int:
+        return self.buckets or max(MIN_BUCKETS, 1 << (df.count() // BUCKET_ROWS).bit_length())
+
     def replace(self, df: DataFrame) -> None:
         """Make ``df`` the whole table."""
-        self._write(cut_lineage(_conform(df)), "static")
+        rows = cut_lineage(_conform(df))
+        self._write(rows, "static", self._fitting(rows))
+
+    def resize(self, buckets: int) -> None:
+        """Deal the stored rows into another number of partitions."""
+        self._write(cut_lineage(_conform(self.read())), "static", buckets)
 
     def upsert(self, incoming: DataFrame, order_by: Sequence[str] = (), now: Column | None = None, source_url: str | None = None) -> None:
         """Insert new keys, overwrite the ``update`` columns of known ones; one row of a key wins, see ``tables.upsert``."""
         now = (F.current_timestamp() if now is None else now).cast("timestamp")
         one = _conform(one_per_key(incoming, "product_id", order_by))
         fresh = cut_lineage(one)
-        stored = self._stored()
-        if stored is None:
-            stored = self.spark.createDataFrame([], PRODUCT_SCHEMA)
+        width = self.width()
+        if width is None:
+            width, stored = self._fitting(fresh), self.spark.createDataFrame([], PRODUCT_SCHEMA)
         else:
-            touched = fresh.select(self._bucket().alias("bucket")).distinct()
-            stored = stored.join(touched, "bucket", "left_semi").drop("bucket")
+            touched = [r[0] for r in fresh.select(self._bucket(width)).distinct().collect()]  # at most ``width``
+            stored = self._stored().where(F.col("bucket").isin(touched)).drop("buckets", "bucket")
         merged = upsert_rows(stored, fresh, self.update, now=now, source_url=source_url)
-        self._write(cut_lineage(_conform(merged)), "dynamic")
+        self._write(cut_lineage(_conform(merged)), "dynamic", width)
 
 
 def _conform(df: DataFrame) -> DataFrame:

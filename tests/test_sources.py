@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.sources import pages, raw
+from shelfwise.sources import pages, raw, store
 
 
 def payloads(spark, *records):
@@ -153,3 +153,22 @@ def test_urls(spark):
     assert (a.base_url, a.handle, a.shop_domain, a.is_store) == ("https://a.myshopify.com", "mug", "a", True)
     assert (b.base_url, b.product_slug, b.is_store) == ("http://s.com", "cup", False)
     assert c.base_url is None
+
+
+def test_store_keeps_its_number_of_partitions(spark, tmp_path):
+    """Whatever a later handle says, and whichever keys a batch touches, a key stays one row."""
+    root = str(tmp_path / "shop")
+    rows = spark.createDataFrame([(str(i), float(i)) for i in range(50)], "product_id string, price double")
+    store.ProductStore(spark, root, buckets=64).upsert(rows)
+    for buckets in (32, None, 7):
+        shop = store.ProductStore(spark, root, buckets=buckets)
+        shop.upsert(rows.where("price < 20").withColumn("price", F.col("price") + 1000))
+        assert shop.width() == 64
+        assert sorted(r.product_id for r in shop.read().collect()) == sorted(str(i) for i in range(50))
+    shop.resize(8)
+    assert shop.width() == 8 and shop.read().count() == 50
+    shop.upsert(rows)
+    assert {(r.product_id, r.price) for r in shop.read().collect()} == {(str(i), float(i)) for i in range(50)}
+    fresh = store.ProductStore(spark, str(tmp_path / "new"))
+    fresh.replace(rows)
+    assert fresh.width() == store.MIN_BUCKETS
