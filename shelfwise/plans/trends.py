@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfwise.operators import trend
+from shelfwise.operators import forecast, trend
 from shelfwise.plans.catalog import HISTORY_SQL, PRODUCTS_SQL, held, price_history, products, table
 from shelfwise.plans.registry import query
 
@@ -68,6 +68,24 @@ def price_forecast(spark, sf):
     return forecast.withColumns({c: F.round(c, 4) for c in ("forecast", "lower", "upper")})
 
 
+@query(
+    "price_forecast_line",
+    HISTORY_SQL + BY_CATEGORY + TAIL + FORECAST + """
+    SELECT category, step, round(least(greatest(point, low), 2 * mean), 4) AS forecast, round(least(greatest(point - spread, low), 2 * mean), 4) AS lower,
+      round(least(greatest(point + spread, low), 2 * mean), 4) AS upper FROM f""",
+)
+def price_forecast_line(spark, sf):
+    """The seasonal fit with neither season nor bends: the straight line."""
+    found = forecast.seasonal_forecast(price_history(spark, sf), ["category"], "month", harmonics=0, breaks=0)
+    return found.select("category", "step", *[F.round(c, 4).alias(c) for c in ("forecast", "lower", "upper")])
+
+
+@query("price_forecast_seasonal")
+def price_forecast_seasonal(spark, sf):
+    """Monthly prices with a yearly season and four places where the trend may bend."""
+    return forecast.seasonal_forecast(price_history(spark, sf), ["category"], "month")
+
+
 POPULARITY = """, i AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY month) AS i FROM history),
 pop AS (SELECT category, count(*) AS n, regr_slope(reviews, i) AS rs, regr_slope(rating, i) AS gs, sum(reviews) AS total_reviews, avg(rating) AS avg_rating FROM i GROUP BY category),
 popular AS (SELECT category, CASE WHEN n < 5 THEN 'insufficient_data' WHEN rs > 2 THEN 'increasing' WHEN rs < -2 THEN 'decreasing' ELSE 'stable' END AS review_trend,
