@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark import inheritable_thread_target
+import pyarrow as pa
 from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -25,7 +25,7 @@ from shelfwise.session import cut_lineage
 
 CLUSTER_FEATURES = ("price", "rating", "reviews_count")
 CENTRE_BLOCK = 4096
-PARALLEL_RUNS = 4
+INITIAL = 2000  # rows that starting centres are chosen from
 
 
 def scaled_vectors(df: DataFrame, key: str, features: Sequence[str] = CLUSTER_FEATURES) -> DataFrame:
@@ -36,26 +36,86 @@ def scaled_vectors(df: DataFrame, key: str, features: Sequence[str] = CLUSTER_FE
     return assembler.transform(scaled).drop(*[f"{c}_z" for c in features])
 
 
-def _lookup(values: Sequence[int], at: Column) -> Column:
-    return F.get(F.array(*[F.lit(int(v)) for v in values]), at)
+class Centres(NamedTuple):
+    """Centres in ascending order, their cost (sum of squared distances), and the cost of every restart."""
 
+    centres: list[tuple[float, ...]]
+    cost: float
+    costs: list[float]
 
-def fit_kmeans(
-    vectors: DataFrame, k: int = 5, restarts: int = 10, seed: int = 42, max_iter: int = 300
-) -> KMeansModel:
-    """Best of several seeded runs by training cost; a few runs share the cluster at a time."""
-    # one shared copy: an unpersisted input would be held once per concurrent run
-    data = cut_lineage(vectors.select("features")).persist()
 
-    def run(i: int) -> KMeansModel:
-        return KMeans(k=k, maxIter=max_iter, seed=seed + i, featuresCol="features", predictionCol="cluster").fit(data)
+def spread_out(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """Starting centres: each next one drawn by its squared distance from those before."""
+    centres = [points[rng.integers(len(points))]]
+    gap = np.full(len(points), np.inf)
+    while len(centres) < k:
+        gap = np.minimum(gap, ((points - centres[-1]) ** 2).sum(1))
+        total = gap.sum()
+        centres.append(points[rng.choice(len(points), p=gap / total) if total else rng.integers(len(points))])
+    return np.array(centres)
+
+
+def _nearest(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    gaps = ((points[:, None, :] - centres[None, :, :]) ** 2).sum(-1)
+    best = gaps.argmin(1)
+    return best, gaps[np.arange(len(points)), best]
+
 
-    try:
-        with ThreadPoolExecutor(PARALLEL_RUNS) as pool:
-            models = list(pool.map(inheritable_thread_target(vectors.sparkSession)(run), range(restarts)))
-    finally:
-        data.unpersist()
-    return min(models, key=lambda m: m.summary.trainingCost)
+def fit_kmeans(
+    vectors: DataFrame, k: int = 5, restarts: int = 10, seed: int = 42, max_iter: int = 300, tol: float = 1e-10
+) -> Centres:
+    """The cheapest of several seeded runs, all of which move their centres in the same scan of the rows.
+
+    Every run starts from its own spread-out choice among at most ``INITIAL`` rows, drawn by hash.  A scan sums the rows
+    of every run's clusters inside the tasks, so what is shuffled and collected is one row per run, cluster and task.
+    An empty cluster keeps its centre.  Runs end when no centre moves by more than ``tol``, or after ``max_iter`` scans.
+    """
+    rows = cut_lineage(vectors.select(vector_to_array("features").alias("x")))
+    first = rows.orderBy(F.xxhash64("x", F.lit(seed)), "x").limit(INITIAL).collect()
+    if not first:
+        return Centres([], 0.0, [0.0] * restarts)
+    points = np.array([r["x"] for r in first], dtype=float)
+    d = points.shape[1]
+    centres = np.stack([spread_out(points, k, np.random.default_rng(seed + i)) for i in range(restarts)])
+    names = [f"s{i}" for i in range(d)]
+    schema = "run int, cluster int, n double, cost double, " + ", ".join(f"{n} double" for n in names)
+
+    def scan(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        shared = rows.sparkSession.sparkContext.broadcast(at)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = shared.value
+            n, cost, sums = np.zeros(own.shape[:2]), np.zeros(own.shape[:2]), np.zeros(own.shape)
+            for part in batches:
+                x = part.column(0).flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
+                for i in range(len(own)):
+                    best, gap = _nearest(x, own[i])
+                    n[i] += np.bincount(best, minlength=k)
+                    cost[i] += np.bincount(best, gap, minlength=k)
+                    np.add.at(sums[i], best, x)
+            if n.any():
+                runs, clusters = np.divmod(np.arange(n.size, dtype=np.int32), np.int32(k))
+                columns = [runs, clusters, n.ravel(), cost.ravel(), *sums.reshape(-1, sums.shape[2]).T]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["run", "cluster", "n", "cost", *names])
+
+        totals = [F.sum(c).alias(c) for c in ("n", "cost", *names)]
+        n, cost, sums = np.zeros(at.shape[:2]), np.zeros(at.shape[0]), np.zeros(at.shape)
+        for r in rows.mapInArrow(run, schema).groupBy("run", "cluster").agg(*totals).collect():
+            n[r["run"], r["cluster"]] = r["n"]
+            cost[r["run"]] += r["cost"]
+            sums[r["run"], r["cluster"]] = [r[c] for c in names]
+        shared.unpersist()
+        return n, cost, sums
+
+    for _ in range(max_iter):
+        n, cost, sums = scan(centres)
+        moved = np.where(n[:, :, None] > 0, sums / np.maximum(n, 1.0)[:, :, None], centres)
+        shift = np.abs(moved - centres).max()
+        centres = moved
+        if shift <= tol:
+            break
+    best = int(cost.argmin())
+    return Centres(sorted(tuple(float(v) for v in c) for c in centres[best]), float(cost[best]), [float(c) for c in cost])
 
 
 def fit_cluster_model(
@@ -67,12 +127,16 @@ def fit_cluster_model(
     return scaled_pipeline(cut_lineage(filled), features, estimator)
 
 
-def assign(model: KMeansModel, vectors: DataFrame) -> DataFrame:
-    """Cluster per row with labels in the order of the sorted centroids."""
-    centres = [tuple(c) for c in model.clusterCenters()]
-    order = sorted(range(len(centres)), key=lambda i: centres[i])
-    relabel = [order.index(i) for i in range(len(centres))]
-    return model.transform(vectors).withColumn("cluster", _lookup(relabel, F.col("cluster")))
+def assign(model: Centres, vectors: DataFrame) -> DataFrame:
+    """Cluster per row: the number of the nearest centre, the first of several."""
+    x = vector_to_array("features")
+    gap = lambda c: F.aggregate(
+        F.zip_with(x, F.lit(list(c)), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v
+    )
+    gaps = F.array(*[gap(c) for c in model.centres])
+    return vectors.withColumn("_gaps", gaps).withColumn(
+        "cluster", (F.array_position("_gaps", F.array_min("_gaps")) - 1).cast("int")
+    ).drop("_gaps")
 
 
 def hierarchical(vectors: DataFrame, k: int = 5, key: str = "product_id") -> DataFrame:

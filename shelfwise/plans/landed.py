@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from shelfwise.operators import cluster, competitive, model, prep, tables, ward
@@ -153,14 +154,40 @@ def appended_results(spark, sf):
 
 @query(
     "run_record",
-    "SELECT 'r1' AS run_id, 'completed' AS status, count(*) AS products_scraped, 4 AS features_count, 2 AS models_trained, 10 AS top_k_count FROM part",
+    """SELECT 'r1' AS run_id, CASE WHEN count(*) > 0 THEN 'completed' ELSE 'empty' END AS status, count(*) AS products_scraped,
+      CAST((count(p_retailprice) > 0)::INT + (count(p_size) > 0)::INT + (count(nullif(p_size, p_size)) > 0)::INT AS INTEGER) AS features_count,
+      CAST(count(DISTINCT p_type) AS INTEGER) AS models_trained, CAST(least(10, count(*)) AS INTEGER) AS top_k_count FROM part WHERE p_size > 25
+    UNION ALL SELECT 'r2', 'empty', 0, 0, 0, 0""",
 )
 def run_record(spark, sf):
+    """Run rows from what the runs left: result rows in the store, columns with values, one registered model a type."""
     root = scratch_path(spark, "runs")
-    store.append_results(store.run_row(spark, "r1", table(spark, sf, "part").count(), len(prep.FEATURES), 2, 10), root, "run_log")
+    for run, part in (("r1", table(spark, sf, "part").where("p_size > 25")), ("r2", table(spark, sf, "part").where("p_size < 0"))):
+        rows = part.select(F.col("p_partkey").cast("string").alias("product_id"), "p_retailprice", "p_size", F.lit(None).cast("int").alias("none"), "p_type")
+        rows = held(rows.withColumn("_score", F.col("p_retailprice")))
+        store.append_results(store.top_k_rows(rows.orderBy(F.desc("_score"), "product_id").limit(10), run), root, "top_k_results")
+        values = rows.agg(*[F.count(c).alias(c) for c in ("p_retailprice", "p_size", "none")]).first()
+        kept = spark.read.parquet(f"{root}/top_k_results").where(F.col("source") == run).count()
+        models = rows.select("p_type").distinct().count()
+        store.append_results(store.run_row(spark, run, rows.count(), sum(v > 0 for v in values), models, kept), root, "run_log")
     return spark.read.parquet(f"{root}/run_log").drop("created_at")
 
 
+@query(
+    "json_round_trip",
+    "SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS name, p_retailprice AS price, CASE WHEN p_size % 2 = 0 THEN p_size END AS quantity, p_size > 10 AS availability FROM part",
+)
+def json_round_trip(spark, sf):
+    """Products written as a JSON artifact and read back by the fixed schema; absent values stay absent."""
+    rows = table(spark, sf, "part").select(
+        F.col("p_partkey").cast("string").alias("product_id"), F.col("p_name").alias("name"), F.col("p_retailprice").alias("price"),
+        F.when(F.col("p_size") % 2 == 0, F.col("p_size")).alias("quantity"), (F.col("p_size") > 10).alias("availability"),
+    )
+    path = scratch_path(spark, "artifact")
+    store.write_records(rows, path)
+    return store.read_products_json(spark, path, lines=True).select(*rows.columns)
+
+
 @query(
     "task_results",
     """SELECT CAST(o_orderkey AS VARCHAR) AS task_id, CASE o_orderkey % 3 WHEN 0 THEN 'completed' WHEN 1 THEN 'failed' ELSE 'pending' END AS status,
@@ -179,10 +206,17 @@ def task_results(spark, sf):
 
 @query(
     "analysis_status",
-    "SELECT a AS analysis, (SELECT count(*) FROM part) AS products, 'completed' AS status FROM (VALUES ('comparison'), ('emerging'), ('recommendations')) v(a)",
+    """WITH s AS (SELECT 'all' AS part, count(*) AS products FROM part UNION ALL SELECT 'one', count(*) FILTER (WHERE p_partkey = 1) FROM part
+      UNION ALL SELECT 'none', count(*) FILTER (WHERE p_partkey < 0) FROM part)
+    SELECT part, analysis, products, CASE WHEN products = 0 THEN 'no_data' WHEN products < needs THEN 'insufficient_data' ELSE 'completed' END AS status
+    FROM s, (VALUES ('comparison', 2), ('emerging', 1), ('recommendations', 1)) v(analysis, needs)""",
 )
 def analysis_status(spark, sf):
-    return competitive.competitive_analysis(products(spark, sf), "full")["status"]
+    """Status of every analysis over all products, over a single one, and over none."""
+    catalog = products(spark, sf)
+    parts = {"all": catalog, "one": catalog.where("product_id = '1'"), "none": catalog.where("product_id = 'none'")}
+    rows = [competitive.competitive_analysis(df, "full")["status"].select(F.lit(n).alias("part"), "analysis", "products", "status") for n, df in parts.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
 SPLIT = LABELLED + """, r AS (SELECT *, row_number() OVER (PARTITION BY is_top ORDER BY md5(product_id || ':split:42'), product_id) - 1 AS position, count(*) OVER (PARTITION BY is_top) AS total FROM lab),
@@ -193,7 +227,7 @@ def fitted_and_test(spark, sf):
     rows = held(model.stratified_split(labelled(spark, sf), "product_id", "is_top"), "product_id", *DENSITY, "is_top", "is_test")
     train = rows.where("NOT is_test").withColumn("label", F.col("is_top").cast("double"))
     shelf = model.ModelShelf()
-    shelf.add("logistic", model.scaled_pipeline(train, DENSITY, LogisticRegression(maxIter=20)))
+    shelf.add("logistic", model.scaled_pipeline(train, DENSITY, LogisticRegression()))
     return shelf, rows.where("is_test")
 
 
@@ -207,25 +241,49 @@ def scaled_by_train(spark, sf):
     return shelf.predict(test, "logistic").select("product_id", *[F.round(f"{c}_z", 6).alias(f"{c}_z") for c in DENSITY])
 
 
-@query("predicted_by_name", SPLIT + " SELECT product_id, true AS is_label FROM parts WHERE is_test")
+@query(
+    "predicted_by_name",
+    SPLIT
+    + """ , fit AS (SELECT regr_slope(CAST(is_top AS DOUBLE), CAST(rating AS DOUBLE)) AS a, regr_intercept(CAST(is_top AS DOUBLE), CAST(rating AS DOUBLE)) AS b,
+      regr_slope(CAST(is_top AS DOUBLE), CAST(reviews_count AS DOUBLE)) AS c, regr_intercept(CAST(is_top AS DOUBLE), CAST(reviews_count AS DOUBLE)) AS d FROM train)
+    SELECT product_id, round(a * rating + b, 5) AS by_rating, round(c * reviews_count + d, 5) AS by_reviews FROM parts, fit WHERE is_test""",
+)
 def predicted_by_name(spark, sf):
-    shelf, test = fitted_and_test(spark, sf)
-    return shelf.predict(test, "logistic").select("product_id", F.col("prediction").isin(0.0, 1.0).alias("is_label"))
+    """Two straight-line models, stored, loaded as the latest of their name, and called by it."""
+    rows = held(model.stratified_split(labelled(spark, sf), "product_id", "is_top"), "product_id", *DENSITY, "is_top", "is_test")
+    train = rows.where("NOT is_test").withColumn("label", F.col("is_top").cast("double"))
+    test, root, shelf = rows.where("is_test"), scratch_path(spark, "shelf"), model.ModelShelf()
+    for name, feature in (("by_rating", "rating"), ("by_reviews", "reviews_count")):
+        for version, some in (("old", train.where("price > 100")), ("new", train)):
+            store.save_model(model.scaled_pipeline(some, [feature], LinearRegression(solver="normal")), root, name, version)
+        shelf.add(name, store.load_model(spark, root, name))
+    found = [shelf.predict(test, n).select("product_id", F.round("prediction", 5).alias(n)) for n in ("by_rating", "by_reviews")]
+    return found[0].join(found[1], "product_id")
 
 
-@query("kmeans_checks", PRODUCTS_SQL + "SELECT count(*) AS n, 5 AS clusters, count(*) AS at_nearest FROM products")
+@query(
+    "kmeans_checks",
+    PRODUCTS_SQL + "SELECT count(*) AS n, 5 AS clusters, count(*) AS at_nearest, 10 AS restarts, true AS centres_are_means, true AS least_cost, true AS cost_of_rows FROM products",
+)
 def kmeans_checks(spark, sf):
-    """Rows, clusters, and rows that stand at the nearest of the fitted centres."""
-    vectors = cluster.scaled_vectors(held(products(spark, sf), "product_id", *DENSITY), "product_id")
-    fitted = cluster.fit_kmeans(vectors, restarts=2)
-    centres = sorted(tuple(float(x) for x in c) for c in fitted.clusterCenters())
-    labelled_rows = cluster.assign(fitted, vectors).withColumn("f", vector_to_array("features"))
-    gaps = [sum((F.col("f")[i] - x) * (F.col("f")[i] - x) for i, x in enumerate(c)) for c in centres]
+    """Rows at the nearest centre, centres that are the means of their rows, and the least cost of ten restarts."""
+    vectors = held(cluster.scaled_vectors(held(products(spark, sf), "product_id", *DENSITY), "product_id"))
+    fitted = cluster.fit_kmeans(vectors)
+    rows = held(cluster.assign(fitted, vectors).withColumn("f", vector_to_array("features")))
+    gaps = [sum((F.col("f")[i] - x) * (F.col("f")[i] - x) for i, x in enumerate(c)) for c in fitted.centres]
     own = F.element_at(F.array(*gaps), F.col("cluster") + 1)
-    return labelled_rows.agg(
+    means = rows.groupBy("cluster").agg(*[F.avg(F.col("f")[i]).alias(f"m{i}") for i in range(len(DENSITY))])
+    centres = spark.createDataFrame([(i, *c) for i, c in enumerate(fitted.centres)], "cluster int, c0 double, c1 double, c2 double")
+    off = F.greatest(*[F.abs(F.col(f"m{i}") - F.col(f"c{i}")) for i in range(len(DENSITY))])
+    means = means.join(centres, "cluster").agg((F.max(off) < 1e-6).alias("centres_are_means"))
+    counts = rows.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_distinct("cluster").cast("int").alias("clusters"),
         F.count_if(own <= F.least(*gaps) + 1e-9).alias("at_nearest"),
+        (F.abs(F.sum(own) - F.lit(fitted.cost)) < 1e-6 * F.lit(fitted.cost)).alias("cost_of_rows"),
+    )
+    return counts.join(means).select(  # two tables of one row
+        "*", F.lit(len(fitted.costs)).alias("restarts"), F.lit(fitted.cost == min(fitted.costs)).alias("least_cost")
     )
 
 

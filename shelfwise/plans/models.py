@@ -118,7 +118,7 @@ def hierarchical(spark, sf):
 def segment_names(spark, sf):
     catalog = held(products(spark, sf), "product_id", *DENSITY)
     vectors = cluster.scaled_vectors(catalog, "product_id")
-    return cluster.name_segments(cluster.assign(cluster.fit_kmeans(vectors, restarts=3), vectors))
+    return cluster.name_segments(cluster.assign(cluster.fit_kmeans(vectors), vectors))
 
 
 def _pca_sql() -> str:

@@ -28,9 +28,12 @@ SAMPLE_COLUMNS = (
 )
 
 
-def read_products_json(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON list of records with the fixed product schema."""
-    return spark.read.schema(PRODUCT_SCHEMA).option("multiLine", True).json(path)
+def read_products_json(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """A JSON list of records, or with ``lines`` one record a line as ``write_records`` leaves them, by the product schema.
+
+    Lines are read in parallel; a list is one task a file.
+    """
+    return spark.read.schema(PRODUCT_SCHEMA).option("multiLine", not lines).json(path)
 
 
 def write_records(df: DataFrame, path: str, fmt: str = "json") -> None:

@@ -106,12 +106,28 @@ def blobs(spark):
 
 
 def test_kmeans(blobs):
-    _, df = blobs
-    model = cluster.fit_kmeans(df.drop("cluster"), 3, restarts=3)
+    points, df = blobs
+    model = cluster.fit_kmeans(df.drop("cluster"), 3, restarts=4)
     got = {r.id: r.cluster for r in cluster.assign(model, df.drop("cluster")).collect()}
     assert [got[i] for i in range(120)] == [i // 40 for i in range(120)]
-    single = cluster.fit_kmeans(df.drop("cluster"), 3, restarts=1)
-    assert model.summary.trainingCost <= single.summary.trainingCost
+    assert np.allclose(model.centres, [points[40 * c : 40 * c + 40].mean(0) for c in range(3)])
+    assert model.cost == pytest.approx(sum(((points[40 * c : 40 * c + 40] - model.centres[c]) ** 2).sum() for c in range(3)))
+    assert len(model.costs) == 4 and model.cost == min(model.costs)
+    assert cluster.fit_kmeans(df.limit(0), 3).centres == []
+
+
+def test_restarts_equal_runs_of_their_own(blobs):
+    """Each restart alone, by plain Lloyd steps from the same starting centres."""
+    points, df = blobs
+    model = cluster.fit_kmeans(df.drop("cluster"), 4, restarts=3, seed=5)
+    first = df.select("e", F.xxhash64("e", F.lit(5)).alias("h")).orderBy("h", "e").collect()
+    start = np.array([r.e for r in first])
+    for i, cost in enumerate(model.costs):
+        centres = cluster.spread_out(start, 4, np.random.default_rng(5 + i))
+        for _ in range(100):
+            best = ((points[:, None] - centres[None]) ** 2).sum(-1).argmin(1)
+            centres = np.array([points[best == c].mean(0) if (best == c).any() else centres[c] for c in range(4)])
+        assert cost == pytest.approx(((points - centres[best]) ** 2).sum())
 
 
 def plain_ward(points, k):
