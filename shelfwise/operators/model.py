@@ -14,13 +14,14 @@ from pyspark.ml.classification import (
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import seeded_draw, seeded_hash
 from shelfwise.functions.ordering import number_rows, quantiles
+from shelfwise.operators.boosting import Boosted, fit_boosted
 from shelfwise.operators.metrics import classification_metrics, regression_metrics, roc_auc, roc_auc_one_vs_rest
 from shelfwise.operators.prep import FEATURES, feature_columns
 from shelfwise.session import cut_lineage
@@ -55,9 +56,8 @@ def scaled_pipeline(train: DataFrame, features: Sequence[str], estimator) -> Pip
 def classifier(kind: str, n_rows: int, n_classes: int = 2, seed: int = 42):
     if kind == "random_forest":
         return RandomForestClassifier(numTrees=100, maxDepth=10, minInstancesPerNode=2, seed=seed)
-    if kind in ("xgboost", "gradient_boosting"):
-        depth = 6 if kind == "xgboost" else 3
-        boosted = GBTClassifier(maxIter=100, maxDepth=depth, stepSize=0.1, seed=seed)
+    if kind == "gradient_boosting":
+        boosted = GBTClassifier(maxIter=100, maxDepth=3, stepSize=0.1, seed=seed)
         return boosted if n_classes == 2 else OneVsRest(classifier=boosted)
     if kind == "logistic":
         return LogisticRegression(maxIter=1000, regParam=1.0 / max(n_rows, 1), elasticNetParam=0.0, standardization=False)
@@ -69,8 +69,6 @@ def regressor(kind: str, seed: int = 42):
         return RandomForestRegressor(
             numTrees=100, maxDepth=10, minInstancesPerNode=2, featureSubsetStrategy="all", seed=seed
         )
-    if kind == "xgboost":
-        return GBTRegressor(maxIter=100, maxDepth=6, stepSize=0.1, seed=seed)
     raise ValueError(f"unknown model type: {kind}")
 
 
@@ -89,7 +87,7 @@ def train_classifier(
     seed: int = 42,
     min_rows: int = 0,
     stratify_below: int = 50,
-) -> tuple[PipelineModel | None, DataFrame]:
+) -> tuple[PipelineModel | Boosted | None, DataFrame]:
     """Fit on 80 %, report accuracy, weighted precision/recall/F1 and ROC-AUC on 20 %.
 
     The split keeps the classes' shares if there are fewer than ``stratify_below`` of them.
@@ -99,7 +97,11 @@ def train_classifier(
     sizes = (train.count(), test.count())
     if sum(sizes) < min_rows or len(classes) < 2:
         return None, df.sparkSession.range(1).select(F.lit("insufficient_data").alias("status"))
-    model = scaled_pipeline(train, features, classifier(kind, sizes[0], len(classes), seed))
+    if kind == "xgboost":
+        task, outputs = ("binary", 2) if max(classes) <= 1 else ("softmax", max(classes) + 1)
+        model = fit_boosted(train, features, task, outputs)
+    else:
+        model = scaled_pipeline(train, features, classifier(kind, sizes[0], len(classes), seed))
     predicted = model.transform(test)
     scores = classification_metrics(predicted)
     if "probability" in predicted.columns:
@@ -126,9 +128,12 @@ def train_regressor(
     features: Sequence[str] = ("rating", "reviews_count", "quantity"),
     key: str = "product_id",
     seed: int = 42,
-) -> tuple[PipelineModel, DataFrame]:
+) -> tuple[PipelineModel | Boosted, DataFrame]:
     train, test = _prepare(df, key, features, label, False, seed)
-    model = scaled_pipeline(train, features, regressor(kind, seed))
+    if kind == "xgboost":
+        model = fit_boosted(train, features, "squared")
+    else:
+        model = scaled_pipeline(train, features, regressor(kind, seed))
     report = regression_metrics(model.transform(test))
     return model, report.select(
         F.lit(kind).alias("model_type"), "*", F.lit(train.count()).alias("n_train"), F.lit(test.count()).alias("n_test")
@@ -139,9 +144,9 @@ class ModelShelf:
     """Trained models by name."""
 
     def __init__(self):
-        self._models: dict[str, PipelineModel] = {}
+        self._models: dict[str, PipelineModel | Boosted] = {}
 
-    def add(self, name: str, model: PipelineModel) -> None:
+    def add(self, name: str, model: PipelineModel | Boosted) -> None:
         self._models[name] = model
 
     def predict(self, df: DataFrame, name: str) -> DataFrame:
