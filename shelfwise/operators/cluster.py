@@ -24,7 +24,7 @@ from shelfwise.operators.ward import ward
 from shelfwise.session import cut_lineage
 
 CLUSTER_FEATURES = ("price", "rating", "reviews_count")
-CENTRE_BLOCK = 4096
+CENTRE_BLOCK, CENTRE_ROWS = 4096, 32  # centres compared at a time, from the driver's and from the task's side
 INITIAL = 2000  # rows that starting centres are chosen from
 
 
@@ -190,12 +190,14 @@ def _worst_overlap(profile: DataFrame) -> DataFrame:
 
         def compare(batches: Iterator[pd.DataFrame], names=names, centres=centres, spreads=spreads):
             for pdf in batches:
-                worst = []
-                for label, centre, spread in zip(pdf.label, pdf.centre, pdf.spread):
-                    other = names != label
-                    gap = np.sqrt(((centres[other] - np.asarray(centre)) ** 2).sum(-1))
-                    ratio = (spreads[other] + spread) / np.where(gap == 0, np.nan, gap)
-                    worst.append(float(np.nanmax(ratio)) if np.isfinite(ratio).any() else 0.0)
+                worst = np.zeros(len(pdf))
+                own, wide, labels = np.stack(pdf.centre.to_numpy()), pdf.spread.to_numpy(), pdf.label.to_numpy()
+                for at in range(0, len(pdf), CENTRE_ROWS):
+                    some = slice(at, at + CENTRE_ROWS)
+                    gap = np.sqrt(((own[some, None, :] - centres[None, :, :]) ** 2).sum(-1))
+                    far = (gap > 0) & (labels[some, None] != names[None, :])
+                    ratio = np.where(far, (spreads[None, :] + wide[some, None]) / np.where(far, gap, 1.0), 0.0)
+                    worst[some] = ratio.max(axis=1)
                 yield pd.DataFrame({"label": pdf.label, "worst": worst})
 
         if rows:

@@ -247,7 +247,7 @@ def ward(
     last = chain_merges(np.array([[r[c] for c in state.f] for r in left]), np.array([r["w"] for r in left]))
     found = spark.createDataFrame([(names[a], names[b], c) for a, b, c in last], fields)
     merges = reduce(DataFrame.unionByName, [*steps, found])
-    if count >= k:
+    if count >= k or not steps:
         heads = cut_labels(len(left), last, k)
         inside = [(names[h], names[i], 0.0) for i, h in enumerate(heads) if h != i]
         edges = reduce(DataFrame.unionByName, [*steps, spark.createDataFrame(inside, fields)])
