@@ -27,16 +27,33 @@ PENALTY = 20.0  # nats that a change of language costs
 UNKNOWN = "und"
 
 
-def _numerals() -> str:
+def _numerals() -> list[tuple[int, int]]:
     """Ranges of the characters that patterns take for word characters without a digit, and that are no letters."""
     odd = [c for c in range(0x80, sys.maxunicode + 1) if (t := chr(c)).isnumeric() and not t.isalpha() and not t.isdecimal()]
     starts = [c for i, c in enumerate(odd) if i == 0 or odd[i - 1] != c - 1]
     ends = [c for i, c in enumerate(odd) if i + 1 == len(odd) or odd[i + 1] != c + 1]
-    return "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends))
+    return list(zip(starts, ends))
 
 
-LETTER = rf"[^\W\d_{_numerals()}]"
+NUMERALS = _numerals()
+LETTER = r"[^\W\d_" + "".join(f"{chr(a)}-{chr(b)}" for a, b in NUMERALS) + "]"
 WORD = re.compile(rf"{LETTER}+(?:['’]{LETTER}+)*")
+PLAIN_WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")  # the same, and quicker, for texts without such numerals
+
+
+def word_patterns():
+    """A function that gives the pattern of a text's words."""
+    odd = np.zeros(sys.maxunicode + 1, dtype=bool)
+    for a, b in NUMERALS:
+        odd[a : b + 1] = True
+
+    def pattern(text: str) -> re.Pattern:
+        if text.isascii() or not odd[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)].any():
+            return PLAIN_WORD
+        return WORD
+
+    return pattern
+
 
 # fixed values: first code points of script ranges (Unicode blocks) and the script that begins there
 SCRIPT_EDGES = (
@@ -115,10 +132,12 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Mo
             np.add.at(own, SLOTS + word_scripts(words), times)
 
         seen: dict[str, Counter] = {}
+        pattern = word_patterns()
         for part in pieces(batches):
             for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 counted = seen.setdefault(lang, Counter())
-                counted.update(WORD.findall(text.lower()))
+                low = text.lower()
+                counted.update(pattern(low).findall(low))
                 if len(counted) > CACHE:
                     add(lang, seen.pop(lang))
         for lang, counted in seen.items():
@@ -170,8 +189,9 @@ def viterbi(scores: np.ndarray, penalty: float) -> np.ndarray:
     return np.array(path[::-1])
 
 
-def label_spans(text: str | None, model: Model, score_of, penalty: float) -> tuple[str, float, list[dict]]:
-    words = WORD.findall(text or "")
+def label_spans(text: str | None, model: Model, score_of, penalty: float, pattern=None) -> tuple[str, float, list[dict]]:
+    word = pattern(text or "") if pattern else WORD
+    words = word.findall(text or "")
     if not words or not model.languages:
         return UNKNOWN, 0.0, []
     path = viterbi(score_of(" ".join(words).lower().split(" ")), penalty)
@@ -180,10 +200,10 @@ def label_spans(text: str | None, model: Model, score_of, penalty: float) -> tup
     lang = int(share.argmax())
     edges = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist(), len(words)]
     if len(edges) == 2:
-        first, last = WORD.search(text).start(), text.rindex(words[-1]) + len(words[-1])
+        first, last = word.search(text).start(), text.rindex(words[-1]) + len(words[-1])
         places = [(first, last)]
     else:
-        at = [m.span() for m in WORD.finditer(text)]
+        at = [m.span() for m in word.finditer(text)]
         places = [(at[a][0], at[b - 1][1]) for a, b in zip(edges, edges[1:])]
     spans = [{"start": p, "end": q, "lang": model.languages[path[a]]} for (p, q), a in zip(places, edges)]
     return model.languages[lang], float(share[lang] / share.sum()), spans
@@ -227,9 +247,9 @@ def label_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*shared.value)
-        score_of = _scorer(model)
+        score_of, pattern = _scorer(model), word_patterns()
         for part in pieces(batches, 500):
-            found = [label_spans(t, model, score_of, penalty) for t in part.column(1).to_pylist()]
+            found = [label_spans(t, model, score_of, penalty, pattern) for t in part.column(1).to_pylist()]
             spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -252,10 +272,10 @@ def keep_identified(docs: DataFrame, model: Model, penalty: float = PENALTY, tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        score_of = _scorer(model)
+        score_of, pattern = _scorer(model), word_patterns()
         for part in pieces(batches, 500):
             texts = part.column(place).to_pylist()
-            yield part.filter(pa.array([label_spans(t, model, score_of, penalty)[0] != UNKNOWN for t in texts], pa.bool_()))
+            yield part.filter(pa.array([label_spans(t, model, score_of, penalty, pattern)[0] != UNKNOWN for t in texts], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -94,6 +94,9 @@ def test_letterless_texts_have_no_language(spark):
     assert [r.lang_pred != "und" for r in got.orderBy("doc_id").collect()] == [False, False, False, False, True]
     assert langid.keep_identified(spark.createDataFrame([(t,) for t in texts], "text string"), model).count() == 1
     assert all(bool(langid.WORD.match(chr(c))) == unicodedata.category(chr(c)).startswith("L") for c in range(0x3000))
+    pattern = langid.word_patterns()
+    for text in [*texts, "plain", "Ärger ³ x", "日本 ㊿"]:
+        assert pattern(text).findall(text) == langid.WORD.findall(text)
 
 
 def test_model_travels_without_the_package(spark, tmp_path):
@@ -102,10 +105,10 @@ def test_model_travels_without_the_package(spark, tmp_path):
     shared = model.shared(spark)
     (tmp_path / "b.pkl").write_bytes(pickle.dumps(shared.value))
 
-    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps((langid.Model, langid._scorer, langid.label_spans)))
+    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps((langid.Model, langid._scorer, langid.label_spans, langid.word_patterns)))
     code = (
-        "import pickle; M, s, f = pickle.load(open('f.pkl', 'rb')); m = M(*pickle.load(open('b.pkl', 'rb')));"
-        "print(f('one two', m, s(m), 20.0)[0])"
+        "import pickle; M, s, f, w = pickle.load(open('f.pkl', 'rb')); m = M(*pickle.load(open('b.pkl', 'rb')));"
+        "print(f('one two', m, s(m), 20.0, w())[0])"
     )
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=60)
     assert done.stdout.strip() == "a", done.stderr
