@@ -175,7 +175,7 @@ def drop_repeated_windows(
         "stretches",
     )
     later = (
-        alive.join(firsts.where("times > 1").select("seed", "stretch", "first"), ["seed", "stretch"])
+        alive.join(written(firsts.where("times > 1").select("seed", "stretch", "first"), "repeated"), ["seed", "stretch"])
         .where((F.col("key") != F.col("first.key")) | (F.col("start") != F.col("first.start")))
         .select("key", "start", "n")
     )
@@ -192,8 +192,9 @@ def drop_repeated_windows(
         once.join(unlike, "key").select("key", "_text", "spans").mapInArrow(_windows(window), fields), "windows"
     )
     earliest = extended.groupBy("seed", "whole").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"))
+    earliest = written(earliest.where("times > 1").select("seed", "whole", "first"), "earliest")
     single = (
-        extended.join(earliest.where("times > 1"), ["seed", "whole"])
+        extended.join(earliest, ["seed", "whole"])
         .where((F.col("key") != F.col("first.key")) | (F.col("start") != F.col("first.start")))
         .select("key", "start", F.lit(1).alias("n"))
     )
