@@ -25,7 +25,7 @@ def _block_counts(cutter: PreTokens, texts: list[str]) -> np.ndarray:
     docs, tokens, times, extra = [], [], [], np.zeros(len(texts), dtype=np.int64)
     for d, text in enumerate(texts):
         cut = cutter.split(text)
-        if cut is None:  # outside the plain range: the library takes the whole text
+        if cut is None:  # special strings: the library takes the whole text
             extra[d] = len(cutter.encode(text))
             continue
         frequency = Counter(cut)

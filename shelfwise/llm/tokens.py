@@ -1,8 +1,9 @@
 """Token ids and piece counts of whole texts, with what they have in common looked up once inside a task.
 
 What lies in a plain Latin range is cut into pre-tokens here, by patterns that equal the library's own on that range;
-each distinct pre-token then goes through the library once.  Anything else (other scripts, combining marks, rare white
-space, special strings) goes through the library whole: whole words for ids, whole texts for counts.
+each distinct pre-token then goes through the library once.  What lies outside (other scripts, combining marks, rare
+white space) is cut by the library: for counts into its pre-tokens, for ids it takes whole words.  Texts with special
+strings go through it whole.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 WORD_PATTERN = rf"[a-zß-öø-ɏ]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^\s{LETTERS}0-9]+"
 BYTE_PATTERN = rf" ?[{LETTERS}]+| ?[0-9]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+"
 
+READY = "\0"  # stands in no pre-token of the plain range; before one that is written as the model reads it
 OTHER = r"[^\t\n\r -~À-įı-ɏ]"  # a character outside the plain range
 
 
@@ -55,9 +57,17 @@ class PreTokens:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def split(self, text: str) -> list[str] | None:
-        """Pre-tokens in order, or None for a text that the library has to take whole."""
-        if self.other(text) or self.holds_special(text):
+        """Pre-tokens in order, or None for a text with special strings, which the library has to take whole.
+
+        Those of a text outside the plain range come from the library's own normaliser and pre-tokenizer, as the model
+        reads them, behind a mark.
+        """
+        if self.holds_special(text):
             return None
+        if self.other(text):
+            own = self.tokenizer.normalizer
+            cut = self.tokenizer.pre_tokenizer.pre_tokenize_str(own.normalize_str(text) if own else text)
+            return [READY + t for t, _ in cut]
         return self.findall(text.lower() if self.lower else text)
 
     def tokens(self, distinct: list[str]) -> list:
@@ -65,7 +75,9 @@ class PreTokens:
         model, out = self.tokenizer.model.tokenize, [None] * len(distinct)
         rest = []
         for i, t in enumerate(distinct):
-            if t.isascii() and not t.isspace():
+            if t[0] == READY:
+                out[i] = model(t[1:])
+            elif t.isascii() and not t.isspace():
                 out[i] = model("Ġ" + t[1:] if t[0] == " " else t)
             else:
                 rest.append(i)

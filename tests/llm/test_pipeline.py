@@ -68,3 +68,10 @@ def test_secrets_are_masked(spark):
 def test_whole_run(spark):
     got = pipeline.run(spark, SF).toPandas()
     assert len(got) > 0 and (got.groupby("sequence_id").length.sum() <= 4096).all()
+
+
+def test_columns_named_like_its_own(spark, documents):
+    docs = documents.limit(40).withColumns({n: F.lit("mine") for n in ("_key", "_all", "_text", "_places")})
+    for name, stage in pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, SF), name)
+        assert {tuple(r) for r in docs.select("_key", "_all", "_text", "_places").distinct().collect()} == {("mine",) * 4}

@@ -34,6 +34,7 @@ def test_pre_tokens_give_the_librarys_ids(path):
     for text in TEXTS + ["".join(rng.choice(parts) for _ in range(60)) for _ in range(300)]:
         want = library.encode(text, add_special_tokens=False).ids
         cut = cutter.split(text)
+        assert (cut is None) == ("<|endoftext|>" in text or "<|startoftext|>" in text)
         if cut is not None:
             assert sum(cutter.counts(cut)) == len(want), text
         if path == WORD:
