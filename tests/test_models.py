@@ -77,3 +77,20 @@ def test_trending_label(labelled):
 
 def test_folds(labelled):
     assert model.cross_validate(labelled, "y", "logistic", folds=3) > 0.8
+
+
+def holed(labelled):
+    rating = F.when(F.col("product_id").cast("int") % 19 != 3, F.col("rating"))
+    return labelled.withColumn("rating", rating).withColumn("label", F.col("y").cast("double"))
+
+
+def test_scaled_pipeline_with_missing_features(labelled):
+    rows = holed(labelled)
+    shelf = model.ModelShelf()
+    shelf.add("lr", model.scaled_pipeline(rows, ["price", "rating"], model.classifier("logistic", 400)))
+    mean, deviation = rows.agg(F.avg("rating"), F.stddev_pop("rating")).first()
+    found = shelf.predict(rows, "lr").collect()
+    assert len(found) == 400
+    for r in found:
+        assert (r.rating_z is None) == (r.rating is None) == (r.prediction is None)
+        assert r.rating is None or abs(r.rating_z - (r.rating - mean) / deviation) < 1e-9
