@@ -1,4 +1,5 @@
 import pytest
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from shelfwise.operators import model
@@ -94,3 +95,12 @@ def test_scaled_pipeline_with_missing_features(labelled):
     for r in found:
         assert (r.rating_z is None) == (r.rating is None) == (r.prediction is None)
         assert r.rating is None or abs(r.rating_z - (r.rating - mean) / deviation) < 1e-9
+
+
+def test_line_through_rows_with_missing_features(spark, labelled, tmp_path):
+    rows = holed(labelled)
+    store.save_model(model.scaled_pipeline(rows, ["rating"], LinearRegression(solver="normal")), str(tmp_path), "line", "1")
+    found = store.load_model(spark, str(tmp_path), "line").transform(rows)
+    a, b = rows.agg(F.regr_slope("label", "rating"), F.regr_intercept("label", "rating")).first()
+    for r in found.collect():
+        assert r.prediction is None if r.rating is None else abs(r.prediction - (a * r.rating + b)) < 1e-6
