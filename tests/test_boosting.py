@@ -67,3 +67,20 @@ def test_predictions(spark):
     assert all(len(e) <= boosting.BINS - 1 for e in model.edges)
     gaps = spark.createDataFrame([(None, 1.0, None)], "a double, b double, c double")
     assert model.transform(gaps).first().prediction == model.transform(gaps.fillna(0.0)).first().prediction
+
+
+@pytest.mark.parametrize("task, outputs", [("softmax", 3), ("binary", 1), ("squared", 1)])
+def test_a_level_of_all_outputs_is_one_job(spark, task, outputs):
+    """Trees grown by jobs equal those grown in the driver, over more rounds than margins are kept unwritten."""
+    rng = np.random.default_rng(11)
+    x = rng.integers(0, 30, (600, 3))
+    signal = x[:, 0] + 3.0 * (x[:, 1] > 14) + rng.normal(0, 1, 600)
+    y = {"binary": (signal > 15).astype(float), "softmax": np.digitize(signal, [9, 21]).astype(float), "squared": signal}[task]
+    df, rounds, depth = frame(spark, x, y), boosting.WRITTEN + 2, 3
+    spark.sparkContext.setJobGroup(f"boosted-{task}", "")
+    spread = boosting.fit_boosted(df, ["a", "b", "c"], task, 3, rounds=rounds, depth=depth, few=0)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"boosted-{task}"))
+    spark.sparkContext.setJobGroup("rest", "")
+    held = boosting.fit_boosted(df, ["a", "b", "c"], task, 3, rounds=rounds, depth=depth)
+    assert spread.margins(x.astype(float)) == pytest.approx(held.margins(x.astype(float)), abs=1e-8)
+    assert jobs <= rounds * depth + 30
