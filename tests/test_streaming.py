@@ -2,6 +2,7 @@ import glob
 import os
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,6 +173,49 @@ def test_lifecycle_of_tasks(spark, tmp_path, cuts):
     )
 
 
+def calls(processor, *args):
+    """Calls into the state that a bucket's rows cost, counted on a stand-in for the handle."""
+    count, box = [0], {}
+
+    class Value:
+        def exists(self):
+            count[0] += 1
+            return "v" in box
+
+        def get(self):
+            count[0] += 1
+            return box["v"]
+
+        def update(self, v):
+            count[0] += 1
+            box["v"] = v
+
+    class Handle:
+        def getValueState(self, *_):
+            return Value()
+
+        def listTimers(self):
+            count[0] += 1
+            return iter([])
+
+        def registerTimer(self, _):
+            count[0] += 1
+
+    own = processor(*args)
+    own.init(Handle())
+    return own, count
+
+
+def test_state_calls_do_not_grow_with_the_keys():
+    for n in (10, 1000):
+        rows = pd.DataFrame({"source": [f"s{i}" for i in range(n)], "item": "x", "ts_ms": range(n)})
+        own, count = calls(keyed.FlushBuffer, 5, 1000)
+        assert list(own.handleInputRows((0,), iter([rows]), None)) == [] and count[0] == 4
+        tasks = pd.DataFrame({"task": [f"s{i}" for i in range(n)], "event": "started", "arrival": 0, "ts_ms": range(n)})
+        own, count = calls(keyed.Lifecycle, 1000, 3)
+        assert len(pd.concat(own.handleInputRows((0,), iter([tasks]), None))) == n and count[0] == 4
+
+
 def test_sessions(spark, tmp_path):
     path = str(tmp_path / "log")
     times = [0, 10, 20, 200, 205]
