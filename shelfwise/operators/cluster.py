@@ -26,6 +26,7 @@ from shelfwise.session import cut_lineage
 CLUSTER_FEATURES = ("price", "rating", "reviews_count")
 CENTRE_BLOCK, CENTRE_ROWS = 4096, 32  # centres compared at a time, from the driver's and from the task's side
 INITIAL = 2000  # rows that starting centres are chosen from
+TASK_ROWS = 4_000_000  # rows that a task is to hold at most
 
 
 def scaled_vectors(df: DataFrame, key: str, features: Sequence[str] = CLUSTER_FEATURES) -> DataFrame:
@@ -56,9 +57,18 @@ def spread_out(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarr
 
 
 def _nearest(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    gaps = ((points[:, None, :] - centres[None, :, :]) ** 2).sum(-1)
-    best = gaps.argmin(1)
-    return best, gaps[np.arange(len(points)), best]
+    """Number of the nearest centre, the first of several, and its squared distance; ``points`` by feature."""
+    best, least = np.zeros(points.shape[1], dtype=np.intp), np.full(points.shape[1], np.inf)
+    for i, centre in enumerate(centres):
+        gap = np.zeros(points.shape[1])
+        for x, c in zip(points, centre):
+            x = x - c
+            x *= x
+            gap += x
+        nearer = gap < least
+        best[nearer] = i
+        np.minimum(least, gap, out=least)
+    return best, least
 
 
 def fit_kmeans(
@@ -66,9 +76,10 @@ def fit_kmeans(
 ) -> Centres:
     """The cheapest of several seeded runs, all of which move their centres in the same scan of the rows.
 
-    Every run starts from its own spread-out choice among at most ``INITIAL`` rows, drawn by hash.  A scan sums the rows
-    of every run's clusters inside the tasks, so what is shuffled and collected is one row per run, cluster and task.
-    An empty cluster keeps its centre.  Runs end when no centre moves by more than ``tol``, or after ``max_iter`` scans.
+    Every run starts from its own spread-out choice among at most ``INITIAL`` rows, drawn by hash.  The rows are written
+    once as blocks of plain arrays.  A scan sums the rows of the clusters of all runs that still move inside the tasks,
+    each of which hands back one row.  An empty cluster keeps its centre.  A run ends when none of its centres moves by
+    more than ``tol``, or after ``max_iter`` scans.
     """
     rows = cut_lineage(vectors.select(vector_to_array("features").alias("x")))
     first = rows.orderBy(F.xxhash64("x", F.lit(seed)), "x").limit(INITIAL).collect()
@@ -77,42 +88,44 @@ def fit_kmeans(
     points = np.array([r["x"] for r in first], dtype=float)
     d = points.shape[1]
     centres = np.stack([spread_out(points, k, np.random.default_rng(seed + i)) for i in range(restarts)])
-    names = [f"s{i}" for i in range(d)]
-    schema = "run int, cluster int, n double, cost double, " + ", ".join(f"{n} double" for n in names)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            if part.num_rows:
+                x = part.column(0).flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
+                yield pa.RecordBatch.from_arrays([pa.array([np.ascontiguousarray(x.T, dtype=float).tobytes()], pa.binary())], names=["x"])
+
+    width = max(rows.sparkSession.sparkContext.defaultParallelism, rows.count() // TASK_ROWS + 1)
+    blocks = cut_lineage(rows.coalesce(width).mapInArrow(pack, "x binary"))
 
     def scan(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        shared = rows.sparkSession.sparkContext.broadcast(at)
+        """Rows and their sums per run and cluster, and the cost per run."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = shared.value
-            n, cost, sums = np.zeros(own.shape[:2]), np.zeros(own.shape[:2]), np.zeros(own.shape)
+            total = np.zeros((*at.shape[:2], d + 2))
             for part in batches:
-                x = part.column(0).flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
-                for i in range(len(own)):
-                    best, gap = _nearest(x, own[i])
-                    n[i] += np.bincount(best, minlength=k)
-                    cost[i] += np.bincount(best, gap, minlength=k)
-                    np.add.at(sums[i], best, x)
-            if n.any():
-                runs, clusters = np.divmod(np.arange(n.size, dtype=np.int32), np.int32(k))
-                columns = [runs, clusters, n.ravel(), cost.ravel(), *sums.reshape(-1, sums.shape[2]).T]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["run", "cluster", "n", "cost", *names])
-
-        totals = [F.sum(c).alias(c) for c in ("n", "cost", *names)]
-        n, cost, sums = np.zeros(at.shape[:2]), np.zeros(at.shape[0]), np.zeros(at.shape)
-        for r in rows.mapInArrow(run, schema).groupBy("run", "cluster").agg(*totals).collect():
-            n[r["run"], r["cluster"]] = r["n"]
-            cost[r["run"]] += r["cost"]
-            sums[r["run"], r["cluster"]] = [r[c] for c in names]
-        shared.unpersist()
-        return n, cost, sums
-
+                for cell in part.column(0):
+                    x = np.frombuffer(cell.as_buffer()).reshape(d, -1)
+                    for own, centre in zip(total, at):
+                        best, gap = _nearest(x, centre)
+                        own[:, 0] += np.bincount(best, minlength=k)
+                        own[:, 1] += np.bincount(best, gap, minlength=k)
+                        for j in range(d):
+                            own[:, 2 + j] += np.bincount(best, x[j], minlength=k)
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+
+        total = np.zeros((*at.shape[:2], d + 2))
+        for r in blocks.mapInArrow(run, "sums binary").collect():
+            total += np.frombuffer(r["sums"]).reshape(total.shape)
+        return total[:, :, 0], total[:, :, 1].sum(1), total[:, :, 2:]
+
+    cost, moving = np.zeros(restarts), np.arange(restarts)
     for _ in range(max_iter):
-        n, cost, sums = scan(centres)
-        moved = np.where(n[:, :, None] > 0, sums / np.maximum(n, 1.0)[:, :, None], centres)
-        shift = np.abs(moved - centres).max()
-        centres = moved
-        if shift <= tol:
+        at = centres[moving]
+        n, cost[moving], sums = scan(at)
+        centres[moving] = np.where(n[:, :, None] > 0, sums / np.maximum(n, 1.0)[:, :, None], at)
+        moving = moving[np.abs(centres[moving] - at).max(axis=(1, 2)) > tol]
+        if not len(moving):
             break
     best = int(cost.argmin())
     return Centres(sorted(tuple(float(v) for v in c) for c in centres[best]), float(cost[best]), [float(c) for c in cost])

@@ -230,3 +230,14 @@ def test_pca(blobs):
     xs = {r.id: r.x for r in got.collect()}
     assert [xs[i] for i in range(120)] == pytest.approx((centred @ first).tolist())
     assert shares[0] == pytest.approx(values[-1] / values.sum())
+
+
+def test_a_scan_of_centres_needs_no_shuffle(spark, blobs):
+    _, df = blobs
+    rows = df.drop("cluster").repartition(3).checkpoint()
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("centres", "")
+    cluster.fit_kmeans(rows, 3, restarts=4)
+    spark.sparkContext.setJobGroup("rest", "")
+    jobs = [tracker.getJobInfo(i) for i in tracker.getJobIdsForGroup("centres")]
+    assert len(jobs) > 4 and sum(len(j.stageIds) > 1 for j in jobs) <= 2  # the start and the count of rows
