@@ -12,9 +12,11 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,8 @@ from shelfwise.session import cut_lineage
 LEAF = 32
 GRID_DIMENSIONS = 4  # of more features the first four find the boxes to compare; boxes and distances take all
 MAX_LEVELS = 48
+BLOCK, SLICE, TOGETHER = 1024, 256, 8  # points of a block and rows compared at a time; blocks of a cell that share a task
+BLOCK_DIMENSIONS = 3  # features whose grid says which blocks meet
 
 
 def _sum(parts) -> Column:
@@ -144,10 +148,78 @@ class EpsGrid:
         gap = _gap(corners[: self.d], corners[self.d :], _cols("lo", self.d), _cols("hi", self.d))
         return self.met(cells, "cell", roots, "node").where(gap <= self.eps2).drop(*[f"c_{i}" for i in range(2 * self.d)])
 
+    def blocks(self, points: DataFrame, names: Sequence[str]) -> DataFrame:
+        """Points in blocks of about ``BLOCK`` by their cell in a grid of the first features, ``eps`` wide."""
+        wide = F.lit(math.sqrt(self.eps2) * (1 + 1e-9))
+        place = lambda c: F.floor(F.least(F.greatest(F.col(c) / wide, F.lit(-1e15)), F.lit(1e15)))
+        whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in self.f])
+        placed = points.where(whole).withColumn("at", F.array(*[place(c) for c in self.f[:BLOCK_DIMENSIONS]]))
+        sizes = placed.groupBy("at").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
+        dealt = placed.join(sizes, "at").withColumn("part", F.pmod(F.xxhash64(*self.f), F.col("parts")))
+        return dealt.groupBy("at", "part", "parts").agg(F.collect_list(F.struct(*names, *self.f)).alias("block"))
+
+    def weights_direct(self, probes: DataFrame, points: DataFrame) -> DataFrame:
+        """Weight of ``points`` within eps of each probe: (pt, hits), by comparing blocks of neighbouring cells.
+
+        A pair of blocks is compared inside a task, so no pair of points is ever a row.
+        """
+        eps2, reach, key, d = self.eps2, math.sqrt(self.eps2) * (1 + 1e-9), min(BLOCK_DIMENSIONS, self.d - 1), self.d
+        kind = self.points.schema["pt"].dataType.simpleString()
+        own = self.blocks(points, ["w"]).withColumn("group", F.floor(F.col("part") / TOGETHER))
+        groups = own.groupBy("at").agg(F.max("group").alias("last"))
+        moves = ", ".join(f"array({', '.join(f'{x}L' for x in o)})" for o in itertools.product((-1, 0, 1), repeat=BLOCK_DIMENSIONS))
+        around = self.blocks(probes, ["pt"]).select("block", F.expr(f"explode(transform(array({moves}), o -> zip_with(at, o, (a, b) -> a + b)))").alias("at"))
+        around = around.join(groups, "at").withColumn("group", F.explode(F.sequence(F.lit(0).cast("bigint"), "last"))).drop("last")
+        width = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        met = around.withColumnRenamed("block", "probes").repartition(width, "at", "group").join(own.select("at", "group", "block").repartition(width, "at", "group"), ["at", "group"])
+
+        def columns(cells: pa.Array) -> tuple[pa.Array, np.ndarray]:
+            first, *rest = cells.flatten()
+            return first, np.array([c.to_numpy(zero_copy_only=False) for c in rest])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in batches:
+                for i in range(part.num_rows):
+                    (names, p), (w, q) = (columns(part.column(c)[i].values) for c in (0, 1))
+                    order, other = np.argsort(p[key], kind="stable"), np.argsort(q[key], kind="stable")
+                    p, q, w = p[:, order], q[:, other], w.to_numpy(zero_copy_only=False).astype(float)[other]
+                    hits = np.zeros(p.shape[1])
+                    for at in range(0, p.shape[1], SLICE):
+                        x = p[:, at : at + SLICE]
+                        lo, hi = np.searchsorted(q[key], x[key, 0] - reach, "left"), np.searchsorted(q[key], x[key, -1] + reach, "right")
+                        if lo < hi:
+                            gap = np.zeros((x.shape[1], hi - lo))
+                            for j in range(d):
+                                step = np.subtract.outer(x[j], q[j, lo:hi])
+                                step *= step
+                                gap += step
+                            hits[at : at + SLICE] = (gap <= eps2) @ w[lo:hi]
+                    some = np.flatnonzero(hits)
+                    yield pa.RecordBatch.from_arrays([names.take(pa.array(order[some])), pa.array(hits[some].astype(np.int64))], names=["pt", "hits"])
+
+        found = met.select("probes", "block").mapInArrow(run, f"pt {kind}, hits bigint")
+        return found.groupBy("pt").agg(F.sum("hits").alias("hits"))
+
     def weights_near(
         self, probes: DataFrame, tree: DataFrame, depth: int, per: Sequence[str] = ("pt",)
     ) -> DataFrame:
-        """Weight within eps of each probe point, in all or per level-0 box (``per`` with ``cell``)."""
+        """Weight within eps of each probe point, in all or per level-0 box (``per`` with ``cell``).
+
+        With many features the near boxes of a point are too many to list: the points of uncrowded level-0 boxes are
+        compared by blocks, and only crowded boxes are met and opened.
+        """
+        if self.d > GRID_DIMENSIONS and tuple(per) == ("pt",):
+            plain = (F.col("node")[0] == 0) & F.col("pts").isNotNull()
+            points = tree.where(plain).select(F.explode("pts").alias("p")).select("p.*")
+            direct = self.weights_direct(probes, points)
+            if depth == 1:
+                return direct
+            crowded = self.weights_listed(probes, tree.where(~plain), depth, per)
+            return direct.unionByName(crowded).groupBy(*per).agg(F.sum("hits").alias("hits"))
+        return self.weights_listed(probes, tree, depth, per)
+
+    def weights_listed(self, probes: DataFrame, tree: DataFrame, depth: int, per: Sequence[str]) -> DataFrame:
+        """``weights_near`` by boxes met, settled and opened."""
         probes = probes.withColumn("cell", self.node(0)).select("pt", *self.f, "cell")
         # written first, so that both sides are plain shuffles and the probes of a crowded cell can be split
         near = cut_lineage(self.boxes_near(probes, tree))

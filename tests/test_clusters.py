@@ -241,3 +241,18 @@ def test_a_scan_of_centres_needs_no_shuffle(spark, blobs):
     spark.sparkContext.setJobGroup("rest", "")
     jobs = [tracker.getJobInfo(i) for i in tracker.getJobIdsForGroup("centres")]
     assert len(jobs) > 4 and sum(len(j.stageIds) > 1 for j in jobs) <= 2  # the start and the count of rows
+
+
+@pytest.mark.parametrize("block", [1024, 16])
+def test_many_features_by_blocks(spark, monkeypatch, block):
+    """Points of uncrowded boxes are compared by blocks, crowded boxes are opened; both give what the definition says."""
+    monkeypatch.setattr(neighbors, "BLOCK", block)
+    rng = np.random.default_rng(9)
+    crowd, loose = rng.normal(0, 0.02, (90, 6)), rng.normal(0, 0.4, (120, 6))
+    points = np.vstack([crowd, loose, loose[:20], rng.normal(3, 0.3, (40, 6))])
+    df, names = frame(spark, points.tolist())
+    grid = neighbors.EpsGrid(df, "id", names, 0.7)
+    direct = grid.weights_direct(grid.points, grid.points).collect()
+    _, counts = brute_dbscan(points, 0.7, 5)
+    assert [next(r.hits for r in direct if r.pt == f"p{i:05d}") for i in range(len(crowd) + len(loose))] == counts[:210]
+    check(spark, points.tolist(), 0.7, 5)
