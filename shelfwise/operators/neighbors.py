@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from shelfwise.functions.ordering import number_rows
 from shelfwise.session import cut_lineage
@@ -158,32 +159,31 @@ class EpsGrid:
         dealt = placed.join(sizes, "at").withColumn("part", F.pmod(F.xxhash64(*self.f), F.col("parts")))
         return dealt.groupBy("at", "part", "parts").agg(F.collect_list(F.struct(*names, *self.f)).alias("block"))
 
-    def weights_direct(self, probes: DataFrame, points: DataFrame) -> DataFrame:
-        """Weight of ``points`` within eps of each probe: (pt, hits), by comparing blocks of neighbouring cells.
-
-        A pair of blocks is compared inside a task, so no pair of points is ever a row.
-        """
-        eps2, reach, key, d = self.eps2, math.sqrt(self.eps2) * (1 + 1e-9), min(BLOCK_DIMENSIONS, self.d - 1), self.d
-        kind = self.points.schema["pt"].dataType.simpleString()
-        own = self.blocks(points, ["w"]).withColumn("group", F.floor(F.col("part") / TOGETHER))
-        groups = own.groupBy("at").agg(F.max("group").alias("last"))
+    def blocks_met(self, probes: DataFrame, own: str, points: DataFrame, other: str) -> DataFrame:
+        """Blocks of neighbouring cells side by side: (probes, block), with columns ``own`` and ``other`` in front."""
+        dealt = self.blocks(points, [other]).withColumn("group", F.floor(F.col("part") / TOGETHER))
+        groups = dealt.groupBy("at").agg(F.max("group").alias("last"))
         moves = ", ".join(f"array({', '.join(f'{x}L' for x in o)})" for o in itertools.product((-1, 0, 1), repeat=BLOCK_DIMENSIONS))
-        around = self.blocks(probes, ["pt"]).select("block", F.expr(f"explode(transform(array({moves}), o -> zip_with(at, o, (a, b) -> a + b)))").alias("at"))
+        around = self.blocks(probes, [own]).select(F.col("block").alias("probes"), F.expr(f"explode(transform(array({moves}), o -> zip_with(at, o, (a, b) -> a + b)))").alias("at"))
         around = around.join(groups, "at").withColumn("group", F.explode(F.sequence(F.lit(0).cast("bigint"), "last"))).drop("last")
         width = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        met = around.withColumnRenamed("block", "probes").repartition(width, "at", "group").join(own.select("at", "group", "block").repartition(width, "at", "group"), ["at", "group"])
+        met = around.repartition(width, "at", "group").join(dealt.select("at", "group", "block").repartition(width, "at", "group"), ["at", "group"])
+        return met.select("probes", "block")
+
+    def compared(self):
+        """Function from Arrow batches of met blocks to (own, other, rows of own, rows of other, within eps) by slices."""
+        eps2, reach, key, d = self.eps2, math.sqrt(self.eps2) * (1 + 1e-9), min(BLOCK_DIMENSIONS, self.d - 1), self.d
 
         def columns(cells: pa.Array) -> tuple[pa.Array, np.ndarray]:
             first, *rest = cells.flatten()
             return first, np.array([c.to_numpy(zero_copy_only=False) for c in rest])
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs(batches: Iterator[pa.RecordBatch]):
             for part in batches:
                 for i in range(part.num_rows):
-                    (names, p), (w, q) = (columns(part.column(c)[i].values) for c in (0, 1))
-                    order, other = np.argsort(p[key], kind="stable"), np.argsort(q[key], kind="stable")
-                    p, q, w = p[:, order], q[:, other], w.to_numpy(zero_copy_only=False).astype(float)[other]
-                    hits = np.zeros(p.shape[1])
+                    (own, p), (other, q) = (columns(part.column(c)[i].values) for c in (0, 1))
+                    order, behind = np.argsort(p[key], kind="stable"), np.argsort(q[key], kind="stable")
+                    p, q = p[:, order], q[:, behind]
                     for at in range(0, p.shape[1], SLICE):
                         x = p[:, at : at + SLICE]
                         lo, hi = np.searchsorted(q[key], x[key, 0] - reach, "left"), np.searchsorted(q[key], x[key, -1] + reach, "right")
@@ -193,12 +193,66 @@ class EpsGrid:
                                 step = np.subtract.outer(x[j], q[j, lo:hi])
                                 step *= step
                                 gap += step
-                            hits[at : at + SLICE] = (gap <= eps2) @ w[lo:hi]
-                    some = np.flatnonzero(hits)
-                    yield pa.RecordBatch.from_arrays([names.take(pa.array(order[some])), pa.array(hits[some].astype(np.int64))], names=["pt", "hits"])
+                            yield own, other, order[at : at + SLICE], behind[lo:hi], gap <= eps2
+
+        return pairs
+
+    def weights_direct(self, probes: DataFrame, points: DataFrame, value: str = "w") -> DataFrame:
+        """Weight of ``points`` within eps of each probe: (pt, hits), by comparing blocks of neighbouring cells.
+
+        A pair of blocks is compared inside a task, so no pair of points is ever a row.  With another ``value`` than the
+        weight, ``hits`` is its least one within eps.
+        """
+        kind, pairs, least = self.points.schema["pt"].dataType.simpleString(), self.compared(), value != "w"
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for own, other, rows, behind, near in pairs(batches):
+                some = np.flatnonzero(near.any(axis=1))
+                v = other.to_numpy(zero_copy_only=False).astype(np.int64)[behind]
+                hits = np.where(near[some], v, np.iinfo(np.int64).max).min(axis=1) if least and len(some) else near[some] @ v
+                yield pa.RecordBatch.from_arrays([own.take(pa.array(rows[some])), pa.array(hits.astype(np.int64))], names=["pt", "hits"])
 
-        found = met.select("probes", "block").mapInArrow(run, f"pt {kind}, hits bigint")
-        return found.groupBy("pt").agg(F.sum("hits").alias("hits"))
+        found = self.blocks_met(probes, "pt", points, value).mapInArrow(run, f"pt {kind}, hits bigint")
+        return found.groupBy("pt").agg((F.min if least else F.sum)("hits").alias("hits"))
+
+    def edges_direct(self, cores: DataFrame) -> DataFrame:
+        """Edges (a, b) between the names of points: enough of them to connect what lies within eps of each other.
+
+        A task keeps a forest of the names it has met and tells its edges, not the links it has found.
+        """
+        kind, pairs = cores.schema["name"].dataType.simpleString(), self.compared()
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            root: dict = {}
+
+            def find(x):
+                while root.setdefault(x, x) != x:
+                    root[x] = root[root[x]]
+                    x = root[x]
+                return x
+
+            for own, other, rows, behind, near in pairs(batches):
+                far = len(rows)
+                label = np.where(near.any(axis=1), np.arange(far), far)
+                while True:  # the least row of ``own`` that every row of either side is connected to
+                    beside = np.where(near, label[:, None], far).min(axis=0)
+                    after = np.minimum(label, np.where(near, beside, far).min(axis=1))
+                    after = np.append(after, far)[after]
+                    if (after == label).all():
+                        break
+                    label = after
+                mine, theirs = own.take(pa.array(rows)).to_pylist(), other.take(pa.array(behind)).to_pylist()
+                for names, labels in ((mine, label), (theirs, beside)):
+                    for i in np.flatnonzero(labels < far):
+                        a, b = find(names[i]), find(mine[labels[i]])
+                        if a != b:
+                            root[max(a, b)] = min(a, b)
+            told = [(x, find(x)) for x in list(root) if find(x) != x]
+            columns = [pa.array([e[i] for e in told], batch_type) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+        batch_type = to_arrow_type(cores.schema["name"].dataType)
+        return self.blocks_met(cores, "name", cores, "name").mapInArrow(run, f"a {kind}, b {kind}")
 
     def weights_near(
         self, probes: DataFrame, tree: DataFrame, depth: int, per: Sequence[str] = ("pt",)
@@ -240,11 +294,16 @@ class EpsGrid:
                 met = cut_lineage(opened).join(tree, "parent").drop("parent")
         return reduce(DataFrame.unionByName, settled).groupBy(*per).agg(F.sum("hits").alias("hits"))
 
-    def linked_boxes(self, tree: DataFrame, depth: int) -> DataFrame:
-        """Pairs of different level-0 boxes that hold points within eps of each other."""
-        roots = spread(tree.where(F.col("node")[0] == 0).select("node"))
+    def linked_boxes(self, tree: DataFrame, depth: int, crowded: bool = False) -> DataFrame:
+        """Pairs of different level-0 boxes that hold points within eps of each other, or those with a crowded one."""
+        top = tree.where(F.col("node")[0] == 0)
+        roots = spread(top.select("node"))
         other = roots.select(F.col("node").alias("b0"))
-        front = self.met(roots.select(F.col("node").alias("a0")), "a0", other, "b0", once=True)
+        if crowded:
+            dense = spread(top.where(F.col("pts").isNull()).select(F.col("node").alias("a0")))
+            front = self.met(dense, "a0", other, "b0").where("a0 <> b0")
+        else:
+            front = self.met(roots.select(F.col("node").alias("a0")), "a0", other, "b0", once=True)
         front = front.select("a0", "b0", F.col("a0").alias("na"), F.col("b0").alias("nb"))
         below = tree.select(F.col("parent").alias("up"), "node").where(F.col("node")[0] > 0)
         step = below.unionByName(tree.where(F.col("pts").isNotNull()).select(F.col("node").alias("up"), "node"))
@@ -349,13 +408,18 @@ def dbscan(
 
     core_tree, core_depth = grid.build(cores)
     names = cores.groupBy("cell").agg(F.min("pt").alias("name"))
-    links = grid.linked_boxes(core_tree, core_depth)
-    edges = (
-        links.join(names.select(F.col("cell").alias("a0"), F.col("name").alias("a")), "a0")
-        .join(names.select(F.col("cell").alias("b0"), F.col("name").alias("b")), "b0")
-        .select("a", "b")
-    )
-    components = connected_components(edges)
+    wide = grid.d > GRID_DIMENSIONS
+    plain = (F.col("node")[0] == 0) & F.col("pts").isNotNull()
+    loose = cores.join(core_tree.where(plain).select(F.col("node").alias("cell")), "cell", "left_semi") if wide else None
+    parts = [grid.edges_direct(loose.join(names, "cell").where("name is not null"))] if wide else []
+    if not wide or core_depth > 1:
+        links = grid.linked_boxes(core_tree, core_depth, crowded=wide)
+        parts.append(
+            links.join(names.select(F.col("cell").alias("a0"), F.col("name").alias("a")), "a0")
+            .join(names.select(F.col("cell").alias("b0"), F.col("name").alias("b")), "b0")
+            .select("a", "b")
+        )
+    components = connected_components(reduce(DataFrame.unionByName, parts))
     rooted = names.join(components, F.col("name") == F.col("node"), "left").select(
         "cell", F.coalesce("root", "name").alias("root")
     )
@@ -363,12 +427,13 @@ def dbscan(
     cell_cluster = cut_lineage(rooted.join(numbered, "root").select("cell", F.col("cluster").cast("int").alias("cluster")))
 
     core_labels = cores.join(cell_cluster, "cell").select("pt", "cluster")
-    border = (
-        grid.weights_near(unsure.join(cores, "pt", "left_anti"), core_tree, core_depth, ("pt", "cell"))
-        .where(F.col("hits") > 0)
-        .join(cell_cluster, "cell")
-        .groupBy("pt")
-        .agg(F.min("cluster").alias("cluster"))
-    )
+    outside, parts = unsure.join(cores, "pt", "left_anti"), []
+    if wide:
+        found = grid.weights_direct(outside, loose.join(cell_cluster, "cell"), "cluster")
+        parts.append(found.select("pt", F.col("hits").cast("int").alias("cluster")))
+    if not wide or core_depth > 1:
+        listed = grid.weights_listed(outside, core_tree.where(~plain) if wide else core_tree, core_depth, ("pt", "cell"))
+        parts.append(listed.where(F.col("hits") > 0).join(cell_cluster, "cell").select("pt", "cluster"))
+    border = reduce(DataFrame.unionByName, parts).groupBy("pt").agg(F.min("cluster").alias("cluster"))
     labels = grid.points.select("pt").join(core_labels.unionByName(border), "pt", "left")
     return grid.to_rows(labels.select("pt", F.coalesce("cluster", F.lit(-1)).alias("cluster")))
