@@ -87,6 +87,12 @@ def test_previous_values(skewed):
     assert got == {i: (rows[i - 1][2] if i else None) for i, _, _ in rows}
 
 
+def test_quantiles_of_a_whole_table_need_no_loop_join(spark):
+    found = quantiles(spark.range(101).select(F.col("id").cast("double").alias("v")), "v", {"m": 0.5, "q": 0.255})
+    assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in found.collect()] == [(50.0, 25.5)]
+
+
 def test_quantiles_of_nothing(spark):
     empty = spark.createDataFrame([], "v double")
     assert quantiles(empty, "v", {"m": 0.5}).first().m is None
