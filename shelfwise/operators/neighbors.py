@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from shelfwise.functions.ordering import number_rows
-from shelfwise.session import cut_lineage
+from shelfwise.session import cut_lineage, shuffled
 
 LEAF = 32
 GRID_DIMENSIONS = 4  # of more features the first four find the boxes to compare; boxes and distances take all
@@ -371,9 +371,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     while True:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(shuffled(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        hooked = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        hooked = large.join(shuffled(low), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = hooked.unionByName(low.select("u", F.col("m").alias("v"))).distinct()
         pairs = cut_lineage(small)
         now = mark(pairs)

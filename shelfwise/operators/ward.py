@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.operators.neighbors import connected_components
-from shelfwise.session import cut_lineage
+from shelfwise.session import cut_lineage, shuffled
 
 LIMIT = 1000
 FEW = 50_000
@@ -166,14 +166,14 @@ class Merger:
             "level", "x", *[(F.col(f"c{i}") + F.col(f"o.o{i}")).alias(f"c{i}") for i in range(g)]
         )
         once = (F.col("x.size") < F.col("y.size")) | ((F.col("x.size") == F.col("y.size")) & (F.col("x.id") < F.col("y.id")))
-        met = around.join(all_, ["level", *[f"c{i}" for i in range(g)]]).where(once)
+        met = around.join(shuffled(all_), ["level", *[f"c{i}" for i in range(g)]]).where(once)
         found = met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"), self.cost("x", "y").alias("cost"))
         return found.where(F.col("cost") <= t)
 
     def costed(self, ends: DataFrame, t: float) -> DataFrame:
         """(a, b) pairs of living clusters with their cost, if that is at most ``t``."""
         side = lambda s: self.nodes.select(F.col("id").alias(s), F.struct("w", *self.f).alias(f"_{s}"))
-        met = ends.join(side("a"), "a").join(side("b"), "b")
+        met = ends.join(shuffled(side("a")), "a").join(shuffled(side("b")), "b")
         return met.select("a", "b", self.cost("_a", "_b").alias("cost")).where(F.col("cost") <= t)
 
     def round(self, edges: DataFrame, t: float) -> DataFrame:
@@ -187,13 +187,13 @@ class Merger:
         self.merges.append(merges)
         renamed = merges.select(F.col("b").alias("id"), F.col("a").alias("into"))
         touched = merges.select(F.col("a").alias("id"), F.col("a").alias("into")).unionByName(renamed)
-        moved = self.nodes.join(touched, "id", "left").withColumn("id", F.coalesce("into", "id"))
+        moved = self.nodes.join(shuffled(touched), "id", "left").withColumn("id", F.coalesce("into", "id"))
         means = [(F.sum(F.col("w") * F.col(c)) / F.sum("w")).alias(c) for c in self.f]
         fused = moved.where("into is not null").groupBy("id").agg(F.sum("w").alias("w"), *means)
         rest = moved.where("into is null").select("id", "w", *self.f)
         self.nodes = cut_lineage(rest.unionByName(fused.select("id", "w", *self.f)))
         at = lambda s: touched.select(F.col("id").alias(s), F.col("into").alias(f"{s}_into"))
-        moved = edges.join(at("a"), "a", "left").join(at("b"), "b", "left")
+        moved = edges.join(shuffled(at("a")), "a", "left").join(shuffled(at("b")), "b", "left")
         same = moved.where("a_into is null and b_into is null").select("a", "b", "cost")
         a, b = F.coalesce("a_into", "a"), F.coalesce("b_into", "b")
         changed = moved.where("a_into is not null or b_into is not null").select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
@@ -204,13 +204,13 @@ class Merger:
         """Merge the last pairs of a phase, at most ``few``, in the driver."""
         spark = edges.sparkSession
         ids = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        near = self.nodes.join(F.broadcast(ids), "id", "left_semi").collect()
+        near = self.nodes.join(shuffled(ids), "id", "left_semi").collect()
         nodes = {r["id"]: (r["w"], np.array([r[c] for c in self.f])) for r in near}
         merges = merge_pairs(nodes, [(r["a"], r["b"], r["cost"]) for r in edges.select("a", "b", "cost").collect()], t)
         self.merges.append(spark.createDataFrame(merges, edges.select("a", "b", "cost").schema))
         schema = self.nodes.select("id", "w", *self.f).schema
         new = spark.createDataFrame([(i, float(w), *map(float, x)) for i, (w, x) in nodes.items()], schema)
-        self.nodes = cut_lineage(self.nodes.join(F.broadcast(ids), "id", "left_anti").unionByName(new))
+        self.nodes = cut_lineage(self.nodes.join(shuffled(ids), "id", "left_anti").unionByName(new))
 
 
 def ward(
@@ -255,9 +255,9 @@ def ward(
         dearest = steps[-1].orderBy(F.desc("cost"), "a", "b").limit(k - count)
         edges = reduce(DataFrame.unionByName, [*steps[:-1], steps[-1].join(dearest, ["a", "b"], "left_anti")])
     roots = connected_components(edges).withColumnRenamed("node", "id")
-    placed = points.join(roots, "id", "left").select("_x", F.coalesce("root", "id").alias("root"))
+    placed = points.join(shuffled(roots), "id", "left").select("_x", F.coalesce("root", "id").alias("root"))
     placed = cut_lineage(placed)
     order = {r[0]: i for i, r in enumerate(placed.select("root").distinct().orderBy("root").limit(k).collect())}
     numbers = spark.createDataFrame(list(order.items()), f"root {points.schema['id'].dataType.simpleString()}, cluster int")
-    labels = rows.join(placed, "_x").join(F.broadcast(numbers), "root").select(F.col("_key").alias(key), "cluster")
+    labels = rows.join(shuffled(placed), "_x").join(F.broadcast(numbers), "root").select(F.col("_key").alias(key), "cluster")
     return Ward(labels, merges)

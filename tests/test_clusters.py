@@ -170,6 +170,23 @@ def test_ward_is_exact_however_it_is_run(spark, limit, few):
     assert np.allclose(merged, sorted(costs)[2:])  # equal points are one from the start
 
 
+def test_ward_leaves_no_tables_with_the_driver(spark, monkeypatch):
+    plans = []
+
+    def seen(df, cut=ward.cut_lineage):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    monkeypatch.setattr(ward, "cut_lineage", seen)
+    monkeypatch.setattr(neighbors, "cut_lineage", seen)
+    rng = np.random.default_rng(4)
+    rows = [(f"p{i:04d}", p.tolist()) for i, p in enumerate(rng.normal(0, 1, (300, 2)))]
+    df = spark.createDataFrame(rows, "id string, f array<double>").select("id", array_to_vector("f").alias("features"))
+    found = ward.ward(df, "id", 3, limit=20, few=30)
+    assert found.merges.count() == 299 and found.labels.count() == 300
+    assert len(plans) > 20 and not [p for p in plans if "Broadcast" in p]
+
+
 def test_ward_of_equal_gaps(spark):
     line = np.arange(16.0)[:, None]
     for limit, few in ((100, 100), (5, 1000)):
