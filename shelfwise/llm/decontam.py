@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import keyed, written
-from shelfwise.session import cut_lineage
+from shelfwise.session import cut_lineage, shuffled
 
 BITS = 64
 BROADCAST_WORDS = 200_000  # a benchmark of more words, or of more than a hundredth as many items, is joined by shuffle
@@ -217,18 +217,17 @@ def benchmark_leaks(
         own = bound(all_hashes(F.col("ww"), size), simhash)
         fp = F.when(F.least(F.col("n"), F.lit(shingle)) == size, own).otherwise(fp)
     alike = cut_lineage(alike.withColumn("fp", fp).drop("ww"))
-    listed = hamming_index(index.select("item", "n", "item_fp"), radius, blocks)
-    if small:
-        listed = F.broadcast(listed)
-    probes = alike.select(
+    # some 300 rows an item: joined by shuffle, as a broadcast would lie whole in the driver's memory
+    listed = shuffled(hamming_index(index.select("item", "n", "item_fp"), radius, blocks))
+    probes = alike.select("n", "fp").distinct().select(
         "n",
-        "window",
         "fp",
         F.posexplode(F.array(*_block_values(F.col("fp"), blocks))).alias("block", "value"),
     )
     distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
     near = probes.join(listed, ["n", "block", "value"]).withColumn("distance", distance).where(F.col("distance") <= radius)
-    near = near.select("n", "window", "item", "distance").distinct()
+    near = near.select("n", "fp", "item", "distance").distinct()
+    near = alike.join(near, ["n", "fp"]).select("n", "window", "item", "distance")
     words = index.select("item", "iw")
     judged = near.join(F.broadcast(words) if small else words, "item")
     own = theirs = F.array().cast("array<string>")

@@ -21,3 +21,14 @@ def test_leaks_in_another_order(spark):
     want = plain_leaks(table.collect(), items.collect())
     assert {(i, i) for i in range(1, 20, 2)} <= want
     assert set(got) <= want and len(got) >= 0.9 * len(want)
+
+
+def test_index_is_not_broadcast(spark):
+    """The listed fingerprints are some 300 rows an item; only tables of a row an item or shingle may be broadcast."""
+    items = spark.createDataFrame([(i, sentence(i, 40)) for i in range(20)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"{sentence(i, 40)} {sentence(i + 50, 30)}") for i in range(20)], "doc_id long, text string")
+    found = decontam.benchmark_leaks(docs, items)
+    assert {(r.doc_id, r.item_id) for r in found.collect()} >= {(i, i) for i in range(20)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    index = [line for line in plan if "Join" in line and "value#" in line and "block#" in line]
+    assert index and all("merge" in line and "broadcast" not in line for line in index)
