@@ -17,18 +17,22 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from shelfwise.functions.ordering import number_rows
-from shelfwise.session import cut_lineage, shuffled
+from shelfwise.session import broadcast_if_small, cut_lineage, shuffled
 
 LEAF = 32
 GRID_DIMENSIONS = 4  # of more features the first four find the boxes to compare; boxes and distances take all
 MAX_LEVELS = 48
 BLOCK, SLICE, TOGETHER = 1024, 256, 8  # points of a block and rows compared at a time; blocks of a cell that share a task
 BLOCK_DIMENSIONS = 3  # features whose grid says which blocks meet
+REGIONS, FEWEST, MOST = 256, 1024, 1 << 16  # regions of a table, and bounds on the points of one
+CUTS = 64  # slices that one feature may be cut into at a time
+AT_ONCE = 16  # times ``MOST`` points that a task holds beside those of its region
+TILE, ROW = 32, 1024  # points of a tile inside a region; points compared with a tile at a time
 
 
 def _sum(parts) -> Column:
@@ -254,6 +258,153 @@ class EpsGrid:
         batch_type = to_arrow_type(cores.schema["name"].dataType)
         return self.blocks_met(cores, "name", cores, "name").mapInArrow(run, f"a {kind}, b {kind}")
 
+    def regions(self, points: DataFrame) -> DataFrame:
+        """Points with the number of their ``region``: boxes of about equal numbers of points, cut feature by feature.
+
+        A table has some ``REGIONS`` of them until one would hold more than ``MOST`` points, so what regions tell each other
+        grows with the points.  Points with a null or non-finite coordinate have no neighbours and are left out.
+        """
+        finite = reduce(lambda a, b: a & b, [F.abs(F.col(f)) < float("inf") for f in self.f])
+        dealt = cut_lineage(points.where(finite).withColumn("region", F.lit(0).cast("bigint")))
+        most = min(max(math.ceil(dealt.count() / REGIONS), FEWEST), MOST)
+        cuts, largest = [k / CUTS for k in range(1, CUTS)], None
+        while True:
+            for i, f in enumerate(self.f):
+                left, room = self.d - i, F.ceil((F.max(f) - F.min(f)) / F.lit(math.sqrt(self.eps2)))
+                slices = F.ceil(F.pow(F.count(F.lit(1)) / most, F.lit(1 / left)))
+                # a feature that eps spans is cut last, where nothing else is left
+                slices = slices if left == 1 else F.least(slices, F.greatest(room, F.lit(1)))
+                at = dealt.groupBy("region").agg(F.percentile_approx(f, cuts).alias("_at"), slices.alias("_slices"))
+                behind = F.size(F.expr(f"filter(_at, x -> x < {f})"))
+                place = F.floor(behind * F.least("_slices", F.lit(CUTS)) / CUTS)
+                placed = dealt.join(broadcast_if_small(at), "region").withColumn("region", F.xxhash64("region", place))
+                dealt = placed.drop("_at", "_slices")
+            dealt = cut_lineage(dealt)
+            before, largest = largest, dealt.groupBy("region").count().agg(F.max("count")).first()[0]
+            if largest is None or largest <= 2 * most or largest == before:
+                return dealt
+
+    def weights_within(self, probes: DataFrame, points: DataFrame, value: str = "w") -> DataFrame:
+        """Weight of ``points`` within eps of each probe, both in regions: (pt, hits).
+
+        A region that lies within eps of another as a whole counts as one number.  Of the others each point goes once to
+        every region it may reach, where a task compares tiles of few points and opens only those that the sphere cuts.
+        With another ``value`` than the weight, ``hits`` is its least one within eps.
+        """
+        least = value != "w"
+        lo, hi = _cols("lo", self.d), _cols("hi", self.d)
+        total = F.min(value) if least else F.sum(value)
+        # joined on a written column, so that the join is an equal one
+        other = cut_lineage(points.groupBy("region").agg(F.count(F.lit(1)).alias("n"), total.alias("total"), *self.bounds()).withColumn("all", F.lit(1)))
+        own = [b.alias(f"a_{i}") for i, b in enumerate(self.bounds())]
+        around = cut_lineage(probes.groupBy(F.col("region").alias("own")).agg(*own).withColumn("all", F.lit(1)))
+        alo, ahi = _cols("a_", 2 * self.d)[: self.d], _cols("a_", 2 * self.d)[self.d :]
+        pairs = around.join(shuffled(other), "all").where(_gap(alo, ahi, lo, hi) <= self.eps2)
+        pairs = cut_lineage(pairs.withColumn("inside", _reach(alo, ahi, lo, hi) <= self.eps2).drop("all", *[f"{s}{i}" for s in ("lo", "hi") for i in range(self.d)]))
+        earlier = Window.partitionBy("own").orderBy("region").rowsBetween(Window.unboundedPreceding, -1)
+        dealt = F.floor(F.coalesce(F.sum("n").over(earlier), F.lit(0)) / (AT_ONCE * MOST))
+        cut = broadcast_if_small(pairs.where(~F.col("inside")).withColumn("deal", dealt).drop("n", "total", "inside"))
+        width = 4 * int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        f = _cols("f", self.d)
+        reaching = points.select("region", F.col(value).cast("bigint").alias("v"), *self.f).join(cut, "region")
+        reaching = reaching.where(_gap(f, f, alo, ahi) <= self.eps2).select("own", "deal", "v", *self.f)
+        asked = probes.select("pt", *[F.col(c).alias(f"own_{c}") for c in self.f], F.col("region").alias("own")).join(broadcast_if_small(cut.select("own", "deal").distinct()), "own")
+        asked, reaching = (side.repartition(width, "own", "deal").groupBy("own", "deal") for side in (asked, reaching))
+        kind = probes.schema["pt"].dataType.simpleString()
+        found = asked.cogroup(reaching).applyInArrow(self.tiles_compared(least), f"pt {kind}, hits bigint")
+        whole = pairs.where("inside").groupBy(F.col("own").alias("region")).agg((F.min if least else F.sum)("total").cast("bigint").alias("hits"))
+        found = found.unionByName(probes.select("pt", "region").join(shuffled(whole), "region").select("pt", "hits"))
+        return found.groupBy("pt").agg((F.min if least else F.sum)("hits").alias("hits"))
+
+    def tiles_compared(self, least: bool):
+        """Function from the probes of a region and the points that may reach it to (pt, hits)."""
+        eps2, d, names = self.eps2, self.d, list(self.f)
+
+        def tiles(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Order of points by tiles that follow each other, and where each tile starts."""
+            n = x.shape[1]
+            at, order = np.zeros(n, dtype=np.int64), np.arange(n)
+            for i in range(d):
+                order = np.lexsort((x[i], at))
+                starts = np.flatnonzero(np.diff(at[order], prepend=-1))
+                sizes = np.diff(starts, append=n)
+                pieces = np.ceil((sizes / TILE) ** (1 / (d - i))).astype(np.int64)
+                rank = np.arange(n) - np.repeat(starts, sizes)
+                before = np.repeat(np.cumsum(pieces) - pieces, sizes)
+                at = np.empty(n, dtype=np.int64)
+                at[order] = before + rank * np.repeat(pieces, sizes) // np.repeat(sizes, sizes)
+            order = np.argsort(at, kind="stable")
+            return order, np.flatnonzero(np.diff(at[order], prepend=-1))
+
+        def held(table: pa.Table, prefix: str) -> tuple[np.ndarray, ...]:
+            x = np.array([table.column(prefix + c).to_numpy() for c in names])
+            order, starts = tiles(x)
+            x = np.ascontiguousarray(x[:, order])
+            return x, order, np.append(starts, len(order)), np.minimum.reduceat(x, starts, axis=1), np.maximum.reduceat(x, starts, axis=1)
+
+        def run(own: pa.Table, other: pa.Table) -> pa.Table:
+            ids = own.column("pt").combine_chunks()
+            if not own.num_rows or not other.num_rows:
+                return pa.table({"pt": ids.slice(0, 0), "hits": pa.array([], pa.int64())})
+            p, order, bounds, plo, phi = held(own, "own_")
+            q, behind, places, qlo, qhi = held(other, "")
+            v = other.column("v").to_numpy()[behind]
+            none = np.iinfo(np.int64).max if least else 0
+            totals = (np.minimum if least else np.add).reduceat(v, places[:-1])
+            sizes, weights = np.diff(places), v if least else v.astype(np.float64)
+            hits = np.full(len(order), none)
+            buffers = [np.empty(TILE * ROW, dtype=kind) for kind in (float, bool, bool, float)]
+            for t in range(len(bounds) - 1):
+                gap = reach = 0.0
+                for j in range(d):
+                    over, under = qlo[j] - phi[j, t], plo[j, t] - qhi[j]
+                    apart = np.maximum(np.maximum(over, under), 0.0)
+                    gap = gap + apart * apart
+                    span = np.maximum(qhi[j] - plo[j, t], phi[j, t] - qlo[j])
+                    reach = reach + span * span
+                inside = reach <= eps2
+                x = p[:, bounds[t] : bounds[t + 1]]
+                mine = np.full(x.shape[1], none)
+                if inside.any():
+                    mine[:] = totals[inside].min() if least else totals[inside].sum()
+                opened = np.flatnonzero((gap <= eps2) & ~inside)
+                if len(opened):
+                    n = sizes[opened]
+                    rows = np.arange(n.sum()) + np.repeat(places[opened] - (np.cumsum(n) - n), n)
+                    y, u = q[:, rows], weights[rows]
+                    # squared distances as one product, seen from the middle of the tile; what rounding may turn is done again
+                    middle = (plo[:, t] / 2 + phi[:, t] / 2)[:, None]
+                    from_x, from_y = x - middle, y - middle
+                    x2, y2 = (from_x * from_x).sum(axis=0), (from_y * from_y).sum(axis=0)
+                    doubt = 1e-13 * (x2.max() + y2.max() + eps2)
+                    least_sure, most_near = (eps2 - doubt, eps2 + doubt) if doubt < eps2 else (np.nan, np.nan)
+                    one = np.column_stack([from_x.T, x2, np.ones(len(x2))])
+                    two = np.vstack([-2 * from_y, np.ones(len(y2)), y2])
+                    for at in range(0, len(rows), ROW):
+                        part = two[:, at : at + ROW]
+                        shape = (len(one), part.shape[1])
+                        gaps, near, far, share = (buffer[: shape[0] * shape[1]].reshape(shape) for buffer in buffers)
+                        np.matmul(one, part, out=gaps)
+                        np.less_equal(gaps, least_sure, out=near)
+                        np.greater(gaps, most_near, out=far)
+                        if np.count_nonzero(near) + np.count_nonzero(far) < gaps.size:
+                            i, k = np.nonzero(~(near | far))
+                            square = 0.0
+                            for j in range(d):
+                                step = x[j, i] - y[j, at + k]
+                                square = square + step * step
+                            near[i, k] = square <= eps2
+                        if least:
+                            mine = np.minimum(mine, np.where(near, u[at : at + ROW], none).min(axis=1))
+                        else:
+                            np.copyto(share, near)
+                            mine += (share @ u[at : at + ROW]).astype(np.int64)
+                hits[bounds[t] : bounds[t + 1]] = mine
+            some = np.flatnonzero(hits < none if least else hits > 0)
+            return pa.table({"pt": ids.take(pa.array(order[some])), "hits": pa.array(hits[some])})
+
+        return run
+
     def weights_near(
         self, probes: DataFrame, tree: DataFrame, depth: int, per: Sequence[str] = ("pt",)
     ) -> DataFrame:
@@ -348,8 +499,12 @@ def eps_neighbors(
 ) -> DataFrame:
     """Number of rows within ``eps`` of each row (itself included) and whether that makes it a core."""
     grid = EpsGrid(df, key, features, eps)
-    tree, depth = grid.build(grid.points)
-    counts = grid.weights_near(grid.points, tree, depth).withColumnRenamed("hits", "n_neighbors")
+    if grid.d > GRID_DIMENSIONS:
+        counts = grid.weights_near(grid.points, *grid.build(grid.points))
+    else:
+        points = grid.regions(grid.points)
+        counts = grid.weights_within(points, points)
+    counts = counts.withColumnRenamed("hits", "n_neighbors")
     return grid.to_rows(counts.withColumn("is_core", F.col("n_neighbors") >= min_samples))
 
 

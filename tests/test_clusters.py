@@ -272,3 +272,53 @@ def test_many_features_by_blocks(spark, monkeypatch, block):
     _, counts = brute_dbscan(points, 0.7, 5)
     assert [next(r.hits for r in direct if r.pt == f"p{i:05d}") for i in range(len(crowd) + len(loose))] == counts[:210]
     check(spark, points.tolist(), 0.7, 5)
+
+
+@pytest.mark.parametrize("d", [1, 2, 3, 4])
+def test_few_features_by_regions(spark, monkeypatch, d):
+    """Small regions, tiles and deals, weighted points, distances of exactly eps far from the origin."""
+    for name, value in (("FEWEST", 20), ("MOST", 20), ("AT_ONCE", 2), ("TILE", 4), ("ROW", 8)):
+        monkeypatch.setattr(neighbors, name, value)
+    rng = np.random.default_rng(20 + d)
+    lattice = 1e6 + rng.integers(0, 9, (120, d)) / 4  # many copies where there are few places
+    cloud = 1e6 + rng.normal(4, 0.3, (80, d))
+    lone = 1e6 + rng.uniform(-30, 30, (30, d))
+    check(spark, np.vstack([lattice, cloud, lone]).tolist(), 0.5, 5)
+
+
+def test_cells_that_touch_only_inside(spark):
+    """Cells whose outermost points are too far apart are linked by points between, and clusters of such cells apart stay apart."""
+    line = [(0.15, 0.02 * i) for i in range(8)] + [(0.0, 0.0), (0.0, 0.3), (0.3, 0.0), (0.3, 0.3)]
+    beside = [(0.65 + 0.001 * i, 0.16) for i in range(6)] + [(0.9, 0.0), (0.95, 0.3), (0.8, 0.34)]
+    apart = [(1.5 + 0.01 * i, 0.1 * (i % 4)) for i in range(9)]
+    for eps in (0.34, 0.36, 0.5, 0.53):
+        check(spark, line + beside + apart, eps, 4)
+
+
+def test_rows_without_a_finite_place_have_no_neighbours(spark):
+    rows = [("a", 0.0), ("b", 0.1), ("c", float("nan")), ("d", float("inf")), ("e", None), ("f", 0.2)]
+    df = spark.createDataFrame(rows, "id string, x0 double")
+    got = {r.id: r.n_neighbors for r in neighbors.eps_neighbors(df, "id", ["x0"], 0.5, 3).collect()}
+    assert got == {"a": 3, "b": 3, "f": 3}
+
+
+def _written(spark):
+    from pathlib import Path
+
+    root = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    return sum(f.stat().st_size for f in root.rglob("*") if f.is_file())
+
+
+@pytest.mark.parametrize("operator", ["eps_neighbors", "dbscan"])
+def test_scratch_grows_like_the_points(spark, operator):
+    """Four times the points in the same place: what a point and the boxes around it tell each other is not written."""
+    sizes = []
+    for n in (4000, 16000):
+        rng = np.random.default_rng(n)
+        # half of the places stand alone, so that density search has points to count in detail
+        places = np.vstack([rng.normal(0, 0.4, (n // 2, 3)), rng.uniform(-1, 1, (n // 2, 3))]) * [1.0, 1.5, 2.0]
+        df, names = frame(spark, places.tolist())
+        before = _written(spark)
+        getattr(neighbors, operator)(df, "id", names, 0.5, n // 40).write.format("noop").mode("overwrite").save()
+        sizes.append(_written(spark) - before)
+    assert 0 < sizes[1] < 5 * sizes[0], sizes
