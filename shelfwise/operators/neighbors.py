@@ -445,16 +445,42 @@ class EpsGrid:
                 met = cut_lineage(opened).join(tree, "parent").drop("parent")
         return reduce(DataFrame.unionByName, settled).groupBy(*per).agg(F.sum("hits").alias("hits"))
 
-    def linked_boxes(self, tree: DataFrame, depth: int, crowded: bool = False) -> DataFrame:
-        """Pairs of different level-0 boxes that hold points within eps of each other, or those with a crowded one."""
+    def cells_near(self, points: DataFrame) -> DataFrame:
+        """Pairs of different level-0 boxes whose bounds are within eps: (a0, b0, linked).
+
+        ``linked`` says that their outermost points are near enough; if they are not, other points may be.
+        """
+        place = F.struct(*self.f)
+        ends = F.array(*[pick(place, f) for f in self.f for pick in (F.min_by, F.max_by)])
+        cells = cut_lineage(points.groupBy("cell").agg(*self.bounds(), F.array_distinct(ends).alias("ends")))
+        keys = spread(cells.select("cell"))
+        met = self.met(keys.select(F.col("cell").alias("a0")), "a0", keys.select(F.col("cell").alias("b0")), "b0", once=True)
+
+        def side(s: str) -> DataFrame:
+            return shuffled(cells.select(F.col("cell").alias(f"{s}0"), *[F.col(c).alias(f"{c}_{s}") for c in cells.columns if c != "cell"]))
+
+        box = [_cols(c, self.d, s) for s in ("_a", "_b") for c in ("lo", "hi")]
+        met = met.join(side("a"), "a0").join(side("b"), "b0").where(_gap(*box) <= self.eps2)
+        near = F.exists(
+            "ends_a",
+            lambda p: F.exists("ends_b", lambda q: _squared([p[c] for c in self.f], [q[c] for c in self.f]) <= self.eps2),
+        )
+        return cut_lineage(met.select("a0", "b0", near.alias("linked")))
+
+    def linked_boxes(self, tree: DataFrame, depth: int, crowded: bool = False, front: DataFrame | None = None) -> DataFrame:
+        """Pairs of different level-0 boxes that hold points within eps of each other.
+
+        All of them, those with a crowded box, or those of a given ``front``.
+        """
         top = tree.where(F.col("node")[0] == 0)
-        roots = spread(top.select("node"))
-        other = roots.select(F.col("node").alias("b0"))
-        if crowded:
-            dense = spread(top.where(F.col("pts").isNull()).select(F.col("node").alias("a0")))
-            front = self.met(dense, "a0", other, "b0").where("a0 <> b0")
-        else:
-            front = self.met(roots.select(F.col("node").alias("a0")), "a0", other, "b0", once=True)
+        if front is None:
+            roots = spread(top.select("node"))
+            other = roots.select(F.col("node").alias("b0"))
+            if crowded:
+                dense = spread(top.where(F.col("pts").isNull()).select(F.col("node").alias("a0")))
+                front = self.met(dense, "a0", other, "b0").where("a0 <> b0")
+            else:
+                front = self.met(roots.select(F.col("node").alias("a0")), "a0", other, "b0", once=True)
         front = front.select("a0", "b0", F.col("a0").alias("na"), F.col("b0").alias("nb"))
         below = tree.select(F.col("parent").alias("up"), "node").where(F.col("node")[0] > 0)
         step = below.unionByName(tree.where(F.col("pts").isNotNull()).select(F.col("node").alias("up"), "node"))
@@ -539,6 +565,18 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 
 
+def _named(pairs: DataFrame, names: DataFrame) -> DataFrame:
+    """Pairs of boxes (a0, b0) as edges (a, b) between their names."""
+    a, b = (names.select(F.col("cell").alias(f"{s}0"), F.col("name").alias(s)) for s in "ab")
+    return pairs.join(shuffled(a), "a0").join(shuffled(b), "b0").select("a", "b")
+
+
+def _rooted(names: DataFrame, edges: DataFrame) -> DataFrame:
+    """The least name that edges connect to the name of each cell: (cell, root)."""
+    found = names.join(shuffled(connected_components(edges)), F.col("name") == F.col("node"), "left")
+    return found.select("cell", F.coalesce("root", "name").alias("root"))
+
+
 def dbscan(
     df: DataFrame, key: str, features: Sequence[str], eps: float = 0.5, min_samples: int = 5
 ) -> DataFrame:
@@ -548,47 +586,56 @@ def dbscan(
     of features.
     """
     grid = EpsGrid(df, key, features, eps)
-    points = grid.points.withColumn("cell", grid.node(0))
+    wide = grid.d > GRID_DIMENSIONS
+    points = (grid.points if wide else grid.regions(grid.points)).withColumn("cell", grid.node(0))
     cells = points.groupBy("cell").agg(F.sum("w").alias("cell_w"), *grid.bounds())
     diagonal = _squared(_cols("hi", grid.d), _cols("lo", grid.d))
     dense = cells.where((F.col("cell_w") >= min_samples) & (diagonal <= grid.eps2)).select("cell")
     sure = points.join(dense, "cell", "left_semi")
     unsure = points.join(dense, "cell", "left_anti")
-    tree, depth = grid.build(grid.points)
-    counts = grid.weights_near(unsure, tree, depth)
+    counts = grid.weights_near(unsure, *grid.build(grid.points)) if wide else grid.weights_within(unsure, points)
     cores = sure.unionByName(unsure.join(counts.where(F.col("hits") >= min_samples), "pt", "left_semi"), allowMissingColumns=True)
-    cores = cut_lineage(cores.select("pt", "w", *grid.f, "cell"))
+    cores = cut_lineage(cores.select("pt", "w", *grid.f, "cell", *([] if wide else ["region"])))
     if cores.isEmpty():
         return df.select(key, F.lit(-1).alias("cluster"))
 
-    core_tree, core_depth = grid.build(cores)
     names = cores.groupBy("cell").agg(F.min("pt").alias("name"))
-    wide = grid.d > GRID_DIMENSIONS
-    plain = (F.col("node")[0] == 0) & F.col("pts").isNotNull()
-    loose = cores.join(core_tree.where(plain).select(F.col("node").alias("cell")), "cell", "left_semi") if wide else None
-    parts = [grid.edges_direct(loose.join(names, "cell").where("name is not null"))] if wide else []
-    if not wide or core_depth > 1:
-        links = grid.linked_boxes(core_tree, core_depth, crowded=wide)
-        parts.append(
-            links.join(names.select(F.col("cell").alias("a0"), F.col("name").alias("a")), "a0")
-            .join(names.select(F.col("cell").alias("b0"), F.col("name").alias("b")), "b0")
-            .select("a", "b")
-        )
-    components = connected_components(reduce(DataFrame.unionByName, parts))
-    rooted = names.join(components, F.col("name") == F.col("node"), "left").select(
-        "cell", F.coalesce("root", "name").alias("root")
-    )
+    if wide:
+        core_tree, core_depth = grid.build(cores)
+        plain = (F.col("node")[0] == 0) & F.col("pts").isNotNull()
+        loose = cores.join(core_tree.where(plain).select(F.col("node").alias("cell")), "cell", "left_semi")
+        edges = grid.edges_direct(loose.join(names, "cell").where("name is not null"))
+        if core_depth > 1:
+            links = grid.linked_boxes(core_tree, core_depth, crowded=True)
+            edges = edges.unionByName(_named(links, names))
+        rooted = _rooted(names, edges)
+    else:
+        pairs = grid.cells_near(cores)
+        rooted = cut_lineage(_rooted(names, _named(pairs.where("linked"), names)))
+        # cells that other cells connect need no link of their own
+        root = lambda c: rooted.select(F.col("cell").alias(c), F.col("root").alias(f"{c}_root"))
+        apart = pairs.where(~F.col("linked")).join(shuffled(root("a0")), "a0").join(shuffled(root("b0")), "b0")
+        apart = cut_lineage(apart.where("a0_root <> b0_root").select("a0", "b0"))
+        if not apart.isEmpty():
+            open_cells = apart.select(F.col("a0").alias("cell")).union(apart.select("b0")).distinct()
+            tree, depth = grid.build(cores.join(open_cells, "cell", "left_semi"))
+            links = grid.linked_boxes(tree, depth, front=apart)
+            names = rooted.select("cell", F.col("root").alias("name"))
+            rooted = _rooted(names, _named(links, names))
     numbered = number_rows(rooted.select("root").distinct(), [F.col("root")], name="cluster").drop("_total")
     cell_cluster = cut_lineage(rooted.join(numbered, "root").select("cell", F.col("cluster").cast("int").alias("cluster")))
 
-    core_labels = cores.join(cell_cluster, "cell").select("pt", "cluster")
-    outside, parts = unsure.join(cores, "pt", "left_anti"), []
+    labelled = cores.join(cell_cluster, "cell")
+    core_labels = labelled.select("pt", "cluster")
+    outside = unsure.join(cores, "pt", "left_anti")
     if wide:
-        found = grid.weights_direct(outside, loose.join(cell_cluster, "cell"), "cluster")
-        parts.append(found.select("pt", F.col("hits").cast("int").alias("cluster")))
-    if not wide or core_depth > 1:
-        listed = grid.weights_listed(outside, core_tree.where(~plain) if wide else core_tree, core_depth, ("pt", "cell"))
-        parts.append(listed.where(F.col("hits") > 0).join(cell_cluster, "cell").select("pt", "cluster"))
-    border = reduce(DataFrame.unionByName, parts).groupBy("pt").agg(F.min("cluster").alias("cluster"))
+        border = grid.weights_direct(outside, loose.join(cell_cluster, "cell"), "cluster")
+        border = border.select("pt", F.col("hits").cast("int").alias("cluster"))
+        if core_depth > 1:
+            listed = grid.weights_listed(outside, core_tree.where(~plain), core_depth, ("pt", "cell"))
+            border = border.unionByName(listed.where(F.col("hits") > 0).join(cell_cluster, "cell").select("pt", "cluster"))
+            border = border.groupBy("pt").agg(F.min("cluster").alias("cluster"))
+    else:
+        border = grid.weights_within(outside, labelled, "cluster").select("pt", F.col("hits").cast("int").alias("cluster"))
     labels = grid.points.select("pt").join(core_labels.unionByName(border), "pt", "left")
     return grid.to_rows(labels.select("pt", F.coalesce("cluster", F.lit(-1)).alias("cluster")))
