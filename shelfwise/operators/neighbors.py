@@ -2,10 +2,11 @@
 
 Cells are narrow enough that any two points of one cell are neighbours, so a
 cell with ``min_samples`` rows is dense without comparing anything inside it.
-Equal points are one weighted point.  Cells with many distinct points are split
-in halves again and again; a pair of boxes is settled by its smallest and
-largest distance, and only undecided boxes are opened.  No step lists the pairs
-inside a crowded cell, and every join key meets a bounded number of rows.
+Equal points are one weighted point.  With up to four features points lie in
+regions of equal size and are compared in small tiles inside tasks; with more,
+by blocks.  Boxes with many distinct points are split in halves again and again
+where a pair of boxes is undecided by its smallest and largest distance.  No
+step lists the pairs of points, and every join key meets a bounded number of rows.
 """
 
 from __future__ import annotations
