@@ -406,26 +406,22 @@ class EpsGrid:
 
         return run
 
-    def weights_near(
-        self, probes: DataFrame, tree: DataFrame, depth: int, per: Sequence[str] = ("pt",)
-    ) -> DataFrame:
-        """Weight within eps of each probe point, in all or per level-0 box (``per`` with ``cell``).
+    def weights_near(self, probes: DataFrame, tree: DataFrame, depth: int) -> DataFrame:
+        """Weight within eps of each probe point of many features: (pt, hits).
 
-        With many features the near boxes of a point are too many to list: the points of uncrowded level-0 boxes are
-        compared by blocks, and only crowded boxes are met and opened.
+        The near boxes of a point are too many to list: the points of uncrowded level-0 boxes are compared by blocks, and
+        only crowded boxes are met and opened.
         """
-        if self.d > GRID_DIMENSIONS and tuple(per) == ("pt",):
-            plain = (F.col("node")[0] == 0) & F.col("pts").isNotNull()
-            points = tree.where(plain).select(F.explode("pts").alias("p")).select("p.*")
-            direct = self.weights_direct(probes, points)
-            if depth == 1:
-                return direct
-            crowded = self.weights_listed(probes, tree.where(~plain), depth, per)
-            return direct.unionByName(crowded).groupBy(*per).agg(F.sum("hits").alias("hits"))
-        return self.weights_listed(probes, tree, depth, per)
+        plain = (F.col("node")[0] == 0) & F.col("pts").isNotNull()
+        points = tree.where(plain).select(F.explode("pts").alias("p")).select("p.*")
+        direct = self.weights_direct(probes, points)
+        if depth == 1:
+            return direct
+        crowded = self.weights_listed(probes, tree.where(~plain), depth, ("pt",))
+        return direct.unionByName(crowded).groupBy("pt").agg(F.sum("hits").alias("hits"))
 
     def weights_listed(self, probes: DataFrame, tree: DataFrame, depth: int, per: Sequence[str]) -> DataFrame:
-        """``weights_near`` by boxes met, settled and opened."""
+        """Weight within eps of each probe point, or per level-0 box too (``per`` with ``cell``), by boxes met, settled and opened."""
         probes = probes.withColumn("cell", self.node(0)).select("pt", *self.f, "cell")
         # written first, so that both sides are plain shuffles and the probes of a crowded cell can be split
         near = cut_lineage(self.boxes_near(probes, tree))
@@ -468,20 +464,12 @@ class EpsGrid:
         )
         return cut_lineage(met.select("a0", "b0", near.alias("linked")))
 
-    def linked_boxes(self, tree: DataFrame, depth: int, crowded: bool = False, front: DataFrame | None = None) -> DataFrame:
-        """Pairs of different level-0 boxes that hold points within eps of each other.
-
-        All of them, those with a crowded box, or those of a given ``front``.
-        """
-        top = tree.where(F.col("node")[0] == 0)
+    def linked_boxes(self, tree: DataFrame, depth: int, front: DataFrame | None = None) -> DataFrame:
+        """Pairs of different level-0 boxes that hold points within eps of each other: of those with a crowded box, or of ``front``."""
         if front is None:
-            roots = spread(top.select("node"))
-            other = roots.select(F.col("node").alias("b0"))
-            if crowded:
-                dense = spread(top.where(F.col("pts").isNull()).select(F.col("node").alias("a0")))
-                front = self.met(dense, "a0", other, "b0").where("a0 <> b0")
-            else:
-                front = self.met(roots.select(F.col("node").alias("a0")), "a0", other, "b0", once=True)
+            top = tree.where(F.col("node")[0] == 0)
+            dense = spread(top.where(F.col("pts").isNull()).select(F.col("node").alias("a0")))
+            front = self.met(dense, "a0", spread(top.select("node")).select(F.col("node").alias("b0")), "b0").where("a0 <> b0")
         front = front.select("a0", "b0", F.col("a0").alias("na"), F.col("b0").alias("nb"))
         below = tree.select(F.col("parent").alias("up"), "node").where(F.col("node")[0] > 0)
         step = below.unionByName(tree.where(F.col("pts").isNotNull()).select(F.col("node").alias("up"), "node"))
@@ -607,7 +595,7 @@ def dbscan(
         loose = cores.join(core_tree.where(plain).select(F.col("node").alias("cell")), "cell", "left_semi")
         edges = grid.edges_direct(loose.join(names, "cell").where("name is not null"))
         if core_depth > 1:
-            links = grid.linked_boxes(core_tree, core_depth, crowded=True)
+            links = grid.linked_boxes(core_tree, core_depth)
             edges = edges.unionByName(_named(links, names))
         rooted = _rooted(names, edges)
     else:
