@@ -125,7 +125,8 @@ def hamming_index(items: DataFrame, radius: int, count: int) -> DataFrame:
     entries = []
     for j, ((_, width), value) in enumerate(zip(_blocks(count), _block_values(F.col("item_fp"), count))):
         flips = [sum(1 << p for p in c) for k in range(near + 1) for c in combinations(range(width), k)]
-        values = F.array(*[value.bitwiseXOR(F.lit(f)) for f in flips])
+        # one lambda over a constant list: an expression per flip would make a method whose compiling fills the driver's memory
+        values = F.transform(F.array(*map(F.lit, flips)), lambda f: value.bitwiseXOR(f))  # noqa: B023
         entries.append(F.struct(F.lit(j).alias("block"), values.alias("values")))
     listed = items.withColumn("e", F.explode(F.array(*entries)))
     return listed.select("*", F.col("e.block").alias("block"), F.explode("e.values").alias("value")).drop("e")

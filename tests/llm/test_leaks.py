@@ -1,6 +1,7 @@
 """Leaks whose parts stand in another order than in the item."""
 
 import random
+import re
 
 from shelfwise.llm import decontam
 from tests.llm.conftest import sentence
@@ -32,3 +33,18 @@ def test_index_is_not_broadcast(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString().split("\n")
     index = [line for line in plan if "Join" in line and "value#" in line and "block#" in line]
     assert index and all("merge" in line and "broadcast" not in line for line in index)
+
+
+def test_index_lists_near_values_in_small_code(spark):
+    """All values within two bits of a block's, without a generated method that grows with their number."""
+    prints = [0, -1, 0x0123456789ABCDEF, -(2**63)]
+    items = spark.createDataFrame(list(enumerate(prints)), "item int, item_fp long")
+    listed = decontam.hamming_index(items, radius=20, count=8)
+    got = [(r["item"], r.block, r.value) for r in listed.collect()]
+    byte = lambda fp, j: (fp >> 8 * j) & 255
+    want = {(i, j, v) for i, fp in enumerate(prints) for j in range(8) for v in range(256) if (v ^ byte(fp, j)).bit_count() <= 2}
+    assert len(got) == len(want) and set(got) == want
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    code = listed._jdf.queryExecution().explainString(mode)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000  # HotSpot compiles no larger method
