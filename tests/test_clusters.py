@@ -186,6 +186,51 @@ def test_ward_leaves_no_tables_with_the_driver(spark, monkeypatch):
     assert len(plans) == 4 and not [p for p in plans if "Broadcast" in p]
 
 
+@pytest.mark.parametrize("weighted", [False, True])
+def test_a_region_merges_what_nothing_can_forestall(weighted):
+    rng = np.random.default_rng(4)
+    points = rng.normal(size=(200, 3)) * [1.0, 0.2, 3.0]
+    weights = rng.integers(1, 50, 200).astype(float) if weighted else np.ones(200)
+    costs = np.array(sorted(c for *_, c in ward.chain_merges(points, weights)))
+    all_ = ward.merge_region(points.copy(), weights.copy(), np.ones(200, dtype=bool), np.inf, 1)
+    assert np.allclose([c for *_, c in all_], costs)
+    assert ward.merge_region(points.copy(), weights.copy(), np.ones(200, dtype=bool), np.inf, 20) == all_[:180]
+    own = points[:, 2] < 0
+    some = ward.merge_region(points.copy(), weights.copy(), own, np.inf, 1)
+    assert own.sum() / 3 < len(some) < own.sum()
+    assert own[[i for a, b, _ in some for i in (a, b)]].all()
+    assert max(np.abs(costs - c).min() for *_, c in some) < 1e-9
+
+
+@pytest.mark.parametrize("region, k", [(40, 4)])
+def test_ward_of_many_regions(spark, monkeypatch, region, k):
+    rng = np.random.default_rng(region)
+    points = np.concatenate([rng.normal(size=(30, 3)), rng.exponential(size=(30, 3)) * [5.0, 1.0, 0.1], np.ones((2, 3))])
+    labels, costs = plain_ward(points, k)
+    seen, merge_regions = [], ward.Merger.merge_regions
+    monkeypatch.setattr(ward.Merger, "merge_regions", lambda self, *a: seen.append(a[0]) or merge_regions(self, *a))
+    rows = [(i, [float(x) for x in p]) for i, p in enumerate(points)]
+    df = spark.createDataFrame(rows, "id int, e array<double>").withColumn("features", array_to_vector("e"))
+    found = ward.ward(df, "id", k, limit=8, few=1000, region=region)
+    of = {r.id: r.cluster for r in found.labels.collect()}
+    first = {}
+    for i in range(len(points)):
+        first.setdefault(of[i], i)
+    assert [first[of[i]] for i in range(len(points))] == labels
+    assert np.allclose(sorted(r.cost for r in found.merges.collect()), sorted(costs)[1:])
+    assert len(seen) > 1 and seen[0] == 61
+
+
+def test_ward_needs_few_tables_for_many_merges(spark, monkeypatch):
+    cuts, cut = [], ward.cut_lineage
+    monkeypatch.setattr(ward, "cut_lineage", lambda df: cuts.append(df) or cut(df))
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in p]) for i, p in enumerate(rng.normal(size=(120, 2)))]
+    df = spark.createDataFrame(rows, "id int, e array<double>").withColumn("features", array_to_vector("e"))
+    assert ward.ward(df, "id", 3, limit=4, few=8).merges.count() == 119
+    assert len(cuts) <= 8  # not some for every round
+
+
 def test_ward_of_equal_gaps(spark):
     line = np.arange(16.0)[:, None]
     for limit, few in ((100, 100), (5, 1000)):
