@@ -202,6 +202,25 @@ def test_a_region_merges_what_nothing_can_forestall(weighted):
     assert max(np.abs(costs - c).min() for *_, c in some) < 1e-9
 
 
+def test_merges_of_regions_hold_what_hierarchical_checks_asks_for():
+    points = np.random.default_rng(6).normal(size=(300, 3))
+    x, w, alive, merges = points.copy(), np.ones(300), np.ones(300, dtype=bool), []
+    for own in (points[:, 0] < 0, points[:, 0] >= 0):  # each sees the other as it was at first
+        at, weights = points.copy(), np.ones(300)
+        found = ward.merge_region(at, weights, own, np.inf, 1)
+        x[own], w[own] = at[own], weights[own]
+        alive[[b for _, b, _ in found]] = False
+        merges += found
+    left = np.flatnonzero(alive)
+    assert len(left) < 150
+    merges += [(left[a], left[b], c) for a, b, c in ward.merge_region(x[left], w[left], np.ones(len(left), dtype=bool), np.inf, 1)]
+    last = {}
+    for a, b, cost in merges:
+        assert cost >= max(last.get(a, 0.0), last.get(b, 0.0)) - 1e-9
+        last[a] = cost
+    assert len(merges) == 299 and sum(c for *_, c in merges) == pytest.approx(((points - points.mean(0)) ** 2).sum())
+
+
 @pytest.mark.parametrize("region, k", [(40, 4)])
 def test_ward_of_many_regions(spark, monkeypatch, region, k):
     rng = np.random.default_rng(region)
